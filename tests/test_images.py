@@ -1,0 +1,88 @@
+import pytest
+from pyspark.sql import functions as F
+
+from wardlake.operators.images import accepted_images, classify_images
+from wardlake.plans.pipeline import sync_images
+from wardlake.plans.store import ClinicalStore
+from wardlake.schemas import PNG_SIGNATURE
+from wardlake.sources.generate import placeholder_png
+from wardlake.sources.images import export_blobs, read_images
+
+FILES = {
+    "HOSP-000001_ok.png": (placeholder_png(), "ok"),
+    "HOSP-000001_upper.PNG": (placeholder_png(), "ok"),
+    "HOSP-000002_with space+plus%.png": (PNG_SIGNATURE, "ok"),
+    "HOSP-000002_corrupt.png": (b"not a real png", "corrupt"),
+    "HOSP-000002_empty.png": (b"", "corrupt"),
+    "HOSP-000002_short.png": (PNG_SIGNATURE[:5], "corrupt"),
+    "random_name.png": (PNG_SIGNATURE, "bad_name"),
+    "HOSP-00001_x.png": (PNG_SIGNATURE, "bad_name"),
+    "hosp-000001_x.png": (PNG_SIGNATURE, "bad_name"),
+    "notes.txt": (PNG_SIGNATURE, "not_png"),
+    "HOSP-000001_report.pdf": (b"%PDF-1.4", "not_png"),
+}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    path = tmp_path / "images"
+    path.mkdir()
+    for name, (content, _) in FILES.items():
+        (path / name).write_bytes(content)
+    (path / "sub").mkdir()
+    (path / "sub" / "HOSP-000001_deep.png").write_bytes(PNG_SIGNATURE)
+    return str(path)
+
+
+def test_every_file_gets_its_disposition(spark, folder):
+    got = {r["name"]: r["disposition"] for r in classify_images(read_images(spark, folder)).collect()}
+    # Spark makes no row of a file without bytes, which no record would be made of either
+    assert got == {name: expected for name, (content, expected) in FILES.items() if content}
+
+
+def test_the_listing_does_not_read_bytes(spark, folder):
+    plan = read_images(spark, folder).select("name", "length")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_single_files(spark, folder):
+    def keys(name):
+        return [r["object_key"] for r in accepted_images(read_images(spark, f"{folder}/{name}")).collect()]
+
+    assert keys("HOSP-000001_ok.png") == ["HOSP-000001/HOSP-000001_ok.png"]
+    assert keys("HOSP-000002_corrupt.png") == []
+
+
+def test_empty_and_missing_folders(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert read_images(spark, str(tmp_path / "empty")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_images(spark, str(tmp_path / "none"))
+
+
+def test_sync_and_export(spark, folder, tmp_path):
+    store = ClinicalStore(spark, str(tmp_path / "store"))
+    records, tally = sync_images(store, folder)
+    assert tally == {"uploaded": 3, "already there": 0}
+    rows = {r["original_filename"]: r for r in records.collect()}
+    assert set(rows) == {n for n, (_, d) in FILES.items() if d == "ok"}
+    one = rows["HOSP-000001_ok.png"]
+    assert one["file_size_bytes"] == len(placeholder_png()) and one["patient_external_id"] == "HOSP-000001"
+    assert one["minio_object_key"] == "HOSP-000001/HOSP-000001_ok.png" and one["ingested_at"].endswith("+00:00")
+    assert sync_images(store, folder)[1] == {"uploaded": 0, "already there": 3}
+    assert store.blobs().count() == 3 and {r["content_type"] for r in store.blobs().collect()} == {"image/png"}
+
+    target = tmp_path / "export"
+    for _ in range(2):
+        written = export_blobs(store.blob_contents(), str(target)).agg(F.sum("bytes_written")).head()[0]
+    assert written == 2 * len(placeholder_png()) + len(PNG_SIGNATURE)
+    assert (target / "HOSP-000001" / "HOSP-000001_ok.png").read_bytes() == placeholder_png()
+    assert sorted(p.name for p in target.rglob("*") if p.is_file()) == sorted(rows)
+
+
+def test_a_failed_upload_leaves_no_record(spark, folder, tmp_path, monkeypatch):
+    store = ClinicalStore(spark, str(tmp_path / "store"))
+    monkeypatch.setattr(store, "put_objects", lambda *a: (_ for _ in ()).throw(OSError("no storage")))
+    with pytest.raises(OSError):
+        sync_images(store, folder)
+    assert store.blobs().count() == 0

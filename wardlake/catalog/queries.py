@@ -380,8 +380,7 @@ def blob_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def blob_contents(spark: SparkSession, sf: str) -> DataFrame:
-    log = _blob_log(spark, sf)
-    return B.blob_contents(log, B.blob_index(log)).select("bucket", "object_key", F.md5("content").alias("digest"))
+    return B.current_contents(_blob_log(spark, sf)).select("bucket", "object_key", F.md5("content").alias("digest"))
 
 
 def _runs(spark: SparkSession, sf: str) -> DataFrame:

@@ -24,11 +24,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
 
 
 def names(spark: SparkSession, path: str) -> list[str]:
-    """Sorted names of the direct children; empty when the directory is missing."""
+    """Sorted names of the direct children but hidden ones; empty when there is no directory."""
     p, fs = _handle(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+    found = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in found if not n.startswith("."))
 
 
 def qualified(spark: SparkSession, path: str) -> str:

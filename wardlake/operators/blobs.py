@@ -1,6 +1,6 @@
 """Stored objects as an append-only log of puts and removals; the newest entry counts.
 
-The log is resolved on its metadata alone, so object bytes are never shuffled.
+The log is resolved on its metadata alone; object bytes are moved only when asked for.
 """
 
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from wardlake.operators.metrics import duplicate_keys
 from wardlake.schemas import DEFAULT_CONTENT_TYPE
 
 BLOB_KEY = ["bucket", "object_key"]
+FEW_KEYS = 100_000
 
 
 def put_entries(objects: DataFrame, content_type: str = DEFAULT_CONTENT_TYPE) -> DataFrame:
@@ -59,5 +60,23 @@ def object_exists(index: DataFrame, bucket: str, key: str) -> bool:
 
 
 def blob_contents(log: DataFrame, index: DataFrame) -> DataFrame:
-    """Bytes of the given index rows: the newest log entry of each."""
-    return log.join(index.select(*BLOB_KEY, "load"), [*BLOB_KEY, "load"], "left_semi").filter(~F.col("deleted"))
+    """Bytes of the given index rows. A few keys go to the bytes, not the bytes to the keys."""
+    wanted = _small(index.select(*BLOB_KEY, "load"))
+    return log.join(wanted, [*BLOB_KEY, "load"], "left_semi").filter(~F.col("deleted"))
+
+
+def current_contents(log: DataFrame) -> DataFrame:
+    """Bytes of all current objects.
+
+    What has to be left out, entries that a later one replaced or removed, is found on the
+    metadata and is usually little; the bytes then stay where they are.
+    """
+    newest = log.groupBy(*BLOB_KEY).agg(F.max("load").alias("_newest"))
+    entries = log.select(*BLOB_KEY, "load").join(newest, BLOB_KEY)
+    stale = _small(entries.filter("load < _newest").drop("_newest"))
+    return log.filter(~F.col("deleted")).join(stale, [*BLOB_KEY, "load"], "left_anti")
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """Marked for broadcast when counting shows that there are few; else the join shuffles."""
+    return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys

@@ -1,10 +1,15 @@
-"""Read side: pages, lookups and totals over the store."""
+"""Read side: pages, lookups and totals over the store.
 
-from pyspark.sql import DataFrame, Row
+The patient table is small by its id space (operators/links.py) and knows how many admissions
+and radiographies each patient has. Totals come from it, and so does the place of a page: only
+the rows of the few patients on the page are read.
+"""
+
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wardlake.operators.nest import patient_documents
-from wardlake.operators.paging import Page, check_bounds, page, rows_after
+from wardlake.operators.paging import Page, check_bounds, page_rows, rows_after
 from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import ADMISSION_COLUMNS, ADMISSION_ORDER, PATIENT_COLUMNS
 
@@ -12,28 +17,53 @@ PATIENT_VIEW = [*PATIENT_COLUMNS[:3], "age", *PATIENT_COLUMNS[3:]]
 ADMISSION_VIEW = [*ADMISSION_COLUMNS[:6], "diagnosis_category", "status"]
 
 
-def _with_children(store: ClinicalStore, patients: DataFrame) -> DataFrame:
-    docs = patient_documents(patients, store.admissions(), store.radiographies())
-    return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies")
+def _documents(store: ClinicalStore, patients: DataFrame) -> DataFrame:
+    """Documents of at most a page of patients."""
+    ids = [r["external_id"] for r in patients.select("external_id").collect()]
+    found = store.patients().filter(F.col("external_id").isin(ids))
+    docs = patient_documents(found, store.admissions(ids).select(*ADMISSION_VIEW), store.radiographies(ids))
+    return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies").orderBy("external_id", "part")
 
 
 def patients_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
-    """Patients by id; only the children of the page's patients are nested."""
-    found = page(store.patients(), ["external_id"], limit, offset)
-    return found._replace(items=_with_children(store, found.items).orderBy("external_id", "part"))
+    """Patients by id, with nested children (a very large patient has several parts)."""
+    patients = store.patients()
+    rows = page_rows(patients, ["external_id"], limit, offset)
+    return Page(patients.count(), limit, offset, _documents(store, rows))
 
 
 def patients_after(store: ClinicalStore, external_id: str, limit: int = 50) -> DataFrame:
-    return _with_children(store, rows_after(store.patients(), ["external_id"], [external_id], limit))
+    return _documents(store, rows_after(store.patients(), ["external_id"], [external_id], limit))
 
 
 def find_patient(store: ClinicalStore, external_id: str) -> DataFrame:
-    """The document parts of one patient, empty when there is none."""
-    return _with_children(store, store.patients().filter(F.col("external_id") == external_id))
+    """The document of one patient, empty when there is none."""
+    return _documents(store, store.patients().filter(F.col("external_id") == external_id))
+
+
+def total(store: ClinicalStore, size: str) -> int:
+    return store.patients().agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).head()["n"]
+
+
+def _owners(store: ClinicalStore, size: str, limit: int, offset: int) -> tuple[list[str], int]:
+    """Patients whose rows lie on the page, at most ``limit``, and the offset within them."""
+    check_bounds(limit, offset)
+    # one task, over no more rows than there are patient ids
+    earlier = Window.orderBy("external_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        store.patients()
+        .filter(F.col(size) > 0)
+        .select("external_id", size, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("before"))
+    )
+    on_page = placed.filter((F.col("before") < offset + limit) & (F.col("before") + F.col(size) > offset))
+    rows = on_page.orderBy("external_id").collect()
+    return [r["external_id"] for r in rows], offset - rows[0]["before"] if rows else 0
 
 
 def admissions_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
-    return page(store.admissions().select(*ADMISSION_VIEW), ADMISSION_ORDER, limit, offset)
+    ids, skip = _owners(store, "n_admissions", limit, offset)
+    rows = store.admissions(ids).select(*ADMISSION_VIEW)
+    return Page(total(store, "n_admissions"), limit, offset, page_rows(rows, ADMISSION_ORDER, limit, skip))
 
 
 def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) -> DataFrame:
@@ -41,7 +71,10 @@ def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) ->
 
 
 def radiographies_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
-    return page(store.radiographies(), ["minio_object_key"], limit, offset)
+    """By object key, which starts with the patient id, so patients come in id order."""
+    ids, skip = _owners(store, "n_radiographies", limit, offset)
+    rows = page_rows(store.radiographies(ids), ["minio_object_key"], limit, skip)
+    return Page(total(store, "n_radiographies"), limit, offset, rows)
 
 
 def newest_runs(runs: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
@@ -51,16 +84,8 @@ def newest_runs(runs: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
 
 def runs_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
     runs = store.runs()
-    return Page(total=runs.count(), limit=limit, offset=offset, items=newest_runs(runs, limit, offset))
+    return Page(runs.count(), limit, offset, newest_runs(runs, limit, offset))
 
 
 def latest_run(store: ClinicalStore) -> Row | None:
     return newest_runs(store.runs(), 1).head()
-
-
-def totals(store: ClinicalStore) -> dict[str, int]:
-    return {
-        "patients": store.patients().count(),
-        "admissions": store.admissions().count(),
-        "radiographies": store.radiographies().count(),
-    }

@@ -27,13 +27,18 @@ from wardlake.operators.nest import patient_documents
 from wardlake.operators.runs import run_states
 
 LOAD = T.StructField("load", T.LongType())
-NO_CHANGE = {"upserted": 0, "modified": 0}
+# objects may be large: let the writer look at its buffer often enough
+BLOB_OPTIONS = {"parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.enable.dictionary": False}
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _of_patients(df: DataFrame, ids: list[str] | None, column: str = "patient_external_id") -> DataFrame:
+    return df if ids is None else df.filter(F.col(column).isin(ids))
+
+
 class ClinicalStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -73,20 +78,23 @@ class ClinicalStore:
         loads = [] if state["patients"] is None else [state["patients"]]
         return self._loads("patients", loads, S.PATIENTS).drop("load")
 
-    def admissions(self) -> DataFrame:
-        """Admissions of stored patients, each patient's from its own latest load."""
+    def admissions(self, ids: list[str] | None = None) -> DataFrame:
+        """Admissions of stored patients, each patient's from its own latest load.
+
+        Given ids reach the scan, where files and row groups of other patients are skipped.
+        """
         state = self._state()
-        rows = self._loads("admissions", state["admissions"], S.ADMISSIONS)
-        owners = bounded_ids(self._patients(state), "admissions_load")
+        rows = _of_patients(self._loads("admissions", state["admissions"], S.ADMISSIONS), ids)
+        owners = bounded_ids(_of_patients(self._patients(state), ids, "external_id"), "admissions_load")
         same = (rows["patient_external_id"] == owners["external_id"]) & (rows["load"] == owners["admissions_load"])
         return rows.join(owners, same, "left_semi").drop("load")
 
-    def radiographies(self) -> DataFrame:
-        return self._loads("radiographies", self._state()["radiographies"], S.RADIOGRAPHIES).drop("load")
+    def radiographies(self, ids: list[str] | None = None) -> DataFrame:
+        return _of_patients(self._loads("radiographies", self._state()["radiographies"], S.RADIOGRAPHIES), ids).drop("load")
 
     def documents(self) -> DataFrame:
         """Patients with nested admissions and radiographies, see operators/nest.py."""
-        return patient_documents(self.patients().drop("admissions_load"), self.admissions(), self.radiographies())
+        return patient_documents(self.patients().drop(*S.STORE_COLUMNS), self.admissions(), self.radiographies())
 
     def is_empty(self) -> bool:
         return self.patients().isEmpty()
@@ -105,29 +113,43 @@ class ClinicalStore:
         return self._merge(patients, admissions)
 
     def _merge(self, batch: DataFrame, admissions: DataFrame | None) -> dict[str, int]:
-        if batch.isEmpty():
-            return dict(NO_CHANGE)
+        unknown = set(batch.columns) - set(S.PATIENTS.fieldNames())
+        if unknown:
+            raise ValueError(f"patients have no columns {sorted(unknown)}")
         now = utc_now()
         state = self._next()
         load = state["version"]
         if admissions is not None:
-            batch = batch.withColumn("admissions_load", F.lit(load).cast("long"))
-        unknown = set(batch.columns) - set(S.PATIENTS.fieldNames())
-        if unknown:
-            raise ValueError(f"patients have no columns {sorted(unknown)}")
-        merged = merge_upsert(self._patients(state), batch, "external_id", now)
-        self._write_patients(merged, load)
+            self._write_admissions(admissions, load)
+            sizes = self._sizes("admissions", load, "n_admissions")
+            batch = batch.drop(*S.STORE_COLUMNS).join(sizes, "external_id", "left").withColumns(
+                {
+                    "admissions_load": F.lit(load).cast("long"),
+                    "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
+                }
+            )
+        self._write_patients(merge_upsert(self._patients(state), batch, "external_id", now), load)
         written = self._loads("patients", [load], S.PATIENTS)
         strange = written.filter(F.col("external_id").isNull() | ~F.col("external_id").rlike(S.PATIENT_ID)).head(1)
         if strange:
             raise ValueError(f"not a patient id: {strange[0]['external_id']}")
+        stats = merge_stats(written, now).head().asDict()
+        if not any(stats.values()):
+            # no patients came in: leave the store as it is
+            fs.remove(self.spark, self._dir("patients", load))
+            fs.remove(self.spark, self._dir("admissions", load))
+            return stats
         state["patients"] = load
         if admissions is not None:
-            self._write_admissions(admissions, load)
             state["admissions"] = [*state["admissions"], load]
-        stats = merge_stats(written, now).head()
         self._commit(state)
-        return stats.asDict()
+        return stats
+
+    def _sizes(self, table: str, load: int, name: str) -> DataFrame:
+        """Rows per patient in one load."""
+        schema = {"admissions": S.ADMISSIONS, "radiographies": S.RADIOGRAPHIES}[table]
+        rows = self._loads(table, [load], schema)
+        return rows.groupBy(F.col("patient_external_id").alias("external_id")).agg(F.count(F.lit(1)).alias(name))
 
     def _write_patients(self, rows: DataFrame, load: int) -> None:
         fields = S.PATIENTS.fieldNames()
@@ -158,8 +180,7 @@ class ClinicalStore:
         self._write_patients(owners.withColumn("admissions_load", owner_load), load)
         self.radiographies().write.mode("overwrite").parquet(self._dir("radiographies", load))
         log = self.blob_log()
-        contents = B.blob_contents(log, B.blob_index(log)).drop("load")
-        contents.write.mode("overwrite").parquet(self._dir("blobs", load))
+        B.current_contents(log).drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
         state.update(patients=load, admissions=[load], radiographies=[load], blobs=[load])
         self._commit(state)
 
@@ -176,10 +197,11 @@ class ClinicalStore:
         stored = self._loads("radiographies", state["radiographies"], S.RADIOGRAPHIES)
         fresh = new_radiographies(stored, images.select(*S.RADIOGRAPHIES.fieldNames()), patients)
         fresh.write.mode("overwrite").parquet(self._dir("radiographies", load))
-        written = self._loads("radiographies", [load], S.RADIOGRAPHIES)
-        added = written.count()
+        added = self._loads("radiographies", [load], S.RADIOGRAPHIES).count()
         if added:
-            touched = written.select(F.col("patient_external_id").alias("external_id")).distinct()
+            grown = F.coalesce("n_radiographies", F.lit(0).cast("long")) + F.col("n_new")
+            touched = patients.join(self._sizes("radiographies", load, "n_new"), "external_id")
+            touched = touched.select("external_id", grown.alias("n_radiographies"))
             self._write_patients(merge_upsert(patients, touched, "external_id", utc_now(), insert=False), load)
             state["patients"] = load
             state["radiographies"] = [*state["radiographies"], load]
@@ -196,16 +218,18 @@ class ClinicalStore:
         return B.blob_index(self.blob_log())
 
     def blob_contents(self, index: DataFrame | None = None) -> DataFrame:
+        """Objects with their bytes: those of the given index rows, or all."""
         log = self.blob_log()
-        return B.blob_contents(log, B.blob_index(log) if index is None else index)
+        return B.current_contents(log) if index is None else B.blob_contents(log, index)
 
     def load_of_blobs(self, load: int) -> DataFrame:
+        """Entries of one load, as written."""
         return self._loads("blobs", [load], S.BLOBS)
 
     def _append_blobs(self, entries: DataFrame) -> int:
         state = self._next()
         load = state["version"]
-        entries.write.mode("overwrite").parquet(self._dir("blobs", load))
+        entries.write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
         B.check_unique(self.load_of_blobs(load))
         state["blobs"] = [*state["blobs"], load]
         self._commit(state)

@@ -28,7 +28,9 @@ def read_entity(spark: SparkSession, path: str, columns: list[str], **options: s
     missing = [c for c in columns if c not in raw.columns]
     if missing:
         raise MissingColumnsError(f"CSV {str(path).rstrip('/').rsplit('/', 1)[-1]} is missing required columns: {missing}")
-    return raw.select(*[F.col(c).cast("string") for c in columns], F.col("_metadata.file_name").alias(SOURCE_FILE))
+    # Spark shows the name URL-encoded, in which a plus sign is a plus sign
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return raw.select(*[F.col(c).cast("string") for c in columns], name.alias(SOURCE_FILE))
 
 
 def read_patients(spark: SparkSession, path: str, **options: str) -> DataFrame:

@@ -12,7 +12,8 @@ from wardlake import fs
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """Files directly in a directory, or one file: name, length, content.
 
-    Spark reads the bytes only when ``content`` is used.
+    Spark reads the bytes only when ``content`` is used. It makes no row of an empty file,
+    which is no image anyway.
     """
     if not fs.exists(spark, path):
         raise FileNotFoundError(f"Image directory does not exist: {path}")
