@@ -300,6 +300,16 @@ UNION ALL SELECT 'admissions', count(*) FROM visible UNION ALL SELECT 'radiograp
   ORDER BY patient_external_id, admission_date, department LIMIT 50""",
     "radiographies_page": """SELECT patient_external_id, minio_object_key, file_size_bytes FROM visible_images
   ORDER BY minio_object_key LIMIT 50 OFFSET 10""",
+    "served_pages": """SELECT 'patients' AS kind, (SELECT count(*) FROM patients) AS total, concat_ws('|', external_id, name,
+    CAST((SELECT count(*) FROM visible v WHERE v.patient_external_id = p.external_id) AS VARCHAR),
+    CAST((SELECT count(*) FROM visible_images v WHERE v.patient_external_id = p.external_id) AS VARCHAR)) AS item
+  FROM (SELECT * FROM patients ORDER BY external_id LIMIT 50 OFFSET 20) p
+UNION ALL SELECT 'admissions', (SELECT count(*) FROM visible), concat_ws('|', patient_external_id, admission_date,
+    department, diagnosis_category)
+  FROM (SELECT * FROM visible ORDER BY patient_external_id, admission_date, department LIMIT 50 OFFSET 800)
+UNION ALL SELECT 'radiographies', (SELECT count(*) FROM visible_images),
+    concat_ws('|', minio_object_key, patient_external_id)
+  FROM (SELECT * FROM visible_images ORDER BY minio_object_key LIMIT 10 OFFSET 5)""",
     "patient_lookup": f"SELECT * FROM ({_documents(10_000, 'visible_images')}) WHERE external_id = 'HOSP-000042'",
     "merge_patients": "SELECT * FROM merged",
     "merge_idempotent": "SELECT * FROM merged",
@@ -327,6 +337,7 @@ UNION ALL SELECT DISTINCT 'new', patient_external_id, minio_object_key, file_siz
     "blob_prefix": "SELECT object_key FROM page_objects WHERE starts_with(object_key, 'fr/')",
     "blob_contents": "SELECT bucket, object_key, md5(body) AS digest FROM objects_now",
     "run_states": "SELECT * FROM runs",
+    "failed_runs": "SELECT run_id, error_message FROM runs WHERE status = 'failed'",
     "run_history": "SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 50 OFFSET 25",
     "latest_run": "SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 1",
     "run_totals": """SELECT 'patients_processed' AS item, count(*) AS total FROM patients_clean

@@ -15,7 +15,7 @@ from wardlake.operators.images import accepted_images, attach_report, classify_i
 from wardlake.operators.links import with_patient, without_patient
 from wardlake.operators.merge import merge_stats, merge_upsert, new_radiographies, replace_admissions
 from wardlake.operators.nest import patient_documents, unnest_admissions, unnest_radiographies
-from wardlake.operators.paging import page_rows, rows_after
+from wardlake.operators.paging import Page, page_rows, rows_after
 from wardlake.operators.runs import run_states
 from wardlake.operators.validate import (
     Rule,
@@ -27,6 +27,7 @@ from wardlake.operators.validate import (
     validate_admissions,
     validate_patients,
 )
+from wardlake.plans import serve
 from wardlake.plans.pipeline import attach_images, run_from_files, sync_images
 from wardlake.plans.serve import newest_runs
 from wardlake.plans.store import ClinicalStore
@@ -257,7 +258,12 @@ def admissions_page(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def admissions_deep_page(spark: SparkSession, sf: str) -> DataFrame:
-    return page_rows(_visible_admissions(spark, sf), ADMISSION_ORDER, limit=50, offset=800, shallow=200)
+    """Narrowed to a key range first, on a stored table."""
+    path = fs.work_dir(spark, "deep-page")
+    visible = _visible_admissions(spark, sf)
+    visible.write.parquet(path)
+    stored = spark.read.schema(visible.schema).parquet(path)
+    return page_rows(stored, ADMISSION_ORDER, limit=50, offset=800, shallow=200)
 
 
 def admissions_after(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,6 +275,26 @@ def radiographies_page(spark: SparkSession, sf: str) -> DataFrame:
     return page_rows(images, ["minio_object_key"], limit=50, offset=10)
 
 
+def served_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The three pages as the store serves them, each row with the grand total."""
+    store = ClinicalStore(spark, fs.work_dir(spark, "serve"))
+    store.load_batch(_clean_patients(spark, sf), _clean_admissions(spark, sf))
+    store.attach_radiographies(_images(spark, sf))
+    patients = serve.patients_page(store, limit=50, offset=20)
+    admissions = serve.admissions_page(store, limit=50, offset=800)
+    radiographies = serve.radiographies_page(store, limit=10, offset=5)
+
+    def rows(kind: str, page: Page, text: Column) -> DataFrame:
+        return page.items.select(F.lit(kind).alias("kind"), F.lit(page.total).cast("long").alias("total"), text.alias("item"))
+
+    children = [F.size(c).cast("string") for c in ("admissions", "radiographies")]
+    return (
+        rows("patients", patients, F.concat_ws("|", "external_id", "name", *children))
+        .unionByName(rows("admissions", admissions, F.concat_ws("|", *ADMISSION_ORDER, "diagnosis_category")))
+        .unionByName(rows("radiographies", radiographies, F.concat_ws("|", "minio_object_key", "patient_external_id")))
+    )
+
+
 def patient_lookup(spark: SparkSession, sf: str) -> DataFrame:
     found = _clean_patients(spark, sf).filter(F.col("external_id") == "HOSP-000042")
     return _flat_documents(patient_documents(found, _clean_admissions(spark, sf), _images(spark, sf)))
@@ -395,6 +421,10 @@ def run_states_query(spark: SparkSession, sf: str) -> DataFrame:
     return _run_stamps(_runs(spark, sf))
 
 
+def failed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return _runs(spark, sf).filter("status = 'failed'").select("run_id", "error_message")
+
+
 def run_history(spark: SparkSession, sf: str) -> DataFrame:
     return _run_stamps(newest_runs(_runs(spark, sf), limit=50, offset=25))
 
@@ -520,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "admissions_deep_page": admissions_deep_page,
     "admissions_after": admissions_after,
     "radiographies_page": radiographies_page,
+    "served_pages": served_pages,
     "patient_lookup": patient_lookup,
     "merge_patients": merge_patients,
     "merge_stats": merge_stats_query,
@@ -535,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "blob_prefix": blob_prefix,
     "blob_contents": blob_contents,
     "run_states": run_states_query,
+    "failed_runs": failed_runs,
     "run_history": run_history,
     "latest_run": latest_run,
     "run_totals": run_totals,

@@ -7,7 +7,7 @@ from wardlake.schemas import IMAGE_NAME, PNG_SIGNATURE
 
 
 def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def has_png_suffix(name: Column) -> Column:

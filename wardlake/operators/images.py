@@ -34,7 +34,7 @@ def image_records(stored: DataFrame, at: datetime) -> DataFrame:
     """Metadata records of stored images (object_key, length); the bytes are not read."""
     name = base_name(F.col("object_key"))
     return stored.select(
-        patient_of(name).alias("patient_external_id"),
+        F.substring_index("object_key", "/", 1).alias("patient_external_id"),
         F.col("object_key").alias("minio_object_key"),
         name.alias("original_filename"),
         F.col("length").cast("long").alias("file_size_bytes"),

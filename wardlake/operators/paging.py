@@ -29,30 +29,31 @@ def page_rows(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0,
     """Rows [offset, offset + limit) in ascending order of columns that identify a row.
 
     A small offset is a plain top-k. That would carry offset + limit rows per task into a
-    single one, so a deep offset is first narrowed to the key range that holds the page.
+    single one, so a deep offset is first narrowed to the key range that holds the page. Each
+    round of that reads the order columns of ``df``, which should be a stored table.
     """
     check_bounds(limit, offset)
+    total = df.count() if offset + limit > shallow else 0
     while offset + limit > shallow:
-        df, skipped, narrowed = _narrow(df, order, offset, limit)
+        df, skipped, left = _narrow(df, order, offset, limit, total)
         offset -= skipped
-        if not narrowed:
+        if left == total:
             break
+        total = left
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def _narrow(df: DataFrame, order: list[str], offset: int, limit: int) -> tuple[DataFrame, int, bool]:
-    """Rows of the key ranges the page touches, how many rows lie before, and if that helped.
+def _narrow(df: DataFrame, order: list[str], offset: int, limit: int, total: int) -> tuple[DataFrame, int, int]:
+    """Rows of the key ranges the page touches, the number of rows before, and of these.
 
-    Reads the order columns only. The sample decides where ranges are cut, the counts are
-    exact, so the page is too.
+    The sample decides where ranges are cut, the counts are exact, so the page is too.
     """
     key = F.struct(*order)
-    total = df.count()
     fraction = min(1.0, SAMPLE / max(total, 1))
     sample = df.select(*order).sample(fraction, 7).limit(2 * SAMPLE).distinct().orderBy(*order).collect()
     cuts = sample[:: max(1, len(sample) // (SPLITTERS + 1))][1 : SPLITTERS + 1]
     if not cuts:
-        return df, 0, False
+        return df, 0, total
     literals = [_literal_key(df, order, cut) for cut in cuts]
     number = sum(((key >= c).cast("int") for c in literals[1:]), (key >= literals[0]).cast("int"))
     sizes = {r["_range"]: r["n"] for r in df.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -67,14 +68,14 @@ def _narrow(df: DataFrame, order: list[str], offset: int, limit: int) -> tuple[D
             last = i
         start = end
     if first is None:  # the page lies behind the last row
-        return df.limit(0), offset, False
+        return df.limit(0), offset, total
     part = df
     if first > 0:
         part = part.filter(key >= literals[first - 1])
     if last < len(cuts):
         part = part.filter(key < literals[last])
     kept = sum(sizes.get(i, 0) for i in range(first, last + 1))
-    return part, before, kept < total
+    return part, before, kept
 
 
 def _literal_key(df: DataFrame, order: list[str], row) -> Column:

@@ -35,7 +35,9 @@ def _land(spark: SparkSession, tagged: DataFrame, path: str) -> Validated:
     the text is parsed only once.
     """
     accepted = F.col(S.REASON).isNull()
-    tagged.withColumn("accepted", accepted).write.mode("overwrite").partitionBy("accepted").parquet(path)
+    # both output files of a task open at once: no sort of the rows by where they go
+    with fs.settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+        tagged.withColumn("accepted", accepted).write.mode("overwrite").partitionBy("accepted").parquet(path)
     landed = spark.read.schema(f"{tagged.schema.toDDL()}, accepted boolean").parquet(path)
     return Validated(
         valid=landed.filter("accepted").drop("accepted", S.REASON),

@@ -263,9 +263,9 @@ class ClinicalStore:
     # ---- run history ----
 
     def _event(self, **values) -> None:
-        row = {n: values.get(n) for n in S.RUN_EVENTS.fieldNames()}
-        event = self.spark.createDataFrame([row], S.RUN_EVENTS)
-        event.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        fields = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in S.RUN_EVENTS]
+        event = self.spark.range(1, numPartitions=1).select(*fields)
+        event.write.mode("append").parquet(f"{self.root}/runs")
 
     def open_run(self, trigger_type: str = "manual") -> str:
         run_id = uuid.uuid4().hex

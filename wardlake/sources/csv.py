@@ -29,7 +29,9 @@ def read_entity(spark: SparkSession, path: str, columns: list[str], **options: s
     if missing:
         raise MissingColumnsError(f"CSV {str(path).rstrip('/').rsplit('/', 1)[-1]} is missing required columns: {missing}")
     # Spark shows the name URL-encoded, in which a plus sign is a plus sign
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    shown = F.col("_metadata.file_name")
+    plain = F.url_decode(F.replace(shown, F.lit("+"), F.lit("%2B")))
+    name = F.when(shown.contains("%"), plain).otherwise(shown)
     return raw.select(*[F.col(c).cast("string") for c in columns], name.alias(SOURCE_FILE))
 
 
