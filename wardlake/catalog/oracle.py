@@ -54,6 +54,12 @@ CATEGORY = """CASE WHEN diagnosis_code IS NULL THEN 'Unknown'
   ELSE 'Other' END AS diagnosis_category"""
 
 
+def _with_copies(source: str, key: str) -> str:
+    """Every 33rd row twice."""
+    return f"""SELECT * EXCLUDE (copy) FROM
+  (SELECT *, unnest(CASE WHEN {key} % 33 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM {source})"""
+
+
 def _clean_patients(source: str, extra_key: str = "") -> str:
     key = f"{extra_key}external_id"
     return f"""SELECT {extra_key}external_id, trim(name) AS name, birth_date, gender, blood_type FROM {source}
@@ -137,7 +143,7 @@ SUBQUERIES = {
   CASE WHEN c_custkey % 40 = 33 THEN NULL WHEN c_custkey % 25 = 0 THEN 'Other'
     WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
   {_list(BLOOD_BY_KEY)}[c_custkey % 8 + 1] AS blood_type FROM customer""",
-    "patients_all": "SELECT * FROM patients_once UNION ALL SELECT * FROM patients_once WHERE c_custkey % 33 = 0",
+    "patients_all": _with_copies("patients_once", "c_custkey"),
     "patients_raw": f"SELECT {P_COLS} FROM patients_all",
     "admissions_once": f"""SELECT *, {DESCRIBE} AS diagnosis_description FROM (SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 20 = 7 THEN 'HOSP-' || CAST(900000 + o_orderkey % 100000 AS VARCHAR)
@@ -150,7 +156,7 @@ SUBQUERIES = {
   {_list(CODE_BY_KEY)}[(o_orderkey + o_custkey) % 11 + 1] AS diagnosis_code,
   CASE o_orderstatus WHEN 'O' THEN 'admitted' WHEN 'F' THEN 'discharged' WHEN 'P' THEN 'transferred' END AS status
   FROM orders)""",
-    "admissions_all": "SELECT * FROM admissions_once UNION ALL SELECT * FROM admissions_once WHERE o_orderkey % 33 = 0",
+    "admissions_all": _with_copies("admissions_once", "o_orderkey"),
     "admissions_raw": f"SELECT {A_COLS} FROM admissions_all",
     "patients_dirty": f"""SELECT CASE WHEN c_custkey % 31 = 5 THEN NULL
     WHEN c_custkey % 31 = 9 THEN 'BAD-' || CAST(c_custkey AS VARCHAR)

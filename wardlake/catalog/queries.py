@@ -300,11 +300,15 @@ def patient_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_documents(patient_documents(found, _clean_admissions(spark, sf), _images(spark, sf)))
 
 
+def _load_time() -> Column:
+    return F.lit("2026-04-21").cast("timestamp")
+
+
 def _merged(spark: SparkSession, sf: str, times: int = 1) -> DataFrame:
     batch = enrich_patients(clean_patients(validate_patients(T.batch_patients(spark, sf)).valid), REFERENCE_DAY)
     merged = T.stored_patients(spark, sf)
     for _ in range(times):
-        merged = merge_upsert(merged, batch, "external_id", LOADED_AT)
+        merged = merge_upsert(merged, batch, "external_id", _load_time())
     return merged
 
 
@@ -321,7 +325,7 @@ def merge_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_stats_query(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_stats(_merged(spark, sf), LOADED_AT)
+    return merge_stats(_merged(spark, sf), _load_time())
 
 
 def replace_admissions_query(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,8 +78,8 @@ def radiographies_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -
 
 
 def newest_runs(runs: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
-    check_bounds(limit, offset)
-    return runs.orderBy(F.desc("started_at"), "run_id").offset(offset).limit(limit)
+    age = runs.withColumn("_age", -F.unix_micros(F.col("started_at").cast("timestamp")))
+    return page_rows(age, ["_age", "run_id"], limit, offset).drop("_age")
 
 
 def runs_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:

@@ -62,10 +62,13 @@ class ClinicalStore:
     def _dir(self, table: str, load: int) -> str:
         return f"{self.root}/{table}/load={load}"
 
+    def _empty(self, schema: T.StructType) -> DataFrame:
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
     def _loads(self, table: str, loads: list[int], schema: T.StructType) -> DataFrame:
         full = T.StructType([*schema.fields, LOAD])
         if not loads:
-            return self.spark.createDataFrame([], full)
+            return self._empty(full)
         reader = self.spark.read.schema(full).option("basePath", f"{self.root}/{table}")
         return reader.parquet(*[self._dir(table, n) for n in loads])
 
@@ -256,7 +259,7 @@ class ClinicalStore:
     def rejected(self, run_id: str | None = None) -> DataFrame:
         path = f"{self.root}/rejected"
         if not fs.names(self.spark, path):
-            return self.spark.createDataFrame([], S.REJECTED)
+            return self._empty(S.REJECTED)
         rows = self.spark.read.schema(S.REJECTED).parquet(path)
         return rows if run_id is None else rows.filter(F.col("pipeline_run_id") == run_id)
 
@@ -279,5 +282,5 @@ class ClinicalStore:
 
     def runs(self) -> DataFrame:
         if not fs.names(self.spark, f"{self.root}/runs"):
-            return run_states(self.spark.createDataFrame([], S.RUN_EVENTS))
+            return run_states(self._empty(S.RUN_EVENTS))
         return run_states(self.spark.read.schema(S.RUN_EVENTS).parquet(f"{self.root}/runs"))

@@ -30,17 +30,20 @@ def export_blobs(blobs: DataFrame, target: str) -> DataFrame:
     ``target`` is a folder all executors can reach. A retried task writes the same bytes to
     the same names, each through a draft and a rename, so no reader sees half a file.
     """
+    root = fs.qualified(blobs.sparkSession, target).rstrip("/")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
         from pyarrow import fs as arrow_fs
 
-        root = target if "://" in target or not target.startswith("file:") else target[len("file:") :]
-        system, base = arrow_fs.FileSystem.from_uri(root) if "://" in root else (arrow_fs.LocalFileSystem(), root)
+        if root.startswith("file:"):
+            system, base = arrow_fs.LocalFileSystem(), "/" + root[len("file:") :].lstrip("/")
+        else:
+            system, base = arrow_fs.FileSystem.from_uri(root)
         for batch in batches:
             for key, content in zip(batch["object_key"], batch["content"]):
-                folder, _, name = f"{base.rstrip('/')}/{key}".rpartition("/")
+                folder, _, name = f"{base}/{key}".rpartition("/")
                 system.create_dir(folder, recursive=True)
                 draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with system.open_output_stream(draft) as out:
