@@ -198,6 +198,7 @@ SUBQUERIES = {
     "images": """SELECT patient AS patient_external_id, patient || '/' || name AS minio_object_key,
   name AS original_filename, length AS file_size_bytes FROM image_classes WHERE disposition = 'ok'""",
     "visible_images": "SELECT * FROM images WHERE patient_external_id IN (SELECT external_id FROM patients)",
+    "attached": "SELECT DISTINCT * FROM visible_images",
     "stored_patients": """SELECT external_id, min('old ' || trim(name)) AS name, 1 AS age, min(c_mktsegment) AS ward
   FROM patients_all WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1""",
     "batch_tagged": f"SELECT *, {PATIENT_REASON} FROM patients_all WHERE c_acctbal >= 0",
@@ -217,16 +218,23 @@ SUBQUERIES = {
   CASE WHEN starts_with(object_key, 'fr/') THEN 'application/octet-stream' ELSE 'text/html' END AS content_type,
   CAST(CASE WHEN starts_with(object_key, 'fr/') THEN 2 ELSE 1 END AS BIGINT) AS load
   FROM page_objects WHERE NOT starts_with(object_key, 'de/')""",
-    "runs": """SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS trigger_type,
-  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
-  CASE WHEN event_type <> 'view' THEN strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S.%f') END AS finished_at,
-  CASE event_type WHEN 'view' THEN 'running' WHEN 'error' THEN 'failed' ELSE 'success' END AS status,
-  CASE WHEN event_type = 'view' THEN 0 ELSE CAST(floor(value * 10) AS BIGINT) END AS records_processed,
-  CASE WHEN event_type = 'view' THEN 0 ELSE user_id END AS records_rejected, CAST(0 AS BIGINT) AS images_processed,
-  CASE WHEN event_type = 'error' THEN 'RuntimeError: ' || props END AS error_message FROM events""",
+    "run_events": """SELECT CAST(event_id AS VARCHAR) AS run_id, ts AS event_at, event_type AS trigger_type,
+  'running' AS status, false AS closing, CAST(0 AS BIGINT) AS records_processed, CAST(0 AS BIGINT) AS records_rejected,
+  NULL AS error_message FROM events
+UNION ALL SELECT CAST(event_id AS VARCHAR), ts + INTERVAL 1 HOUR, NULL,
+  CASE event_type WHEN 'error' THEN 'failed' ELSE 'success' END, true, CAST(floor(value * 10) AS BIGINT), user_id,
+  CASE WHEN event_type = 'error' THEN 'RuntimeError: ' || props END FROM events WHERE event_type <> 'view'""",
+    "runs": """SELECT run_id, max(trigger_type) OVER same AS trigger_type,
+  strftime(min(event_at) OVER same, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+  CASE WHEN closing THEN strftime(event_at, '%Y-%m-%d %H:%M:%S.%f') END AS finished_at,
+  status, records_processed, records_rejected, CAST(0 AS BIGINT) AS images_processed, error_message
+  FROM run_events WINDOW same AS (PARTITION BY run_id)
+  QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY closing DESC, event_at DESC, status DESC,
+    records_processed DESC, records_rejected DESC, error_message DESC NULLS LAST) = 1""",
     "segment_patients": f"SELECT c_mktsegment, {P_COLS}, {PATIENT_REASON} FROM patients_all",
     "segment_admissions": f"""SELECT c_mktsegment, {A_COLS}, {ADMISSION_REASON}
-  FROM admissions_all JOIN customer ON o_custkey = customer.c_custkey""",
+  FROM admissions_all JOIN (SELECT c_custkey, min(c_mktsegment) AS c_mktsegment FROM customer GROUP BY 1)
+  ON o_custkey = c_custkey""",
     "segment_patients_clean": _clean_patients("segment_patients", "c_mktsegment, "),
     "segment_admissions_clean": _clean_admissions("segment_admissions", "c_mktsegment, "),
 }
@@ -308,14 +316,14 @@ UNION ALL SELECT 'admissions', count(*) FROM visible UNION ALL SELECT 'radiograp
   ORDER BY minio_object_key LIMIT 50 OFFSET 10""",
     "served_pages": """SELECT 'patients' AS kind, (SELECT count(*) FROM patients) AS total, concat_ws('|', external_id, name,
     CAST((SELECT count(*) FROM visible v WHERE v.patient_external_id = p.external_id) AS VARCHAR),
-    CAST((SELECT count(*) FROM visible_images v WHERE v.patient_external_id = p.external_id) AS VARCHAR)) AS item
+    CAST((SELECT count(*) FROM attached v WHERE v.patient_external_id = p.external_id) AS VARCHAR)) AS item
   FROM (SELECT * FROM patients ORDER BY external_id LIMIT 50 OFFSET 20) p
 UNION ALL SELECT 'admissions', (SELECT count(*) FROM visible), concat_ws('|', patient_external_id, admission_date,
     department, diagnosis_category)
   FROM (SELECT * FROM visible ORDER BY patient_external_id, admission_date, department LIMIT 50 OFFSET 800)
-UNION ALL SELECT 'radiographies', (SELECT count(*) FROM visible_images),
+UNION ALL SELECT 'radiographies', (SELECT count(*) FROM attached),
     concat_ws('|', minio_object_key, patient_external_id)
-  FROM (SELECT * FROM visible_images ORDER BY minio_object_key LIMIT 10 OFFSET 5)""",
+  FROM (SELECT * FROM attached ORDER BY minio_object_key LIMIT 10 OFFSET 5)""",
     "patient_lookup": f"SELECT * FROM ({_documents(10_000, 'visible_images')}) WHERE external_id = 'HOSP-000042'",
     "merge_patients": "SELECT * FROM merged",
     "merge_idempotent": "SELECT * FROM merged",
@@ -335,7 +343,8 @@ UNION ALL SELECT DISTINCT 'new', patient_external_id, minio_object_key, file_siz
   count(*) AS count FROM images GROUP BY 1, 2""",
     "image_ingest": """SELECT i.minio_object_key, 8 + length(i.original_filename) AS length, v.patient_external_id,
   8 + length(v.original_filename) AS file_size_bytes
-  FROM images i LEFT JOIN visible_images v ON i.minio_object_key = v.minio_object_key""",
+  FROM (SELECT DISTINCT minio_object_key, original_filename FROM images) i
+  LEFT JOIN (SELECT DISTINCT * FROM visible_images) v ON i.minio_object_key = v.minio_object_key""",
     "blob_index": """SELECT bucket, object_key, octet_length(encode(body)) AS length, content_type, load
   FROM objects_now""",
     "blob_list": """SELECT bucket, split_part(object_key, '/', 1) AS folder, count(*) AS n,

@@ -287,9 +287,11 @@ def served_pages(spark: SparkSession, sf: str) -> DataFrame:
     def rows(kind: str, page: Page, text: Column) -> DataFrame:
         return page.items.select(F.lit(kind).alias("kind"), F.lit(page.total).cast("long").alias("total"), text.alias("item"))
 
-    children = [F.size(c).cast("string") for c in ("admissions", "radiographies")]
+    # a large patient is on the page with several parts
+    sizes = [F.sum(F.size(c)).cast("string").alias(c) for c in ("admissions", "radiographies")]
+    whole = patients._replace(items=patients.items.groupBy("external_id", "name").agg(*sizes))
     return (
-        rows("patients", patients, F.concat_ws("|", "external_id", "name", *children))
+        rows("patients", whole, F.concat_ws("|", "external_id", "name", "admissions", "radiographies"))
         .unionByName(rows("admissions", admissions, F.concat_ws("|", *ADMISSION_ORDER, "diagnosis_category")))
         .unionByName(rows("radiographies", radiographies, F.concat_ws("|", "minio_object_key", "patient_external_id")))
     )

@@ -44,8 +44,8 @@ def check_unique(entries: DataFrame) -> None:
 
 def blob_index(log: DataFrame) -> DataFrame:
     """Current objects without their bytes: the newest entry per key that is no removal."""
-    newest = F.max_by(F.struct("length", "content_type", "deleted", "load"), F.col("load"))
-    return log.groupBy(*BLOB_KEY).agg(newest.alias("_n")).select(*BLOB_KEY, "_n.*").filter(~F.col("deleted")).drop("deleted")
+    newest = F.max(F.struct("load", "length", "content_type", "deleted")).alias("_n")
+    return log.groupBy(*BLOB_KEY).agg(newest).select(*BLOB_KEY, "_n.*").filter(~F.col("deleted")).drop("deleted")
 
 
 def list_objects(index: DataFrame, bucket: str, prefix: str = "") -> DataFrame:

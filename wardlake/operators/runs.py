@@ -9,15 +9,12 @@ def run_states(events: DataFrame) -> DataFrame:
 
     Events are small and combine before the shuffle, also for a run with very many of them.
     """
-    rank = F.struct((F.col("status") != "running").alias("closing"), F.col("event_at"), F.col("status"))
-    closed = F.col("_last.status") != "running"
+    closing = F.col("status") != "running"
+    fields = ["status", "records_processed", "records_rejected", "images_processed", "error_message"]
     return (
         events.groupBy("run_id")
         .agg(
-            F.max_by(
-                F.struct("status", "event_at", "records_processed", "records_rejected", "images_processed", "error_message"),
-                rank,
-            ).alias("_last"),
+            F.max(F.struct(closing.alias("closing"), "event_at", *fields)).alias("_last"),
             F.min("event_at").alias("started_at"),
             F.max("trigger_type").alias("trigger_type"),
         )
@@ -25,11 +22,7 @@ def run_states(events: DataFrame) -> DataFrame:
             "run_id",
             "trigger_type",
             "started_at",
-            F.when(closed, F.col("_last.event_at")).alias("finished_at"),
-            "_last.status",
-            "_last.records_processed",
-            "_last.records_rejected",
-            "_last.images_processed",
-            "_last.error_message",
+            F.when(F.col("_last.closing"), F.col("_last.event_at")).alias("finished_at"),
+            *[f"_last.{f}" for f in fields],
         )
     )

@@ -252,7 +252,8 @@ class ClinicalStore:
 
         Counted from the files, since a count taken on the way would include retried tasks.
         """
-        stamped = packed.withColumn("created_at", F.lit(utc_now()))
+        # few rows from very many tasks: gather them into files of a fair size
+        stamped = packed.withColumn("created_at", F.lit(utc_now())).hint("rebalance")
         stamped.write.mode("append").parquet(f"{self.root}/rejected/pipeline_run_id={run_id}")
         return self.rejected(run_id).count()
 

@@ -113,8 +113,9 @@ def patients_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def admissions_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the segment of the ordering customer."""
-    segments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    """With the segment of the ordering customer; one segment per key, so no row is multiplied."""
+    customers = table(spark, sf_dir, "customer")
+    segments = customers.groupBy(F.col("c_custkey").alias("o_custkey")).agg(F.min("c_mktsegment").alias("c_mktsegment"))
     return _admissions(spark, sf_dir).join(segments, "o_custkey").select("c_mktsegment", *ADMISSION_COLUMNS)
 
 
