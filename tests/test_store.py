@@ -222,3 +222,12 @@ def test_pages(spark, store):
     assert [tuple(r)[:2] for r in after] == [r[:2] for r in sorted(rows)[5:8]]
     with pytest.raises(ValueError):
         serve.admissions_page(store, limit=501)
+
+
+def test_a_pinned_store_stays_as_it_was(spark, store):
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 40)))
+    before = store.pinned()
+    store.upsert_patients(patients(spark, ("HOSP-000002", "Bob", 40)))
+    assert before.patients().count() == 1 and store.patients().count() == 2
+    with pytest.raises(ValueError):
+        before.upsert_patients(patients(spark, ("HOSP-000003", "Eva", 40)))

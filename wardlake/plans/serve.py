@@ -27,17 +27,20 @@ def _documents(store: ClinicalStore, patients: DataFrame) -> DataFrame:
 
 def patients_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
     """Patients by id, with nested children (a very large patient has several parts)."""
+    store = store.pinned()
     patients = store.patients()
     rows = page_rows(patients, ["external_id"], limit, offset)
     return Page(patients.count(), limit, offset, _documents(store, rows))
 
 
 def patients_after(store: ClinicalStore, external_id: str, limit: int = 50) -> DataFrame:
+    store = store.pinned()
     return _documents(store, rows_after(store.patients(), ["external_id"], [external_id], limit))
 
 
 def find_patient(store: ClinicalStore, external_id: str) -> DataFrame:
     """The document of one patient, empty when there is none."""
+    store = store.pinned()
     return _documents(store, store.patients().filter(F.col("external_id") == external_id))
 
 
@@ -61,6 +64,7 @@ def _owners(store: ClinicalStore, size: str, limit: int, offset: int) -> tuple[l
 
 
 def admissions_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
+    store = store.pinned()
     ids, skip = _owners(store, "n_admissions", limit, offset)
     rows = store.admissions(ids).select(*ADMISSION_VIEW)
     return Page(total(store, "n_admissions"), limit, offset, page_rows(rows, ADMISSION_ORDER, limit, skip))
@@ -72,6 +76,7 @@ def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) ->
 
 def radiographies_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
     """By object key, which starts with the patient id, so patients come in id order."""
+    store = store.pinned()
     ids, skip = _owners(store, "n_radiographies", limit, offset)
     rows = page_rows(store.radiographies(ids), ["minio_object_key"], limit, skip)
     return Page(total(store, "n_radiographies"), limit, offset, rows)

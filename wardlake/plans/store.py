@@ -28,7 +28,11 @@ from wardlake.operators.runs import run_states
 
 LOAD = T.StructField("load", T.LongType())
 # objects may be large: let the writer look at its buffer often enough
-BLOB_OPTIONS = {"parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.enable.dictionary": False}
+BLOB_OPTIONS = {
+    "parquet.page.size.row.check.min": 1,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.enable.dictionary": False,
+}
 
 
 def utc_now() -> datetime:
@@ -43,10 +47,19 @@ class ClinicalStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = str(root).rstrip("/")
+        self._pinned: dict | None = None
+
+    def pinned(self) -> "ClinicalStore":
+        """The store as of its latest commit, for several reads that have to fit together."""
+        view = ClinicalStore(self.spark, self.root)
+        view._pinned = self._state()
+        return view
 
     # ---- commits ----
 
     def _state(self) -> dict:
+        if self._pinned is not None:
+            return self._pinned
         commits = [n for n in fs.names(self.spark, f"{self.root}/_commits") if n.endswith(".json")]
         if not commits:
             return {"version": 0, "patients": None, "admissions": [], "radiographies": [], "blobs": []}
@@ -56,6 +69,8 @@ class ClinicalStore:
         fs.create_text(self.spark, f"{self.root}/_commits/{state['version']:010d}.json", json.dumps(state))
 
     def _next(self) -> dict:
+        if self._pinned is not None:
+            raise ValueError("a pinned store is for reading")
         state = self._state()
         return {**state, "version": state["version"] + 1}
 
@@ -93,11 +108,13 @@ class ClinicalStore:
         return rows.join(owners, same, "left_semi").drop("load")
 
     def radiographies(self, ids: list[str] | None = None) -> DataFrame:
-        return _of_patients(self._loads("radiographies", self._state()["radiographies"], S.RADIOGRAPHIES), ids).drop("load")
+        rows = self._loads("radiographies", self._state()["radiographies"], S.RADIOGRAPHIES)
+        return _of_patients(rows, ids).drop("load")
 
     def documents(self) -> DataFrame:
         """Patients with nested admissions and radiographies, see operators/nest.py."""
-        return patient_documents(self.patients().drop(*S.STORE_COLUMNS), self.admissions(), self.radiographies())
+        now = self.pinned()
+        return patient_documents(now.patients().drop(*S.STORE_COLUMNS), now.admissions(), now.radiographies())
 
     def is_empty(self) -> bool:
         return self.patients().isEmpty()
@@ -181,7 +198,8 @@ class ClinicalStore:
         owner_load = F.when(F.col("admissions_load").isNotNull(), F.lit(load).cast("long"))
         self._write_admissions(self.admissions(), load)
         self._write_patients(owners.withColumn("admissions_load", owner_load), load)
-        self.radiographies().write.mode("overwrite").parquet(self._dir("radiographies", load))
+        images = self.radiographies().repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
+        images.write.mode("overwrite").parquet(self._dir("radiographies", load))
         log = self.blob_log()
         B.current_contents(log).drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
         state.update(patients=load, admissions=[load], radiographies=[load], blobs=[load])
@@ -199,6 +217,7 @@ class ClinicalStore:
         patients = self._patients(state)
         stored = self._loads("radiographies", state["radiographies"], S.RADIOGRAPHIES)
         fresh = new_radiographies(stored, images.select(*S.RADIOGRAPHIES.fieldNames()), patients)
+        fresh = fresh.repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
         fresh.write.mode("overwrite").parquet(self._dir("radiographies", load))
         added = self._loads("radiographies", [load], S.RADIOGRAPHIES).count()
         if added:

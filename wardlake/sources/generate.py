@@ -154,7 +154,8 @@ def generate_images(keys: DataFrame, most: int = 3, seed: int = 0) -> DataFrame:
     """1 to ``most`` placeholder PNGs per patient key: name, length, content."""
     key = F.col("key")
     png = placeholder_png()
-    n = keys.select(padded_id(key).alias("patient"), F.explode(F.sequence(F.lit(1), (draw(key, seed * 100 + 1) % most + 1).cast("int"))).alias("n"))
+    count = (draw(key, seed * 100 + 1) % most + 1).cast("int")
+    n = keys.select(padded_id(key).alias("patient"), F.explode(F.sequence(F.lit(1), count)).alias("n"))
     return n.select(
         F.concat("patient", F.lit("_xray"), F.col("n").cast("string"), F.lit(".png")).alias("name"),
         F.lit(len(png)).cast("long").alias("length"),

@@ -171,7 +171,11 @@ def admissions_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 41 == 2, F.lit(None)).when(k % 41 == 5, "   ").otherwise(F.col("department")).alias("department"),
         "diagnosis_code",
         "diagnosis_description",
-        F.when(k % 43 == 1, F.lit(None)).when(k % 43 == 4, "unknown").when(k % 43 == 6, "Admitted").otherwise(F.col("status")).alias("status"),
+        F.when(k % 43 == 1, F.lit(None))
+        .when(k % 43 == 4, "unknown")
+        .when(k % 43 == 6, "Admitted")
+        .otherwise(F.col("status"))
+        .alias("status"),
     )
 
 
@@ -195,7 +199,7 @@ def page_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as stored objects: the host is the bucket."""
     return table(spark, sf_dir, "pages").select(
         F.split_part("url", F.lit("/"), F.lit(3)).alias("bucket"),
-        F.concat(F.split_part("url", F.lit("/"), F.lit(4)), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html")).alias("object_key"),
+        F.concat(F.split_part("url", F.lit("/"), F.lit(4)), F.lit("/"), F.col("page_id"), F.lit(".html")).alias("object_key"),
         F.encode("html", "UTF-8").alias("content"),
     )
 
