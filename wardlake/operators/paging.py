@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LIMIT = 500
-SHALLOW = 10_000
+SHALLOW = 2_000
 SPLITTERS = 63
 SAMPLE = 4_000
 
