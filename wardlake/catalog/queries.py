@@ -374,7 +374,7 @@ def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
     fs.make_dirs(spark, f"{root}/files")
     export_blobs(files, f"{root}/files").agg(F.sum("bytes_written")).collect()
     store = ClinicalStore(spark, f"{root}/store")
-    store.load_batch(_clean_patients(spark, sf), _clean_admissions(spark, sf))
+    store.upsert_patients(_clean_patients(spark, sf))
     for _ in range(2):
         records, _tally = sync_images(store, f"{root}/files")
         attach_images(store, records)

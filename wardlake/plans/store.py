@@ -136,13 +136,14 @@ class ClinicalStore:
         unknown = set(batch.columns) - set(S.PATIENTS.fieldNames())
         if unknown:
             raise ValueError(f"patients have no columns {sorted(unknown)}")
+        batch = batch.drop(*S.STORE_COLUMNS)
         now = utc_now()
         state = self._next()
         load = state["version"]
         if admissions is not None:
             self._write_admissions(admissions, load)
             sizes = self._sizes("admissions", load, "n_admissions")
-            batch = batch.drop(*S.STORE_COLUMNS).join(sizes, "external_id", "left").withColumns(
+            batch = batch.join(sizes, "external_id", "left").withColumns(
                 {
                     "admissions_load": F.lit(load).cast("long"),
                     "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
@@ -173,7 +174,7 @@ class ClinicalStore:
 
     def _write_patients(self, rows: DataFrame, load: int) -> None:
         fields = S.PATIENTS.fieldNames()
-        rows = rows.select(*fields).repartitionByRange("external_id").sortWithinPartitions("external_id")
+        rows = rows.select(*fields).sortWithinPartitions("external_id")
         rows.write.mode("overwrite").parquet(self._dir("patients", load))
 
     def _write_admissions(self, rows: DataFrame, load: int) -> None:

@@ -19,7 +19,7 @@ def read_entity(spark: SparkSession, path: str, columns: list[str], **options: s
     as ``escape='"'`` for doubled quotes.
     """
     if not fs.exists(spark, path):
-        raise FileNotFoundError(f"CSV file does not exist: {path}")
+        raise FileNotFoundError(f"no such CSV input: {path}")
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
     if not fs.is_file(spark, path):
         # the header of the first file serves for all: refuse files that differ from it
@@ -27,7 +27,7 @@ def read_entity(spark: SparkSession, path: str, columns: list[str], **options: s
     raw = reader.csv(path)
     missing = [c for c in columns if c not in raw.columns]
     if missing:
-        raise MissingColumnsError(f"CSV {str(path).rstrip('/').rsplit('/', 1)[-1]} is missing required columns: {missing}")
+        raise MissingColumnsError(f"{path} lacks the columns {missing}")
     # Spark shows the name URL-encoded, in which a plus sign is a plus sign
     shown = F.col("_metadata.file_name")
     plain = F.url_decode(F.replace(shown, F.lit("+"), F.lit("%2B")))

@@ -16,7 +16,7 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     which is no image anyway.
     """
     if not fs.exists(spark, path):
-        raise FileNotFoundError(f"Image directory does not exist: {path}")
+        raise FileNotFoundError(f"no such image directory: {path}")
     files = spark.read.format("binaryFile").load(path)
     if not fs.is_file(spark, path):
         parent = fs.qualified(spark, path).split(":", 1)[-1].lstrip("/").rstrip("/")

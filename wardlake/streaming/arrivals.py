@@ -118,4 +118,4 @@ def _relative(column: str, root: str):
 
 def _need_folder(spark: SparkSession, path: str) -> None:
     if not fs.exists(spark, path):
-        raise FileNotFoundError(f"incoming directory does not exist: {path}")
+        raise FileNotFoundError(f"nothing to watch at {path}")
