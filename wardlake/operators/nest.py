@@ -6,6 +6,8 @@ therefore cut into parts: a patient with up to PART_SIZE children of each kind h
 of a child follows from a hash of its own key, so a large patient is grouped by many tasks.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,15 @@ from wardlake.operators.links import bounded_ids, with_patient
 PART_SIZE = 10_000
 
 
-def _part_counts(children: DataFrame, part_size: int) -> DataFrame:
-    """Parts of the patients that need more than one. Counting combines before its shuffle."""
-    n = children.groupBy("patient_external_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > part_size)
-    return n.select("patient_external_id", F.ceil(F.col("n") / part_size).cast("long").alias("n_parts"))
+def _counts(children: DataFrame) -> DataFrame:
+    """Children per patient; combines before its shuffle."""
+    return children.groupBy("patient_external_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _parts(counts: DataFrame, part_size: int) -> DataFrame:
+    """Number of parts of the patients that need more than one."""
+    large = counts.filter(F.col("n") > part_size)
+    return large.select("patient_external_id", F.ceil(F.col("n") / part_size).cast("long").alias("n_parts"))
 
 
 def _part_of(key: list[str]) -> Column:
@@ -26,15 +33,19 @@ def _part_of(key: list[str]) -> Column:
     return F.when(F.col("n_parts").isNull(), F.lit(0)).otherwise(spread % F.col("n_parts")).cast("long")
 
 
-def nest_children(children: DataFrame, key: list[str], field: str, part_size: int = PART_SIZE) -> DataFrame:
+def nest_children(
+    children: DataFrame, key: list[str], field: str, part_size: int = PART_SIZE, counts: DataFrame | None = None
+) -> DataFrame:
     """(patient_external_id, part, <field>): sorted arrays of structs, ``key`` fields leading.
 
-    ``key`` identifies a child within its patient. Children must name valid patients.
+    ``key`` identifies a child within its patient. Children must name valid patients. Known
+    ``counts`` (patient_external_id, n) save a pass over the children.
     """
-    parts = bounded_ids(_part_counts(children, part_size), "n_parts", key="patient_external_id")
+    large = _parts(_counts(children) if counts is None else counts, part_size)
+    large = bounded_ids(large, "n_parts", key="patient_external_id")
     rest = [c for c in children.columns if c not in key]
     return (
-        children.join(parts, "patient_external_id", "left")
+        children.join(large, "patient_external_id", "left")
         .groupBy("patient_external_id", _part_of(key).alias("part"))
         .agg(F.sort_array(F.collect_list(F.struct(*key, *rest))).alias(field))
     )
@@ -45,24 +56,35 @@ def patient_documents(
     admissions: DataFrame,
     radiographies: DataFrame | None = None,
     part_size: int = PART_SIZE,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per patient part, arrays never null. Children of unknown patients drop out."""
-    kinds = [(with_patient(admissions, patients), ["admission_date", "department"], "admissions")]
-    if radiographies is not None:
-        kinds.append((with_patient(radiographies, patients), ["minio_object_key"], "radiographies"))
-
-    counts = _part_counts(kinds[0][0], part_size)
-    for children, _, _ in kinds[1:]:
-        counts = counts.unionByName(_part_counts(children, part_size))
-    counts = counts.groupBy("patient_external_id").agg(F.max("n_parts").alias("n_parts"))
-    counts = bounded_ids(counts, "n_parts", key="patient_external_id").withColumnRenamed("patient_external_id", "external_id")
+    """One row per patient part, arrays never null. Children of unknown patients drop out.
 
-    docs = patients.join(counts, "external_id", "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1).cast("long")))
+    Without ``sizes`` the children are linked to the patients and counted first. A caller who
+    has children of these patients only, and knows how many, passes the counts per patient
+    (external_id, admissions, radiographies).
+    """
+    kinds = [("admissions", admissions, ["admission_date", "department"])]
+    if radiographies is not None:
+        kinds.append(("radiographies", radiographies, ["minio_object_key"]))
+
+    nested, parts = {}, []
+    for field, children, key in kinds:
+        if sizes is None:
+            children = with_patient(children, patients)
+            counts = _counts(children)
+        else:
+            counts = sizes.select(F.col("external_id").alias("patient_external_id"), F.col(field).alias("n"))
+        nested[field] = nest_children(children, key, field, part_size, counts)
+        parts.append(_parts(counts, part_size))
+
+    most = reduce(DataFrame.unionByName, parts).groupBy(F.col("patient_external_id").alias("external_id"))
+    most = bounded_ids(most.agg(F.max("n_parts").alias("n_parts")), "n_parts")
+    docs = patients.join(most, "external_id", "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1).cast("long")))
     docs = docs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1)))
-    for children, key, field in kinds:
-        nested = nest_children(children, key, field, part_size).withColumnRenamed("patient_external_id", "external_id")
-        docs = docs.join(nested, ["external_id", "part"], "left")
-        docs = docs.withColumn(field, F.coalesce(field, F.array().cast(nested.schema[field].dataType)))
+    for field, arrays in nested.items():
+        docs = docs.join(arrays.withColumnRenamed("patient_external_id", "external_id"), ["external_id", "part"], "left")
+        docs = docs.withColumn(field, F.coalesce(field, F.array().cast(arrays.schema[field].dataType)))
     return docs
 
 

@@ -8,9 +8,8 @@ the rows of the few patients on the page are read.
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from wardlake.operators.nest import patient_documents
 from wardlake.operators.paging import Page, check_bounds, page_rows, rows_after
-from wardlake.plans.store import ClinicalStore
+from wardlake.plans.store import ClinicalStore, nest_stored
 from wardlake.schemas import ADMISSION_COLUMNS, ADMISSION_ORDER, PATIENT_COLUMNS
 
 PATIENT_VIEW = [*PATIENT_COLUMNS[:3], "age", *PATIENT_COLUMNS[3:]]
@@ -21,7 +20,7 @@ def _documents(store: ClinicalStore, patients: DataFrame) -> DataFrame:
     """Documents of at most a page of patients."""
     ids = [r["external_id"] for r in patients.select("external_id").collect()]
     found = store.patients().filter(F.col("external_id").isin(ids))
-    docs = patient_documents(found, store.admissions(ids).select(*ADMISSION_VIEW), store.radiographies(ids))
+    docs = nest_stored(found, store.admissions(ids).select(*ADMISSION_VIEW), store.radiographies(ids))
     return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies").orderBy("external_id", "part")
 
 

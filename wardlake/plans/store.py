@@ -43,6 +43,14 @@ def _of_patients(df: DataFrame, ids: list[str] | None, column: str = "patient_ex
     return df if ids is None else df.filter(F.col(column).isin(ids))
 
 
+def nest_stored(patients: DataFrame, admissions: DataFrame, radiographies: DataFrame) -> DataFrame:
+    """Documents of stored patients, who know how many children they have."""
+    sizes = patients.select(
+        "external_id", F.col("n_admissions").alias("admissions"), F.col("n_radiographies").alias("radiographies")
+    )
+    return patient_documents(patients.drop(*S.STORE_COLUMNS), admissions, radiographies, sizes=sizes)
+
+
 class ClinicalStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -114,7 +122,7 @@ class ClinicalStore:
     def documents(self) -> DataFrame:
         """Patients with nested admissions and radiographies, see operators/nest.py."""
         now = self.pinned()
-        return patient_documents(now.patients().drop(*S.STORE_COLUMNS), now.admissions(), now.radiographies())
+        return nest_stored(now.patients(), now.admissions(), now.radiographies())
 
     def is_empty(self) -> bool:
         return self.patients().isEmpty()
