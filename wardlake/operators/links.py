@@ -1,7 +1,8 @@
 """Joins of children (admissions, images) to their patients.
 
 A patient id has the fixed form ``HOSP-`` plus six digits, so however large the input, there
-are at most 10^6 distinct ids: some tens of megabytes. That bound, which the filter below
+are at most 10^6 distinct ids (a few times that with the line breaks that the pattern lets
+pass at the end): some tens of megabytes. That bound, which the filter below
 puts into the plan itself, is why ids are broadcast: the large child side is never shuffled
 and a patient holding a third of the children costs nothing extra. The patient's other
 columns have no such bound and are never broadcast.
