@@ -81,6 +81,14 @@ def test_admissions_are_replaced_and_orphans_stay_out(spark, store):
     assert store.admissions().count() == 1 and serve.total(store, "n_admissions") == 1
 
 
+def test_a_batch_may_name_a_patient_twice(spark, store):
+    twice = patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000001", "Bea", 41))
+    assert store.upsert_patients(twice) == {"upserted": 1, "modified": 0}
+    assert store.load_batch(twice, admissions(spark, ("HOSP-000001", "2025-01-01", "UCI"))) == {"upserted": 0, "modified": 1}
+    assert [r["name"] for r in store.patients().collect()] == ["Ana"]
+    assert store.admissions().count() == 1
+
+
 def test_strange_ids_are_refused(spark, store):
     with pytest.raises(ValueError):
         store.upsert_patients(patients(spark, ("someone", "Ana", 40)))

@@ -278,7 +278,7 @@ def radiographies_page(spark: SparkSession, sf: str) -> DataFrame:
 def served_pages(spark: SparkSession, sf: str) -> DataFrame:
     """The three pages as the store serves them, each row with the grand total."""
     store = ClinicalStore(spark, fs.work_dir(spark, "serve"))
-    store.load_batch(_clean_patients(spark, sf), _clean_admissions(spark, sf))
+    store.load_batch(_clean_patients(spark, sf), _clean_admissions(spark, sf), cleaned=True)
     store.attach_radiographies(_images(spark, sf))
     patients = serve.patients_page(store, limit=50, offset=20)
     admissions = serve.admissions_page(store, limit=50, offset=800)

@@ -78,7 +78,7 @@ def run_from_files(
         admissions = _land(spark, tag(raw_admissions, admission_rules()), f"{landing}/admissions")
 
         clean = process_admissions(admissions.valid)
-        merged = store.load_batch(process_patients(patients.valid, reference), clean)
+        merged = store.load_batch(process_patients(patients.valid, reference), clean, cleaned=True)
         n_patients = merged["upserted"] + merged["modified"]
         # orphans count as processed, also when no patient came in and nothing was written
         n_admissions = store.loaded_rows("admissions") if n_patients else clean.count()

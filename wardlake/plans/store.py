@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from wardlake import fs
 from wardlake import schemas as S
 from wardlake.operators import blobs as B
+from wardlake.operators.clean import deduplicate
 from wardlake.operators.links import bounded_ids
 from wardlake.operators.merge import merge_stats, merge_upsert, new_radiographies
 from wardlake.operators.nest import patient_documents
@@ -130,15 +131,20 @@ class ClinicalStore:
     # ---- patients and admissions ----
 
     def upsert_patients(self, batch: DataFrame) -> dict[str, int]:
-        """Insert or update patients, unique on the id; their admissions stay as they are."""
-        return self._merge(batch, None)
+        """Insert or update patients; their admissions stay as they are.
 
-    def load_batch(self, patients: DataFrame, admissions: DataFrame) -> dict[str, int]:
+        Of several rows with one id the smallest counts, as in operators/clean.py.
+        """
+        return self._merge(deduplicate(batch, S.PATIENT_KEY), None)
+
+    def load_batch(self, patients: DataFrame, admissions: DataFrame, cleaned: bool = False) -> dict[str, int]:
         """Insert or update patients and replace their admissions as a whole.
 
-        Without patients nothing is written, even if there are admissions.
+        Admissions must be unique by patient, day and department. ``cleaned`` says that the
+        patients are unique, too. Without patients nothing is stored, even if there are
+        admissions.
         """
-        return self._merge(patients, admissions)
+        return self._merge(patients if cleaned else deduplicate(patients, S.PATIENT_KEY), admissions)
 
     def _merge(self, batch: DataFrame, admissions: DataFrame | None) -> dict[str, int]:
         unknown = set(batch.columns) - set(S.PATIENTS.fieldNames())
