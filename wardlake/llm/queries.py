@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlake.fs import work_dir
-from wardlake.llm import token_files
+from wardlake.llm import packing, token_files
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -33,13 +33,17 @@ def with_crc32(df: DataFrame, column: str = "ids") -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_crc32(packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
     return with_crc32(token_files.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files,)}
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
