@@ -6,13 +6,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import packing, token_files
+from wardlake.llm import byte_bpe, packing, token_files
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
 WORD_BPE = os.path.join(TOKENIZERS, "word_bpe_49k.json")
+BYTE_BPE = os.path.join(TOKENIZERS, "byte_bpe_multi_50k.tiktoken")
+#: Fixed value: the published pattern that splits text before byte-level merges.
+PIECE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +47,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(token_files.read_tokens(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files)}
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_PATTERN)
+    decoded = byte_bpe.decode(encoded, BYTE_BPE)
+    hashes = {"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)}
+    return decoded.select("doc_id", "n_tokens", *(h.alias(n) for n, h in hashes.items()))
+
+
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
