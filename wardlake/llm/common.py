@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from wardlake.fs import work_dir
@@ -36,17 +37,16 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES):
-    """Yield ``(batch slice, its texts as bytes)`` of about ``size`` bytes; texts stay whole."""
+    """Yield ``(batch slice, its texts as bytes)`` of up to ``size`` bytes, or of one longer text."""
     for batch in batches:
-        texts = byte_texts(batch.column(text))
-        at, held = 0, 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= size:
-                yield batch.slice(at, i + 1 - at), texts[at : i + 1]
-                at, held = i + 1, 0
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, at = np.cumsum(sizes), 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            part = batch.slice(at, to - at)
+            yield part, byte_texts(part.column(text))
+            at = to
 
 
 def mix(x: np.ndarray) -> np.ndarray:

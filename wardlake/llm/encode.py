@@ -5,7 +5,9 @@ import os
 import numpy as np
 
 #: Words remembered by one worker before it starts over; bounds its memory.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 700_000
+#: Words handed to the library at once; its results are much larger than the ids.
+ENCODED_AT_ONCE = 2048
 #: Longer words are encoded without being remembered.
 REMEMBERED_BYTES = 64
 
@@ -36,9 +38,11 @@ class WordEncoder:
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known.clear()
             new = list(set().union(*words))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, one in zip(new, found):
-            self.known[word] = np.array(one.ids, self.kind).tobytes()
+        for at in range(0, len(new), ENCODED_AT_ONCE):
+            part = new[at : at + ENCODED_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for word, one in zip(part, found):
+                self.known[word] = np.array(one.ids, self.kind).tobytes()
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
         for word in new:
             if len(word) > REMEMBERED_BYTES:
