@@ -1,12 +1,13 @@
 """Small helpers the operators share: written intermediate tables, text batches, vectorised hashing."""
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from wardlake.fs import work_dir
 
@@ -113,3 +114,22 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 def split_words(text: bytes) -> list[bytes]:
     return re.findall(WORD, text)
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name the table does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def extend(df: DataFrame, fields: list[T.StructField], compute: Callable[[list[bytes]], list[pa.Array]], text: str = "text") -> DataFrame:
+    """All columns of a table and new ones computed from the texts, batch by batch."""
+    names = [*df.columns, *(f.name for f in fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches, text):
+            yield pa.RecordBatch.from_arrays([*part.columns, *compute(texts)], names)
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))

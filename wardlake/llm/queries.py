@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, fingerprint, packing, token_files
+from wardlake.llm import byte_bpe, fingerprint, packing, token_files, toxicity
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -58,7 +58,11 @@ def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op8_quartile_digest)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op8_quartile_digest, op10_toxicity)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
