@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, fingerprint, packing, token_files, toxicity
+from wardlake.llm import byte_bpe, fingerprint, packing, secret_scan, token_files, toxicity
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -54,6 +54,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", *(h.alias(n) for n, h in hashes.items()))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_markov")
+
+
 def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -62,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op8_quartile_digest, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op6_secret_scan, op8_quartile_digest, op10_toxicity)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
