@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from wardlake import fs
 from wardlake.fs import work_dir
 
 #: Words of the corpus: runs of anything but ASCII white space.
@@ -22,14 +23,31 @@ _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
-    """Write a table below the shared checkpoint folder and read it back.
+class Scratch:
+    """Intermediate tables of one job, written below the shared checkpoint folder.
 
-    Cuts the lineage, survives lost executors, and lets several readers share one computation.
+    Writing cuts the lineage, survives lost executors and lets several readers share one
+    computation. Shuffle files are given up as soon as a table is written, and a table may be
+    dropped once all that was made from it is written too.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.base = spark, work_dir(spark, label)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.base}/{name}"
+        with fs.settings(self.spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+            df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            fs.remove(self.spark, f"{self.base}/{name}")
+
+
+def stash(df: DataFrame, label: str) -> DataFrame:
+    """A single intermediate table that stays."""
+    return Scratch(df.sparkSession, label).keep(df, "table")
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:

@@ -1,5 +1,6 @@
 """Registered queries of the subpackage, each over its whole table with production parameters."""
 
+import hashlib
 import os
 import zlib
 from collections.abc import Iterator
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, fingerprint, packing, secret_scan, token_files, toxicity
+from wardlake.llm import byte_bpe, fingerprint, packing, secret_scan, substring, token_files, toxicity
+from wardlake.llm.common import chunks, split_words
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -59,6 +61,19 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_markov")
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept, names = substring.remove_repeats(documents)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches):
+            digests = [hashlib.sha256(b" ".join(split_words(t))).hexdigest() for t in texts]
+            columns = [part.column(c) for c in ("doc_id", names["n_words"], names["n_removed"])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(digests)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    return kept.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
 def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -67,7 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op6_secret_scan, op8_quartile_digest, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op3_token_files, op4_byte_bpe, op6_secret_scan, op7_substring, op8_quartile_digest, op10_toxicity)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
