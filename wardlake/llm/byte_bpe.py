@@ -19,29 +19,27 @@ from pyspark.sql import functions as F
 
 from wardlake.llm.common import chunks
 
-#: Pieces and pairs remembered by one worker before it starts over; bounds its memory.
-REMEMBERED = 1_200_000
+#: Pieces remembered by one worker in each of two generations, and pairs; bounds its memory.
+REMEMBERED, REMEMBERED_PAIRS = 200_000, 1 << 17
 #: Longer pieces are encoded without being remembered.
 REMEMBERED_CHARS = 64
 
 
 class Vocabulary:
-    """Ranks of byte strings, and the two parts each entry is merged from."""
+    """Byte strings by rank, and the two parts each entry is merged from."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
         self.text = {rank: word for word, rank in ranks.items()}
         self.parts: dict[int, tuple[int, int]] = {}
-        self.whole: dict[tuple[int, int], int] = {}
         for rank in sorted(self.text):
-            self._split(rank)
+            self._split(rank, ranks)
 
-    def _split(self, rank: int) -> None:
+    def _split(self, rank: int, ranks: dict[bytes, int]) -> None:
         """Merge an entry's bytes by lower ranks; entries that end as two parts are reachable."""
         word = self.text[rank]
         parts = [word[i : i + 1] for i in range(len(word))]
         while len(parts) > 2:
-            joined = [self.ranks.get(a + b, rank) for a, b in zip(parts, parts[1:])]
+            joined = [ranks.get(a + b, rank) for a, b in zip(parts, parts[1:])]
             lowest = min(joined)
             if lowest >= rank:
                 return
@@ -49,9 +47,8 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         if len(parts) == 1:
             self.parts[rank] = (rank, rank)
-        elif all(p in self.ranks for p in parts):
-            self.parts[rank] = (self.ranks[parts[0]], self.ranks[parts[1]])
-            self.whole[self.parts[rank]] = rank
+        elif all(p in ranks for p in parts):
+            self.parts[rank] = (ranks[parts[0]], ranks[parts[1]])
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -65,13 +62,16 @@ class Pieces(dict):
     """Ids by piece, filled on demand."""
 
     def __init__(self, encoder: "Encoder"):
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encoder.piece_ids(piece.encode("utf-8"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.encoder.piece_ids(piece.encode("utf-8").decode("latin-1"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.older = self.copy()
                 self.clear()
             self[piece] = packed
         return packed
@@ -84,18 +84,22 @@ class Encoder:
         import ahocorasick
         import regex
 
-        self.ranks, self.text = vocabulary.ranks, vocabulary.text
-        self.parts, self.whole = vocabulary.parts, vocabulary.whole
+        self.text, self.parts = vocabulary.text, vocabulary.parts
+        self.whole = {pair: rank for rank, pair in self.parts.items() if pair[0] != rank}
         self.find = regex.compile(pattern).findall
+        #: Every entry as Latin-1 text; those no merges lead to only stand for a whole piece.
+        self.every = {word.decode("latin-1"): rank for rank, word in self.text.items()}
+        reached = len(self.parts) == len(self.text)
+        self.entry = self.every if reached else {w: r for w, r in self.every.items() if r in self.parts}
         self.automaton = ahocorasick.Automaton()
-        for rank in self.parts:
-            word = self.text[rank]
-            self.automaton.add_word(word.decode("latin-1"), rank)
-        self.entry = {self.text[rank].decode("latin-1"): rank for rank in self.parts}
-        self.size = {rank: len(word) for rank, word in self.text.items()}
-        self.longest = max(self.size.values(), default=0)
+        for word, rank in self.entry.items():
+            self.automaton.add_word(word, rank)
+        self.size = [0] * (max(self.text, default=0) + 1)
+        for rank, word in self.text.items():
+            self.size[rank] = len(word)
+        self.longest = max(self.size)
         self.shorter: dict[int, int | None] = {}
-        self.apart = lru_cache(maxsize=REMEMBERED)(self._apart)
+        self.apart = lru_cache(maxsize=REMEMBERED_PAIRS)(self._apart)
         self.known = Pieces(self)
 
     def _apart(self, left: int, right: int) -> bool:
@@ -144,12 +148,12 @@ class Encoder:
             self.shorter[rank] = next((r for r in found if r is not None), None)
         return self.shorter[rank]
 
-    def piece_ids(self, piece: bytes) -> list[int]:
-        """Ids of one match of the pattern."""
-        direct = self.ranks.get(piece)
+    def piece_ids(self, text: str) -> list[int]:
+        """Ids of one match of the pattern, given as Latin-1 text."""
+        direct = self.every.get(text)
         if direct is not None:
             return [direct]
-        text, stop = piece.decode("latin-1"), len(piece)
+        stop = len(text)
         apart, size, dead = self.apart, self.size, set()
         out, at, rank = [], 0, self._longest(text, 0)
         while True:
@@ -172,19 +176,16 @@ class Encoder:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.known.__getitem__, self.find(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+_encoders: dict[tuple[str, str], Encoder] = {}
 
-_encoders: dict[tuple, Encoder] = {}
 
-
-def _worker_encoder(shared, pattern: str) -> Encoder:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _encoders:
+def _worker_encoder(shared, path: str, pattern: str) -> Encoder:
+    """The worker's encoder; it keeps that of the last vocabulary only."""
+    if (path, pattern) not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(shared.value, pattern)
-    return _encoders[key]
+        _encoders[path, pattern] = Encoder(shared.value, pattern)
+    return _encoders[path, pattern]
 
 
 def _shared(spark: SparkSession, path: str):
@@ -201,7 +202,7 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     shared = _shared(documents.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _worker_encoder(shared, pattern)
+        enc = _worker_encoder(shared, path, pattern)
         for batch, texts in chunks(batches):
             ids = [enc.encode(t.decode("utf-8")) for t in texts]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
@@ -213,12 +214,13 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Add ``decoded``, the bytes of ``ids``; null ids give null. All other columns stay."""
-    shared = _shared(encoded.sparkSession, path)
+    words = {rank: word for word, rank in read_ranks(encoded.sparkSession, path).items()}
+    shared = encoded.sparkSession.sparkContext.broadcast(words)
     names = encoded.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value.text.__getitem__
+        words = shared.value.__getitem__
         kept = [n for n in names if n != "decoded"]
         for batch in batches:
             for at in range(0, batch.num_rows, 512):  # bounded output batches
