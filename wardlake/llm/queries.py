@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity
+from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity
 from wardlake.llm.common import chunks, split_words
 
 #: Folder of the public vocabulary files; the same on every machine.
@@ -82,11 +82,15 @@ def op8_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op9_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op6_secret_scan, op7_substring, op8_quartile_digest, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
