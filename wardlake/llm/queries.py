@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity
+from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity, transcripts
 from wardlake.llm.common import chunks, split_words
 
 #: Folder of the public vocabulary files; the same on every machine.
@@ -60,6 +60,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", *(h.alias(n) for n, h in hashes.items()))
 
 
+def op5_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = transcripts.as_transcripts(table(spark, sf_dir, "conversations"))
+    model = transcripts.train(raw.filter(transcripts.in_training(F.col("conv_id"))))
+    return transcripts.render(transcripts.parse(raw.drop("role"), model))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_markov")
@@ -90,7 +96,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op5_transcripts, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity)}
 
 #: None of these can be said in SQL; tests/llm holds them against brute force.
 ORACLE: dict[str, str] = {}
