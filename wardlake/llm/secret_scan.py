@@ -19,12 +19,14 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
-#: Runs the models judge, and words they learn as ordinary.
+#: Runs the models judge, and words and numbers they learn as ordinary: no mixture of both.
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
-WORD = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}+"
+WORD = r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z_-]{8,}+|[0-9-]{8,}+)(?![A-Za-z0-9+/_-])"
 CLASSES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 #: Documents the models are trained on at most, and the log odds a run has to outweigh.
-TRAINING_ROWS, LOG_ODDS = 2_000, math.log(10_000)
+TRAINING_ROWS, LOG_ODDS = 2_000, math.log(1_000_000)
+#: Weight of a character's own frequency against the counted steps.
+BACKOFF = 8.0
 
 _SPANS = "array<struct<start:int,end:int>>"
 
@@ -91,11 +93,16 @@ def train(documents: DataFrame, rows: int = TRAINING_ROWS) -> list[float]:
     counted = _steps(random).withColumn("kind", F.lit(1)).union(_steps(ordinary).withColumn("kind", F.lit(0)))
     known = {c: i for i, c in enumerate(CLASSES)}
     n = len(CLASSES)
-    counts = [[[0.5] * n for _ in range(n)] for _ in range(2)]
+    counts = [[[0] * n for _ in range(n)] for _ in range(2)]
     for row in counted.collect():
         if row.a in known and row.b in known:
             counts[row.kind][known[row.a]][known[row.b]] += row.n
-    shares = [[[v / sum(line) for v in line] for line in table] for table in counts]
+    shares = []
+    for table in counts:
+        # steps seen too seldom fall back on how common the second character is
+        total = sum(map(sum, table))
+        common = [(sum(line[b] for line in table) + 0.5) / (total + 0.5 * n) for b in range(n)]
+        shares.append([[(v + BACKOFF * c) / (sum(line) + BACKOFF) for v, c in zip(line, common)] for line in table])
     return [math.log(r / o) for line_r, line_o in zip(shares[1], shares[0]) for r, o in zip(line_r, line_o)]
 
 
