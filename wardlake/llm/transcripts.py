@@ -121,7 +121,8 @@ def train(parts: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["kind", "i", "j", "n"])
 
     counted = _segments(parts, "role").mapInArrow(run, "kind long, i long, j long, n long")
-    tables = [np.full((STATES, STATES), 0.5), *(np.full((STATES, n), 0.5) for n in _SIZES)]
+    # a marker that contradicts the role is all but impossible, even where little was counted
+    tables = [np.full((STATES, STATES), 0.5), np.full((STATES, _SIZES[0]), 1e-3), *(np.full((STATES, n), 0.5) for n in _SIZES[1:])]
     for row in counted.groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).collect():
         tables[row.kind][row.i, row.j] += row.n
     later = np.arange(1, STATES, 2)
