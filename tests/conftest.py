@@ -58,20 +58,20 @@ def inputs(write_text):
     patients = write_text(
         "in/patients.csv",
         PATIENT_COLUMNS,
-        "HOSP-000001,Ana Garcia,1980-05-12,F,A+",
-        "HOSP-000002, Luis Perez ,1975-03-22,M,O-",
-        "HOSP-000001,Ana Garcia,1980-05-12,F,A+",
-        "HOSP-000003,,1975-03-22,M,O-",
-        "HOSP-000004,Eva,12/05/1980,F,B+",
+        "HOSP-000001,Nuria Vidal,1971-11-04,F,A+",
+        "HOSP-000002, Oriol Sanz ,1966-08-30,M,O-",
+        "HOSP-000001,Nuria Vidal,1971-11-04,F,A+",
+        "HOSP-000003,,1966-08-30,M,O-",
+        "HOSP-000004,Eva,04/11/1971,F,B+",
     )
     admissions = write_text(
         "in/admissions.csv",
         ADMISSION_COLUMNS,
-        "HOSP-000001,2025-03-10,2025-03-15,UCI,J18.9,Pneumonia,discharged",
-        "HOSP-000001,2025-06-01,,Urgencias,U07.1,COVID-19,admitted",
-        "HOSP-000001,2025-06-01,, Urgencias ,U07.1,COVID-19,admitted",
-        "HOSP-000002,2025-04-05,,Cardiologia,I21.9,Infarction,admitted",
-        "HOSP-900001,2025-04-05,,Cardiologia,I21.9,Infarction,admitted",
-        "HOSP-000002,05/04/2025,,Cardiologia,I21.9,Infarction,admitted",
+        "HOSP-000001,2024-07-09,2024-07-21,UCI,J18.9,Pneumonia,discharged",
+        "HOSP-000001,2024-10-02,,Urgencias,U07.1,COVID-19,admitted",
+        "HOSP-000001,2024-10-02,, Urgencias ,U07.1,COVID-19,admitted",
+        "HOSP-000002,2024-08-14,,Cardiologia,I21.9,Infarction,admitted",
+        "HOSP-900001,2024-08-14,,Cardiologia,I21.9,Infarction,admitted",
+        "HOSP-000002,14/08/2024,,Cardiologia,I21.9,Infarction,admitted",
     )
     return patients, admissions

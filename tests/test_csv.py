@@ -5,26 +5,26 @@ from wardlake.sources.csv import MissingColumnsError, read_admissions, read_pati
 
 
 def test_columns_come_by_header_and_extras_are_dropped(spark, write_text):
-    path = write_text("p.csv", ["extra", *reversed(PATIENT_COLUMNS)], "x,A+,F,1980-05-12,Ana,HOSP-000001")
+    path = write_text("p.csv", ["extra", *reversed(PATIENT_COLUMNS)], "x,A+,F,1971-11-04,Nuria,HOSP-000001")
     df = read_patients(spark, path)
     assert df.columns == [*PATIENT_COLUMNS, "_source_file"]
     assert {t for _, t in df.dtypes} == {"string"}
-    assert tuple(df.head()) == ("HOSP-000001", "Ana", "1980-05-12", "F", "A+", "p.csv")
+    assert tuple(df.head()) == ("HOSP-000001", "Nuria", "1971-11-04", "F", "A+", "p.csv")
 
 
 def test_rows_are_kept_as_they_are(spark, write_text):
-    path = write_text("p.csv", PATIENT_COLUMNS, "BAD, Ana ,12/05/1980,X,", '"",,,,', "HOSP-000002,Luis", "HOSP-000003,a,b,c,d,e,f")
+    path = write_text("p.csv", PATIENT_COLUMNS, "BAD, Nuria ,04/11/1971,X,", '"",,,,', "HOSP-000002,Oriol", "HOSP-000003,a,b,c,d,e,f")
     rows = [tuple(r)[:5] for r in read_patients(spark, path).collect()]
     assert rows == [
-        ("BAD", " Ana ", "12/05/1980", "X", None),
+        ("BAD", " Nuria ", "04/11/1971", "X", None),
         (None, None, None, None, None),
-        ("HOSP-000002", "Luis", None, None, None),
+        ("HOSP-000002", "Oriol", None, None, None),
         ("HOSP-000003", "a", "b", "c", "d"),
     ]
 
 
 def test_missing_columns_are_all_named(spark, write_text):
-    path = write_text("p.csv", ["External_Id", "name", "gender"], "HOSP-000001,Ana,F")
+    path = write_text("p.csv", ["External_Id", "name", "gender"], "HOSP-000001,Nuria,F")
     with pytest.raises(MissingColumnsError) as error:
         read_patients(spark, path)
     for column in ["external_id", "birth_date", "blood_type"]:
@@ -46,12 +46,12 @@ def test_header_only_and_empty_file(spark, write_text, tmp_path):
 
 
 def test_file_name_with_a_space(spark, write_text):
-    path = write_text("my+new patients 100%.csv", PATIENT_COLUMNS, "HOSP-000001,Ana,1980-05-12,F,A+")
+    path = write_text("my+new patients 100%.csv", PATIENT_COLUMNS, "HOSP-000001,Nuria,1971-11-04,F,A+")
     assert read_patients(spark, path).head()["_source_file"] == "my+new patients 100%.csv"
 
 
 def test_written_values_come_back(spark, patients_of, tmp_path):
-    df = patients_of(("HOSP-000001", "  padded ", "1980-05-12", "F", "A+"), ("HOSP-000002", "", None, 'a,"b', "O+"))
+    df = patients_of(("HOSP-000001", "  padded ", "1971-11-04", "F", "A+"), ("HOSP-000002", "", None, 'a,"b', "O+"))
     path = str(tmp_path / "out")
     write_csv(df, path)
     rows = {r["external_id"]: r for r in read_patients(spark, path, escape="\\").collect()}
@@ -61,7 +61,7 @@ def test_written_values_come_back(spark, patients_of, tmp_path):
 
 
 def test_part_files_with_other_headers_are_refused(spark, write_text):
-    write_text("dir/a.csv", PATIENT_COLUMNS, "HOSP-000001,Ana,1980-05-12,F,A+")
-    path = write_text("dir/b.csv", list(reversed(PATIENT_COLUMNS)), "A+,F,1980-05-12,Ana,HOSP-000001")
+    write_text("dir/a.csv", PATIENT_COLUMNS, "HOSP-000001,Nuria,1971-11-04,F,A+")
+    path = write_text("dir/b.csv", list(reversed(PATIENT_COLUMNS)), "A+,F,1971-11-04,Nuria,HOSP-000001")
     with pytest.raises(Exception, match="(?i)header"):
         read_patients(spark, path.rsplit("/", 1)[0]).collect()

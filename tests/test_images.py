@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from wardlake.operators.images import accepted_images, classify_images
 from wardlake.plans.pipeline import sync_images
 from wardlake.plans.store import ClinicalStore
-from wardlake.schemas import PNG_SIGNATURE
+from wardlake.schemas import IMAGES_BUCKET, PNG_SIGNATURE
 from wardlake.sources.generate import placeholder_png
 from wardlake.sources.images import export_blobs, read_images
 
@@ -76,6 +76,7 @@ def test_sync_and_export(spark, folder, tmp_path):
     for _ in range(2):
         written = export_blobs(store.blob_contents(), str(target)).agg(F.sum("bytes_written")).head()[0]
     assert written == 2 * len(placeholder_png()) + len(PNG_SIGNATURE)
+    target = target / IMAGES_BUCKET
     assert (target / "HOSP-000001" / "HOSP-000001_ok.png").read_bytes() == placeholder_png()
     assert sorted(p.name for p in target.rglob("*") if p.is_file()) == sorted(rows)
 
@@ -86,3 +87,22 @@ def test_a_failed_upload_leaves_no_record(spark, folder, tmp_path, monkeypatch):
     with pytest.raises(OSError):
         sync_images(store, folder)
     assert store.blobs().count() == 0
+
+
+def test_equal_keys_of_two_buckets_stay_apart(spark, tmp_path):
+    rows = spark.createDataFrame([("b1", "k/a", bytearray(b"1")), ("b2", "k/a", bytearray(b"22"))], "bucket string, object_key string, content binary")
+    assert export_blobs(rows, str(tmp_path / "out")).count() == 2
+    assert [(tmp_path / "out" / b / "k" / "a").read_bytes() for b in ("b1", "b2")] == [b"1", b"22"]
+
+
+def test_a_key_that_leaves_its_bucket_is_refused(spark, tmp_path):
+    for key in ("../escaped", "a/../../b", "/abs", "a//b"):
+        rows = spark.createDataFrame([("b", key, bytearray(b"1"))], "bucket string, object_key string, content binary")
+        with pytest.raises(Exception, match="not a path below the target"):
+            export_blobs(rows, str(tmp_path / "out")).count()
+    assert not (tmp_path / "escaped").exists()
+
+
+def test_images_of_a_glob(spark, folder):
+    assert {r["name"] for r in read_images(spark, f"{folder}/*.png").select("name").collect()} <= {r["name"] for r in read_images(spark, folder).select("name").collect()}
+    assert read_images(spark, f"{folder}/*.png").count() > 0

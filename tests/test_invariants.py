@@ -57,8 +57,8 @@ def test_known_image_counts(spark):
 IDS = ["HOSP-000001", "HOSP-000002", "HOSP-000003", "HOSP-12", None]
 PATIENT = st.tuples(
     st.sampled_from(IDS),
-    st.sampled_from(["Ana", " Ana ", "Bea", " ", None]),
-    st.sampled_from(["1980-05-12", "1999-02-30", "12/05/1980", None]),
+    st.sampled_from(["Nuria", " Nuria ", "Bea", " ", None]),
+    st.sampled_from(["1971-11-04", "1999-02-30", "04/11/1971", None]),
     st.sampled_from(["M", "F", "Other", "X", None]),
     st.sampled_from(["A+", "O-", "Z", None]),
 )
@@ -74,7 +74,7 @@ ADMISSION = st.tuples(
 
 
 def good_patient(r):
-    return r[0] in IDS[:3] and (r[1] or "").strip(" ") and r[2] in ("1980-05-12", "1999-02-30") and r[3] in ("M", "F", "Other") and r[4] in ("A+", "O-")
+    return r[0] in IDS[:3] and (r[1] or "").strip(" ") and r[2] in ("1971-11-04", "1999-02-30") and r[3] in ("M", "F", "Other") and r[4] in ("A+", "O-")
 
 
 def good_admission(r):

@@ -24,14 +24,14 @@ def test_a_whole_run(spark, store, inputs):
     docs = {d["external_id"]: d for d in store.documents().collect()}
     assert set(docs) == {"HOSP-000001", "HOSP-000002"}
     ana = docs["HOSP-000001"]
-    assert ana["age"] == 45 and ana["_source_file"] == "patients.csv"
+    assert ana["age"] == 54 and ana["_source_file"] == "patients.csv"
     assert {a["diagnosis_category"] for a in ana["admissions"]} == {"Pneumonia", "COVID-19"}
-    assert docs["HOSP-000002"]["name"] == "Luis Perez" and len(docs["HOSP-000002"]["admissions"]) == 1
+    assert docs["HOSP-000002"]["name"] == "Oriol Sanz" and len(docs["HOSP-000002"]["admissions"]) == 1
 
     rejects = {(r["source_file"], r["rejection_reason"]) for r in store.rejected(result.run_id).collect()}
     assert rejects == {("patients.csv", "missing name"), ("patients.csv", "invalid birth_date"), ("admissions.csv", "invalid admission_date")}
     bad_day = store.rejected().filter("rejection_reason = 'invalid admission_date'").head()["raw_data"]
-    assert bad_day["admission_date"] == "05/04/2025" and bad_day["discharge_date"] is None
+    assert bad_day["admission_date"] == "14/08/2024" and bad_day["discharge_date"] is None
     assert set(bad_day) == {*ADMISSION_COLUMNS, "_source_file"}
 
     run = serve.latest_run(store)
@@ -69,7 +69,7 @@ def test_a_missing_file_fails_the_run(spark, store, tmp_path):
 
 
 def test_missing_columns_fail_the_run(store, write_text, inputs):
-    bad = write_text("bad.csv", PATIENT_COLUMNS[1:], "Ana,1980-05-12,F,A+")
+    bad = write_text("bad.csv", PATIENT_COLUMNS[1:], "Nuria,1971-11-04,F,A+")
     with pytest.raises(ValueError):
         run_from_files(store, bad, inputs[1])
     assert serve.latest_run(store)["error_message"].startswith("MissingColumnsError: ")
@@ -96,7 +96,7 @@ def test_no_run_when_it_cannot_be_opened(store, monkeypatch, inputs):
 
 
 def test_without_valid_patients_nothing_is_stored(store, write_text, inputs):
-    patients = write_text("p.csv", PATIENT_COLUMNS, "BAD,Ana,1980-05-12,F,A+")
+    patients = write_text("p.csv", PATIENT_COLUMNS, "BAD,Nuria,1971-11-04,F,A+")
     result = run_from_files(store, patients, inputs[1])
     assert store.is_empty() and store.admissions().count() == 0
     assert (result.records_processed, result.records_rejected) == (4, 2)

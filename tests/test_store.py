@@ -41,10 +41,10 @@ def test_an_empty_store(store):
 
 
 def test_upsert_counts_and_overwrites(spark, store):
-    first = patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000002", "Bob", 55))
+    first = patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 55))
     assert store.upsert_patients(first) == {"upserted": 2, "modified": 0}
     born = {r["external_id"]: r["created_at"] for r in store.patients().collect()}
-    assert store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 41))) == {"upserted": 0, "modified": 1}
+    assert store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 41))) == {"upserted": 0, "modified": 1}
     rows = {r["external_id"]: r for r in store.patients().collect()}
     assert rows["HOSP-000001"]["age"] == 41 and rows["HOSP-000002"]["age"] == 55
     assert {k: r["created_at"] for k, r in rows.items()} == born
@@ -54,49 +54,49 @@ def test_upsert_counts_and_overwrites(spark, store):
 def test_an_empty_batch_changes_nothing(spark, store):
     version = store._state()["version"]
     assert store.upsert_patients(patients(spark)) == {"upserted": 0, "modified": 0}
-    some = admissions(spark, ("HOSP-000001", "2025-03-10", "UCI"))
+    some = admissions(spark, ("HOSP-000001", "2024-07-09", "UCI"))
     assert store.load_batch(patients(spark), some) == {"upserted": 0, "modified": 0}
     assert store.is_empty() and store._state()["version"] == version
-    store.load_batch(patients(spark, ("HOSP-000001", "Ana", 1)), some)
+    store.load_batch(patients(spark, ("HOSP-000001", "Nuria", 1)), some)
     assert store.load_batch(patients(spark), some) == {"upserted": 0, "modified": 0}
     assert store.admissions().count() == 1
 
 
 def test_admissions_are_replaced_and_orphans_stay_out(spark, store):
-    both = patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000002", "Bob", 55))
-    rows = [("HOSP-000001", "2025-03-10", "UCI"), ("HOSP-000001", "2025-06-01", "Urgencias"), ("HOSP-000002", "2025-04-05", "UCI")]
+    both = patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 55))
+    rows = [("HOSP-000001", "2024-07-09", "UCI"), ("HOSP-000001", "2024-10-02", "Urgencias"), ("HOSP-000002", "2024-08-14", "UCI")]
     for _ in range(2):
-        store.load_batch(both, admissions(spark, *rows, ("HOSP-000009", "2025-04-05", "UCI")))
+        store.load_batch(both, admissions(spark, *rows, ("HOSP-000009", "2024-08-14", "UCI")))
         assert store.admissions().count() == 3
-    # only Ana comes again, with one admission; Bob's load is untouched
-    store.load_batch(both.filter("name = 'Ana'"), admissions(spark, ("HOSP-000001", "2026-01-01", "UCI"), ("HOSP-000002", "2026-01-01", "UCI")))
+    # only Nuria comes again, with one admission; Bob's load is untouched
+    store.load_batch(both.filter("name = 'Nuria'"), admissions(spark, ("HOSP-000001", "2026-01-01", "UCI"), ("HOSP-000002", "2026-01-01", "UCI")))
     got = sorted((r[0], r[1]) for r in store.admissions().collect())
-    assert got == [("HOSP-000001", "2026-01-01"), ("HOSP-000002", "2025-04-05")]
+    assert got == [("HOSP-000001", "2026-01-01"), ("HOSP-000002", "2024-08-14")]
     # a patient loaded without admissions has an empty array
     store.load_batch(both.filter("name = 'Bob'"), admissions(spark))
     docs = {d["external_id"]: d for d in store.documents().collect()}
     assert docs["HOSP-000002"]["admissions"] == [] and len(docs["HOSP-000001"]["admissions"]) == 1
     # an update of the patient alone keeps them
-    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana Maria", 41)))
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria Maria", 41)))
     assert store.admissions().count() == 1 and serve.total(store, "n_admissions") == 1
 
 
 def test_a_batch_may_name_a_patient_twice(spark, store):
-    twice = patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000001", "Bea", 41))
+    twice = patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000001", "Zoe", 41))
     assert store.upsert_patients(twice) == {"upserted": 1, "modified": 0}
     assert store.load_batch(twice, admissions(spark, ("HOSP-000001", "2025-01-01", "UCI"))) == {"upserted": 0, "modified": 1}
-    assert [r["name"] for r in store.patients().collect()] == ["Ana"]
+    assert [r["name"] for r in store.patients().collect()] == ["Nuria"]
     assert store.admissions().count() == 1
 
 
 def test_strange_ids_are_refused(spark, store):
     with pytest.raises(ValueError):
-        store.upsert_patients(patients(spark, ("someone", "Ana", 40)))
+        store.upsert_patients(patients(spark, ("someone", "Nuria", 40)))
     assert store.is_empty()
 
 
 def test_radiographies(spark, store):
-    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000002", "Bob", 55)))
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 55)))
     batch = images(spark, ("HOSP-000001", "HOSP-000001/a.png"), ("HOSP-000001", "HOSP-000001/a.png"), ("HOSP-000009", "HOSP-000009/a.png"))
     stamps = {r["external_id"]: r["updated_at"] for r in store.patients().collect()}
     assert [store.attach_radiographies(batch) for _ in range(3)] == [1, 0, 0]
@@ -104,7 +104,7 @@ def test_radiographies(spark, store):
     assert after["HOSP-000001"] > stamps["HOSP-000001"] and after["HOSP-000002"] == stamps["HOSP-000002"]
     assert store.attach_radiographies(images(spark, ("HOSP-000001", "HOSP-000001/b.png"))) == 1
     # they survive an update of the patient
-    store.load_batch(patients(spark, ("HOSP-000001", "Ana", 41)), admissions(spark))
+    store.load_batch(patients(spark, ("HOSP-000001", "Nuria", 41)), admissions(spark))
     doc = next(d for d in store.documents().collect() if d["external_id"] == "HOSP-000001")
     assert [r["minio_object_key"] for r in doc["radiographies"]] == ["HOSP-000001/a.png", "HOSP-000001/b.png"]
     assert serve.total(store, "n_radiographies") == 2
@@ -140,9 +140,9 @@ def test_many_stale_objects_need_no_broadcast(spark, store, monkeypatch):
 
 
 def test_compaction_keeps_what_is_visible(spark, store):
-    both = patients(spark, ("HOSP-000001", "Ana", 40), ("HOSP-000002", "Bob", 55))
-    store.load_batch(both, admissions(spark, ("HOSP-000001", "2025-03-10", "UCI"), ("HOSP-000002", "2025-03-10", "UCI")))
-    store.load_batch(both.filter("name = 'Ana'"), admissions(spark, ("HOSP-000001", "2026-01-01", "UCI")))
+    both = patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 55))
+    store.load_batch(both, admissions(spark, ("HOSP-000001", "2024-07-09", "UCI"), ("HOSP-000002", "2024-07-09", "UCI")))
+    store.load_batch(both.filter("name = 'Nuria'"), admissions(spark, ("HOSP-000001", "2026-01-01", "UCI")))
     store.attach_radiographies(images(spark, ("HOSP-000001", "HOSP-000001/a.png")))
     store.put_objects(spark.createDataFrame([("b", "k", b"1")], "bucket string, object_key string, content binary"))
     store.put_objects(spark.createDataFrame([("b", "k", b"22")], "bucket string, object_key string, content binary"))
@@ -154,7 +154,7 @@ def test_compaction_keeps_what_is_visible(spark, store):
 
 
 def test_uncommitted_files_are_invisible(spark, store, monkeypatch):
-    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 40)))
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40)))
     monkeypatch.setattr(store, "_commit", lambda state: (_ for _ in ()).throw(OSError("gone")))
     with pytest.raises(OSError):
         store.upsert_patients(patients(spark, ("HOSP-000002", "Bob", 40)))
@@ -165,7 +165,7 @@ def test_uncommitted_files_are_invisible(spark, store, monkeypatch):
 
 
 def test_a_second_writer_is_refused(spark, store):
-    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 40)))
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40)))
     with pytest.raises(FileExistsError):
         store._commit(store._state())
     assert fs.names(spark, f"{store.root}/_commits") == ["0000000001.json"]
@@ -203,14 +203,18 @@ def test_pages(spark, store):
     people = patients(spark, *[(f"HOSP-{i:06d}", f"n{i}", i) for i in range(25)])
     rows = [(f"HOSP-{i:06d}", f"2025-01-{d + 1:02d}", "UCI") for i in range(25) for d in range(i % 4)]
     store.load_batch(people, admissions(spark, *rows))
-    keys = [(f"HOSP-{i:06d}", f"HOSP-{i:06d}/x{n}.png") for i in range(0, 25, 2) for n in range(3)]
+    # keys of both forms: with the patient's id in front, and in an order of their own
+    keys = [(f"HOSP-{i:06d}", f"HOSP-{i:06d}/x{n}.png" if n else f"scans/{97 - i}.png") for i in range(0, 25, 2) for n in range(3)]
     store.attach_radiographies(images(spark, *keys))
 
     page = serve.patients_page(store, limit=10, offset=20)
     items = page.items.collect()
     assert page.total == 25 and [r["external_id"] for r in items] == [f"HOSP-{i:06d}" for i in range(20, 25)]
-    assert [len(r["admissions"]) for r in items] == [0, 1, 2, 3, 0]
-    assert [len(r["radiographies"]) for r in items] == [3, 0, 3, 0, 3]
+    assert [r["n_admissions"] for r in items] == [0, 1, 2, 3, 0]
+    assert [r["n_radiographies"] for r in items] == [3, 0, 3, 0, 3]
+    parts = serve.patient_parts(store, [r["external_id"] for r in items]).collect()
+    assert [len(r["admissions"]) for r in parts] == [0, 1, 2, 3, 0] and {r["n_parts"] for r in parts} == {1}
+    assert [len(r["radiographies"]) for r in parts] == [3, 0, 3, 0, 3]
     assert "admissions_load" not in page.items.columns
 
     for offset in (0, 3, 17, len(rows) - 2, len(rows), 1000):
@@ -233,9 +237,43 @@ def test_pages(spark, store):
 
 
 def test_a_pinned_store_stays_as_it_was(spark, store):
-    store.upsert_patients(patients(spark, ("HOSP-000001", "Ana", 40)))
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40)))
     before = store.pinned()
     store.upsert_patients(patients(spark, ("HOSP-000002", "Bob", 40)))
     assert before.patients().count() == 1 and store.patients().count() == 2
     with pytest.raises(ValueError):
         before.upsert_patients(patients(spark, ("HOSP-000003", "Eva", 40)))
+
+
+def test_a_large_patient_is_one_row(spark, store):
+    days = spark.range(25_000).selectExpr("'HOSP-000001' AS patient_external_id", "date_format(date_add(date'1950-01-01', cast(id AS int)), 'yyyy-MM-dd') AS admission_date", "'UCI' AS department")
+    store.load_batch(patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 50)), days)
+    found = serve.find_patient(store, "HOSP-000001").collect()
+    assert [(r["n_admissions"], r["n_parts"]) for r in found] == [(25_000, 3)]
+    assert [r["external_id"] for r in serve.patients_page(store, limit=1).items.collect()] == ["HOSP-000001"]
+    parts = serve.patient_parts(store, ["HOSP-000001"]).selectExpr("part", "size(admissions) AS n").collect()
+    assert [r["part"] for r in parts] == [0, 1, 2] and sum(r["n"] for r in parts) == 25_000
+
+
+def test_image_records_need_only_their_key(spark, store):
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40)))
+    few = spark.createDataFrame([("HOSP-000001", "scans/a.png")], "patient_external_id string, minio_object_key string")
+    assert store.attach_radiographies(few) == 1
+    assert store.radiographies().head()["file_size_bytes"] is None
+
+
+def test_a_losing_writer_leaves_the_winner_alone(spark, store, monkeypatch):
+    store.upsert_patients(patients(spark, ("HOSP-000001", "Nuria", 40)))
+    second = ClinicalStore(spark, store.root)
+    real = second._commit
+
+    def late(state):
+        # the other writer commits first, from the same version
+        monkeypatch.setattr(second, "_commit", real)
+        assert store.upsert_patients(patients(spark, ("HOSP-000002", "Bob", 50))) == {"upserted": 1, "modified": 0}
+        real(state)
+
+    monkeypatch.setattr(second, "_commit", late)
+    with pytest.raises(FileExistsError):
+        second.upsert_patients(patients(spark, ("HOSP-000777", "Eva", 60)))
+    assert sorted(r["external_id"] for r in store.patients().collect()) == ["HOSP-000001", "HOSP-000002"]

@@ -134,9 +134,9 @@ def _weighted(seed: int, values: list[str], odds: list[float]) -> str:
 # named subqueries; a later one may use earlier ones
 SUBQUERIES = {
     "patients_once": f"""SELECT c_custkey, c_mktsegment, c_acctbal,
-  'HOSP-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS external_id,
+  printf('HOSP-%06d', c_custkey) AS external_id,
   CASE WHEN c_custkey % 40 = 3 THEN '' WHEN c_custkey % 7 = 2 THEN '  ' || c_name || ' ' ELSE c_name END AS name,
-  CASE WHEN c_custkey % 40 = 13 THEN NULL WHEN c_custkey % 40 = 23 THEN '12/05/1980'
+  CASE WHEN c_custkey % 40 = 13 THEN NULL WHEN c_custkey % 40 = 23 THEN '04/11/1971'
     WHEN c_custkey % 400 = 77 THEN '1999-02-30'
     ELSE CAST(1940 + c_custkey * 7 % 75 AS VARCHAR) || '-' || lpad(CAST(1 + c_custkey * 5 % 12 AS VARCHAR), 2, '0')
       || '-' || lpad(CAST(1 + c_custkey * 11 % 28 AS VARCHAR), 2, '0') END AS birth_date,
@@ -147,7 +147,7 @@ SUBQUERIES = {
     "patients_raw": f"SELECT {P_COLS} FROM patients_all",
     "admissions_once": f"""SELECT *, {DESCRIBE} AS diagnosis_description FROM (SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 20 = 7 THEN 'HOSP-' || CAST(900000 + o_orderkey % 100000 AS VARCHAR)
-    ELSE 'HOSP-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS patient_external_id,
+    ELSE printf('HOSP-%06d', o_custkey) END AS patient_external_id,
   CASE WHEN o_orderkey % 20 = 11 THEN strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y')
     ELSE strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS admission_date,
   CASE WHEN o_orderstatus <> 'O'
@@ -166,7 +166,7 @@ SUBQUERIES = {
     ELSE name END AS name,
   birth_date,
   CASE WHEN c_custkey % 23 = 2 THEN 'X' WHEN c_custkey % 23 = 4 THEN 'm' ELSE gender END AS gender,
-  CASE WHEN c_custkey % 29 = 3 THEN NULL WHEN c_custkey % 29 = 7 THEN 'XYZ' WHEN c_custkey % 29 = 9 THEN 'a+'
+  CASE WHEN c_custkey % 29 = 3 THEN NULL WHEN c_custkey % 29 = 7 THEN 'C+' WHEN c_custkey % 29 = 9 THEN 'a+'
     ELSE blood_type END AS blood_type FROM patients_all""",
     "admissions_dirty": """SELECT CASE WHEN o_orderkey % 37 = 1 THEN NULL
     WHEN o_orderkey % 37 = 3 THEN 'X' || patient_external_id ELSE patient_external_id END AS patient_external_id,
@@ -190,7 +190,7 @@ SUBQUERIES = {
     WHEN vec_id % 20 = 11 THEN pid || '_xray' || CAST(vec_id AS VARCHAR) || '.PNG'
     ELSE pid || '_xray' || CAST(vec_id AS VARCHAR) || '.png' END AS name, 67 + vec_id AS length,
     vec_id % 25 <> 4 AS good FROM
-    (SELECT vec_id, 'HOSP-' || lpad(CAST(vec_id % 160 AS VARCHAR), 6, '0') AS pid FROM embeddings)""",
+    (SELECT vec_id, printf('HOSP-%06d', CASE WHEN vec_id % 8 = 0 THEN vec_id % 5 ELSE vec_id END) AS pid FROM embeddings)""",
     "image_classes": """SELECT name, length, regexp_extract(name, '^(HOSP-[0-9]{6})_', 1) AS patient,
   CASE WHEN NOT ends_with(lower(name), '.png') THEN 'not_png'
     WHEN NOT regexp_matches(name, '^HOSP-[0-9]{6}_') THEN 'bad_name'
@@ -345,6 +345,12 @@ UNION ALL SELECT DISTINCT 'new', patient_external_id, minio_object_key, file_siz
   8 + length(v.original_filename) AS file_size_bytes
   FROM (SELECT DISTINCT minio_object_key, original_filename FROM images) i
   LEFT JOIN (SELECT DISTINCT * FROM visible_images) v ON i.minio_object_key = v.minio_object_key""",
+    "exported_objects": """SELECT b || split_part(url, '/', 3) AS bucket, split_part(url, '/', 4) || '/' || CAST(page_id AS VARCHAR) || '.html'
+    AS object_key, octet_length(encode(html)) AS length FROM pages, (VALUES (''), ('copy-')) t(b)""",
+    "rejects_of_run": """SELECT 'admissions.csv' AS source_file, rejection_reason, count(*) AS count FROM admissions_tagged
+  WHERE rejection_reason IS NOT NULL GROUP BY 2""",
+    "store_states": """SELECT 'empty before' AS item, true AS holds UNION ALL SELECT 'empty after', (SELECT count(*) FROM patients) = 0
+UNION ALL SELECT 'object', (SELECT count(*) FROM pages) > 0 UNION ALL SELECT 'no such object', false""",
     "blob_index": """SELECT bucket, object_key, octet_length(encode(body)) AS length, content_type, load
   FROM objects_now""",
     "blob_list": """SELECT bucket, split_part(object_key, '/', 1) AS folder, count(*) AS n,
@@ -378,7 +384,7 @@ UNION ALL SELECT 'admissions_rejected', count(*) FROM admissions_tagged WHERE re
   department, diagnosis_code, {DESCRIBE} AS diagnosis_description, status
   FROM (SELECT
     printf('HOSP-%06d', CASE WHEN {_below(S42 + 1, 0.2)} THEN 900000 + {_draw(S42 + 2)} % 100000
-      ELSE {_draw(S42 + 3)} % 1000 END) AS patient_external_id,
+      ELSE {_draw(S42 + 3)} % (SELECT count(*) FROM customer) END) AS patient_external_id,
     {DAY} - CAST({_draw(S42 + 4)} % 730 AS INTEGER) AS day,
     CAST({_draw(S42 + 5)} % 30 + 1 AS INTEGER) AS stay,
     {_pick(S42 + 6, STATUSES)} AS status,

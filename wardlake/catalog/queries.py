@@ -287,11 +287,8 @@ def served_pages(spark: SparkSession, sf: str) -> DataFrame:
     def rows(kind: str, page: Page, text: Column) -> DataFrame:
         return page.items.select(F.lit(kind).alias("kind"), F.lit(page.total).cast("long").alias("total"), text.alias("item"))
 
-    # a large patient is on the page with several parts
-    sizes = [F.sum(F.size(c)).cast("string").alias(c) for c in ("admissions", "radiographies")]
-    whole = patients._replace(items=patients.items.groupBy("external_id", "name").agg(*sizes))
     return (
-        rows("patients", whole, F.concat_ws("|", "external_id", "name", "admissions", "radiographies"))
+        rows("patients", patients, F.concat_ws("|", "external_id", "name", "n_admissions", "n_radiographies"))
         .unionByName(rows("admissions", admissions, F.concat_ws("|", *ADMISSION_ORDER, "diagnosis_category")))
         .unionByName(rows("radiographies", radiographies, F.concat_ws("|", "minio_object_key", "patient_external_id")))
     )
@@ -369,10 +366,10 @@ def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Real files: written, scanned as binary files, stored, attached; everything twice."""
     root = fs.work_dir(spark, "images")
     files = T.image_files(spark, sf).select(
-        F.col("name").alias("object_key"), F.concat("content", F.encode("name", "UTF-8")).alias("content")
+        F.lit("files").alias("bucket"), F.col("name").alias("object_key"), F.concat("content", F.encode("name", "UTF-8")).alias("content")
     )
     fs.make_dirs(spark, f"{root}/files")
-    export_blobs(files, f"{root}/files").agg(F.sum("bytes_written")).collect()
+    export_blobs(files, root).agg(F.sum("bytes_written")).collect()
     store = ClinicalStore(spark, f"{root}/store")
     store.upsert_patients(_clean_patients(spark, sf))
     for _ in range(2):
@@ -383,6 +380,40 @@ def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return stored.join(attached, "minio_object_key", "left")
 
 
+def exported_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of many buckets written to files and read back; equal keys stay apart."""
+    root = f"{fs.work_dir(spark, 'export')}/out"
+    pages = T.page_blobs(spark, sf)
+    twins = pages.unionByName(pages.withColumn("bucket", F.concat(F.lit("copy-"), "bucket")))
+    export_blobs(twins, root).agg(F.sum("bytes_written")).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    below = F.split(F.substring_index("path", "/out/", -1), "/", 2)
+    return files.select(below[0].alias("bucket"), below[1].alias("object_key"), "length")
+
+
+def rejects_of_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of one of two stored runs, found by its id."""
+    store = ClinicalStore(spark, fs.work_dir(spark, "rejects"))
+    store.write_rejected(pack_rejected(tag(T.patients_raw(spark, sf), patient_rules()).filter(F.col(REASON).isNotNull()), PATIENTS_FILE), "one")
+    store.write_rejected(pack_rejected(tag(T.admissions_raw(spark, sf), admission_rules()).filter(F.col(REASON).isNotNull()), ADMISSIONS_FILE), "two")
+    return store.rejected("two").groupBy("source_file", "rejection_reason").count()
+
+
+def store_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether any patient is stored, before and after a load; and which objects exist."""
+    store = ClinicalStore(spark, fs.work_dir(spark, "states"))
+    before = store.is_empty()
+    store.upsert_patients(_clean_patients(spark, sf))
+    after = store.is_empty()
+    index = B.blob_index(_blob_log(spark, sf))
+    first = T.page_blobs(spark, sf).agg(F.min(F.struct("bucket", "object_key")).alias("o")).head()["o"]
+    once = B.put_entries(T.page_blobs(spark, sf), "text/html").withColumn("load", F.lit(1).cast("long"))
+    there = B.object_exists(B.blob_index(once), first["bucket"], first["object_key"])
+    missing = B.object_exists(index, first["bucket"], "no such key")
+    rows = [("empty before", before), ("empty after", after), ("object", there), ("no such object", missing)]
+    return spark.createDataFrame(rows, "item string, holds boolean")
+
+
 def _blob_log(spark: SparkSession, sf: str) -> DataFrame:
     """Pages put once, the French ones put again with other content, the German ones removed."""
     pages = T.page_blobs(spark, sf)
@@ -455,7 +486,8 @@ def generated_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 def generated_admissions(spark: SparkSession, sf: str) -> DataFrame:
     keys = T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))
-    return generate_admissions(keys, n_patients=1000, edge_ratio=0.2, seed=SEED)
+    n_patients = T.table(spark, sf, "customer").count()
+    return generate_admissions(keys, n_patients=n_patients, edge_ratio=0.2, seed=SEED)
 
 
 def generated_images(spark: SparkSession, sf: str) -> DataFrame:
@@ -567,6 +599,9 @@ QUERIES: dict[str, Query] = {
     "image_totals": image_totals,
     "image_sync": image_sync,
     "image_ingest": image_ingest,
+    "exported_objects": exported_objects,
+    "rejects_of_run": rejects_of_run,
+    "store_states": store_states,
     "blob_index": blob_index,
     "blob_list": blob_list,
     "blob_prefix": blob_prefix,

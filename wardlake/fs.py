@@ -1,5 +1,6 @@
 """Small helpers over the Hadoop file system of the session: metadata calls only, no data."""
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,14 +62,23 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Publish a small file in one rename; fails when the target already exists."""
+    """Publish a small file at once; fails when the target already exists.
+
+    On a local disk a hard link, which is refused for an existing name; elsewhere a rename, which
+    the file system has to refuse in that case.
+    """
     p, fs = _handle(spark, path)
     fs.mkdirs(p.getParent())
     draft, _ = _handle(spark, f"{p.getParent().toString()}/.{p.getName()}.{uuid.uuid4().hex}")
     out = fs.create(draft, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p) or not fs.rename(draft, p):
+    if fs.getScheme() == "file":
+        try:
+            os.link(draft.toUri().getPath(), p.toUri().getPath())
+        finally:
+            fs.delete(draft, False)
+    elif fs.exists(p) or not fs.rename(draft, p):
         fs.delete(draft, False)
         raise FileExistsError(path)
 
@@ -84,7 +94,10 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the jobs started inside the block."""
+    """Session settings for the jobs started inside the block.
+
+    Jobs that other threads of the same session start meanwhile see them, too.
+    """
     before = {k: spark.conf.get(k, None) for k in values}
     for k, v in values.items():
         spark.conf.set(k, v)
@@ -99,10 +112,12 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's shared checkpoint folder.
 
     The cluster names that folder in ``spark.checkpoint.dir``. A temporary folder of this
-    machine is taken only when nothing is set, as in local tests.
+    machine is taken only by a local session that names none, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="wardlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{str(base).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -73,10 +73,11 @@ def _narrow(df: DataFrame, order: list[str], offset: int, limit: int, total: int
     if first is None:  # the page lies behind the last row
         return df.limit(0), offset, total
     part = df
+    # the leading column alone reaches the scan, where row groups are skipped
     if first > 0:
-        part = part.filter(key >= literals[first - 1])
+        part = part.filter(F.col(order[0]) >= _lead(df, order, cuts[first - 1])).filter(key >= literals[first - 1])
     if last < len(cuts):
-        part = part.filter(key < literals[last])
+        part = part.filter(F.col(order[0]) <= _lead(df, order, cuts[last])).filter(key < literals[last])
     kept = sum(sizes.get(i, 0) for i in range(first, last + 1))
     return part, before, kept
 
@@ -85,6 +86,10 @@ def _literal_key(df: DataFrame, order: list[str], row) -> Column:
     return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
 
 
+def _lead(df: DataFrame, order: list[str], row) -> Column:
+    return F.lit(row[order[0]]).cast(df.schema[order[0]].dataType)
+
+
 def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> Page:
     """The rows together with the grand total."""
     rows = page_rows(df, order, limit, offset)
@@ -95,4 +100,5 @@ def rows_after(df: DataFrame, order: list[str], after: list, limit: int = 50) ->
     """The page that follows the row with the given key: no offset to count through."""
     check_bounds(limit, 0)
     given = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after)])
-    return df.filter(F.struct(*order) > given).orderBy(*order).limit(limit)
+    lead = F.lit(after[0]).cast(df.schema[order[0]].dataType)
+    return df.filter(F.col(order[0]) >= lead).filter(F.struct(*order) > given).orderBy(*order).limit(limit)

@@ -8,39 +8,53 @@ the rows of the few patients on the page are read.
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from wardlake.operators.paging import Page, check_bounds, page_rows, rows_after
+from wardlake.operators.nest import PART_SIZE
+from wardlake.operators.paging import MAX_LIMIT, Page, check_bounds, page_rows, rows_after
 from wardlake.plans.store import ClinicalStore, nest_stored
 from wardlake.schemas import ADMISSION_COLUMNS, ADMISSION_ORDER, PATIENT_COLUMNS
 
 PATIENT_VIEW = [*PATIENT_COLUMNS[:3], "age", *PATIENT_COLUMNS[3:]]
+#: "HOSP-" and three of six digits.
+GROUP_CHARS = 8
 ADMISSION_VIEW = [*ADMISSION_COLUMNS[:6], "diagnosis_category", "status"]
 
 
-def _documents(store: ClinicalStore, patients: DataFrame) -> DataFrame:
-    """Documents of at most a page of patients."""
-    ids = [r["external_id"] for r in patients.select("external_id").collect()]
-    found = store.patients().filter(F.col("external_id").isin(ids))
-    docs = nest_stored(found, store.admissions(ids).select(*ADMISSION_VIEW), store.radiographies(ids))
-    return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies").orderBy("external_id", "part")
+def _one_row_each(patients: DataFrame) -> DataFrame:
+    """Fields of each patient, how many children it has, and in how many parts they are read."""
+    sizes = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("n_admissions", "n_radiographies")}
+    most = F.greatest(*sizes.values(), F.lit(1).cast("long"))
+    parts = F.ceil(most / PART_SIZE).cast("long")
+    return patients.withColumns({**sizes, "n_parts": parts}).select(*PATIENT_VIEW, *sizes, "n_parts").orderBy("external_id")
 
 
 def patients_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
-    """Patients by id, with nested children (a very large patient has several parts)."""
+    """Patients by id, one row each whatever their size; children are in ``patient_parts``."""
     store = store.pinned()
     patients = store.patients()
     rows = page_rows(patients, ["external_id"], limit, offset)
-    return Page(patients.count(), limit, offset, _documents(store, rows))
+    return Page(patients.count(), limit, offset, _one_row_each(rows))
 
 
 def patients_after(store: ClinicalStore, external_id: str, limit: int = 50) -> DataFrame:
-    store = store.pinned()
-    return _documents(store, rows_after(store.patients(), ["external_id"], [external_id], limit))
+    return _one_row_each(rows_after(store.patients(), ["external_id"], [external_id], limit))
 
 
 def find_patient(store: ClinicalStore, external_id: str) -> DataFrame:
-    """The document of one patient, empty when there is none."""
+    """The one row of a patient, none when there is no such patient."""
+    return _one_row_each(store.patients().filter(F.col("external_id") == external_id))
+
+
+def patient_parts(store: ClinicalStore, external_ids: list[str]) -> DataFrame:
+    """Documents of at most a page of patients with their nested children, by (external_id, part).
+
+    Every patient has ``n_parts`` of them; no array holds more than about ``PART_SIZE`` children.
+    """
+    if len(external_ids) > MAX_LIMIT:
+        raise ValueError(f"at most {MAX_LIMIT} patients at once")
     store = store.pinned()
-    return _documents(store, store.patients().filter(F.col("external_id") == external_id))
+    found = store.patients().filter(F.col("external_id").isin(external_ids))
+    docs = nest_stored(found, store.admissions(external_ids).select(*ADMISSION_VIEW), store.radiographies(external_ids))
+    return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies").orderBy("external_id", "part")
 
 
 def total(store: ClinicalStore, size: str) -> int:
@@ -50,13 +64,19 @@ def total(store: ClinicalStore, size: str) -> int:
 def _owners(store: ClinicalStore, size: str, limit: int, offset: int) -> tuple[list[str], int]:
     """Patients whose rows lie on the page, at most ``limit``, and the offset within them."""
     check_bounds(limit, offset)
-    # one task, over no more rows than there are patient ids
-    earlier = Window.orderBy("external_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        store.patients()
-        .filter(F.col(size) > 0)
-        .select("external_id", size, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("before"))
-    )
+    owners = store.patients().filter(F.col(size) > 0).select("external_id", size)
+    # ids begin alike for a thousand patients: their sums say which few groups the page touches
+    group = F.substring("external_id", 1, GROUP_CHARS)
+    sums = sorted(owners.groupBy(group.alias("g")).agg(F.sum(size).alias("n")).collect())
+    touched, first, before = [], 0, 0
+    for g, n in sums:
+        if before < offset + limit and before + n > offset:
+            first = first if touched else before
+            touched.append(g)
+        before += n
+    earlier = Window.partitionBy(F.lit(0)).orderBy("external_id").rowsBetween(Window.unboundedPreceding, -1)
+    near = owners.filter(group.isin(touched) if touched else F.lit(False))
+    placed = near.withColumn("before", F.coalesce(F.sum(size).over(earlier), F.lit(0)) + F.lit(first))
     on_page = placed.filter((F.col("before") < offset + limit) & (F.col("before") + F.col(size) > offset))
     rows = on_page.orderBy("external_id").collect()
     return [r["external_id"] for r in rows], offset - rows[0]["before"] if rows else 0
@@ -74,10 +94,9 @@ def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) ->
 
 
 def radiographies_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
-    """By object key, which starts with the patient id, so patients come in id order."""
+    """By object key over all images, whatever the keys begin with."""
     store = store.pinned()
-    ids, skip = _owners(store, "n_radiographies", limit, offset)
-    rows = page_rows(store.radiographies(ids), ["minio_object_key"], limit, skip)
+    rows = page_rows(store.radiographies(), ["minio_object_key"], limit, offset)
     return Page(total(store, "n_radiographies"), limit, offset, rows)
 
 

@@ -5,12 +5,14 @@ Admissions, image metadata and objects, which hold the bulk, are only ever appen
 directory per load. A patient row names the load its admissions come from, so replacing a
 patient's admissions costs no rewrite, and admissions of unknown patients are in no document.
 
-A load becomes visible when its commit file appears, written last and by one rename. A job
-that died before that leaves directories no commit names. One writer at a time; a second one
-fails on the commit file.
+A load becomes visible when its commit file appears, written last and only if no other has that
+version. Every attempt writes folders of its own, so a writer that comes second fails on the
+commit file and leaves the winner's rows alone. A job that died before its commit leaves folders
+no commit names.
 """
 
 import json
+import secrets
 import uuid
 from datetime import datetime, timezone
 
@@ -83,6 +85,11 @@ class ClinicalStore:
         state = self._state()
         return {**state, "version": state["version"] + 1}
 
+    @staticmethod
+    def _attempt(state: dict) -> int:
+        """Number of a load: rises with the version and is never another writer's."""
+        return state["version"] << 32 | secrets.randbits(32)
+
     def _dir(self, table: str, load: int) -> str:
         return f"{self.root}/{table}/load={load}"
 
@@ -153,7 +160,7 @@ class ClinicalStore:
         batch = batch.drop(*S.STORE_COLUMNS)
         now = utc_now()
         state = self._next()
-        load = state["version"]
+        load = self._attempt(state)
         if admissions is not None:
             self._write_admissions(admissions, load)
             sizes = self._sizes("admissions", load, "n_admissions")
@@ -208,7 +215,7 @@ class ClinicalStore:
     def compact(self) -> None:
         """Rewrite the visible rows of every appended table as one load."""
         state = self._next()
-        load = state["version"]
+        load = self._attempt(state)
         owners = self.patients()
         owner_load = F.when(F.col("admissions_load").isNotNull(), F.lit(load).cast("long"))
         self._write_admissions(self.admissions(), load)
@@ -225,13 +232,19 @@ class ClinicalStore:
     def attach_radiographies(self, images: DataFrame) -> int:
         """Append image records of stored patients, once per object key; returns how many.
 
+        Only the patient and the key are needed; other fields a record lacks stay null.
+
         ``updated_at`` moves only for patients who really got one.
         """
         state = self._next()
-        load = state["version"]
+        load = self._attempt(state)
         patients = self._patients(state)
         stored = self._loads("radiographies", state["radiographies"], S.RADIOGRAPHIES)
-        fresh = new_radiographies(stored, images.select(*S.RADIOGRAPHIES.fieldNames()), patients)
+        have = set(images.columns)
+        if not set(S.RADIOGRAPHY_KEY) <= have:
+            raise ValueError(f"images need {S.RADIOGRAPHY_KEY}")
+        known = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in S.RADIOGRAPHIES]
+        fresh = new_radiographies(stored, images.select(*known), patients)
         fresh = fresh.repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
         fresh.write.mode("overwrite").parquet(self._dir("radiographies", load))
         added = self._loads("radiographies", [load], S.RADIOGRAPHIES).count()
@@ -265,7 +278,7 @@ class ClinicalStore:
 
     def _append_blobs(self, entries: DataFrame) -> int:
         state = self._next()
-        load = state["version"]
+        load = self._attempt(state)
         entries.write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
         B.check_unique(self.load_of_blobs(load))
         state["blobs"] = [*state["blobs"], load]

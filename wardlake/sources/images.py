@@ -10,7 +10,7 @@ from wardlake import fs
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Files directly in a directory, or one file: name, length, content.
+    """Files directly in a directory, or one file, or those of a glob: name, length, content.
 
     Spark reads the bytes only when ``content`` is used. It makes no row of an empty file,
     which is no image anyway.
@@ -18,6 +18,9 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     if not fs.exists(spark, path):
         raise FileNotFoundError(f"no such image directory: {path}")
     files = spark.read.format("binaryFile").load(path)
+    if set(path) & set("*?[{"):
+        # a glob names files, or directories whose files are meant
+        return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "content")
     if not fs.is_file(spark, path):
         parent = fs.qualified(spark, path).split(":", 1)[-1].lstrip("/").rstrip("/")
         files = files.filter(F.regexp_replace(F.regexp_replace("path", r"^[a-z0-9]+:/*", ""), r"/[^/]*$", "") == parent)
@@ -25,12 +28,15 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_blobs(blobs: DataFrame, target: str) -> DataFrame:
-    """Write each object's bytes to ``target/<object_key>``; one result row per object.
+    """Write each object's bytes to ``target/<bucket>/<object_key>``; one result row per object.
 
-    ``target`` is a folder all executors can reach. A retried task writes the same bytes to
-    the same names, each through a draft and a rename, so no reader sees half a file.
+    ``target`` is a folder all executors can reach. A key whose path would leave its bucket's
+    folder fails the job. A retried task writes the same bytes to the same names, each through a
+    draft and a rename, so no reader sees half a file.
     """
     root = fs.qualified(blobs.sparkSession, target).rstrip("/")
+    if root.startswith("file:") and not blobs.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError("executors of a cluster do not share a local folder")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
@@ -42,14 +48,18 @@ def export_blobs(blobs: DataFrame, target: str) -> DataFrame:
         else:
             system, base = arrow_fs.FileSystem.from_uri(root)
         for batch in batches:
-            for key, content in zip(batch["object_key"], batch["content"]):
-                folder, _, name = f"{base}/{key}".rpartition("/")
+            for bucket, key, content in zip(batch["bucket"], batch["object_key"], batch["content"]):
+                steps = f"{bucket}/{key}".split("/")
+                if not all(steps) or {".", ".."} & set(steps) or "/" in bucket:
+                    raise ValueError(f"not a path below the target: {bucket}/{key}")
+                folder, _, name = f"{base}/{bucket}/{key}".rpartition("/")
                 system.create_dir(folder, recursive=True)
                 draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with system.open_output_stream(draft) as out:
                     out.write(content)
                 system.move(draft, f"{folder}/{name}")
             sizes = batch["content"].map(len)
-            yield pd.DataFrame({"object_key": batch["object_key"], "bytes_written": sizes.astype("int64")})
+            yield pd.DataFrame({"bucket": batch["bucket"], "object_key": batch["object_key"], "bytes_written": sizes.astype("int64")})
 
-    return blobs.select("object_key", "content").mapInPandas(write, "object_key string, bytes_written long")
+    schema = "bucket string, object_key string, bytes_written long"
+    return blobs.select("bucket", "object_key", "content").mapInPandas(write, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.schemas import ADMISSION_COLUMNS, PATIENT_COLUMNS, PNG_SIGNATURE
-from wardlake.sources.generate import describe
+from wardlake.sources.generate import describe, padded_id
 
 # ---- fixed values of the fixtures ----
 BLOOD_BY_KEY = ["A+", "A-", "B+", "B-", "AB+", "AB-", "O+", "O-"]
@@ -25,7 +25,8 @@ DEPARTMENT_BY_KEY = [
     " Radiologia ",
 ]
 CODE_BY_KEY = ["J18.9", "J18.0", "U07.1", "J44.9", "I21.9", "R05", "R50.9", "S72.9", "K35.80", "N39.0", None]
-BAD_HEADER = bytes.fromhex("6E6F742061207265")
+#: Eight bytes that open no image.
+BAD_HEADER = b"no image"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +38,8 @@ def _by_index(index: Column, values: list) -> Column:
 
 
 def _id(number: Column) -> Column:
-    return F.concat(F.lit("HOSP-"), F.lpad(number.cast("string"), 6, "0"))
+    """Padded, never cut: a number of seven digits makes an id that the rules reject."""
+    return padded_id(number)
 
 
 def _with_copies(df: DataFrame, key: str) -> DataFrame:
@@ -60,7 +62,7 @@ def _patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("c_name"))
         .alias("name"),
         F.when(k % 40 == 13, F.lit(None))
-        .when(k % 40 == 23, "12/05/1980")
+        .when(k % 40 == 23, "04/11/1971")
         .when(k % 400 == 77, "1999-02-30")
         .otherwise(day)
         .alias("birth_date"),
@@ -152,7 +154,7 @@ def patients_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "birth_date",
         F.when(k % 23 == 2, "X").when(k % 23 == 4, "m").otherwise(F.col("gender")).alias("gender"),
         F.when(k % 29 == 3, F.lit(None))
-        .when(k % 29 == 7, "XYZ")
+        .when(k % 29 == 7, "C+")
         .when(k % 29 == 9, "a+")
         .otherwise(F.col("blood_type"))
         .alias("blood_type"),
@@ -180,9 +182,9 @@ def admissions_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File list: name, first bytes as ``content``, length."""
+    """File list: name, first bytes as ``content``, length. Every eighth image is of one of five patients."""
     k = F.col("vec_id")
-    patient = _id(k % 160)
+    patient = _id(F.when(k % 8 == 0, k % 5).otherwise(k))
     text = k.cast("string")
     return table(spark, sf_dir, "embeddings").select(
         F.when(k % 20 == 7, F.concat(F.lit("random_"), text, F.lit(".png")))
