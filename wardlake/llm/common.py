@@ -15,7 +15,7 @@ from wardlake.fs import work_dir
 #: Words of the corpus: runs of anything but ASCII white space.
 WORD = rb"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once; bounds the working arrays of a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -23,6 +23,14 @@ _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+#: Settings while an intermediate table is written: shuffle files go with the job, and batches for
+#: Python are small, since documents are kilobytes each.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
+
+
 class Scratch:
     """Intermediate tables of one job, written below the shared checkpoint folder.
 
@@ -36,7 +44,7 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
-        with fs.settings(self.spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        with fs.settings(self.spark, _WRITING):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
