@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from wardlake.fs import work_dir
 from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity, transcripts
 from wardlake.llm.common import chunks, split_words
+from wardlake.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 #: Folder of the public vocabulary files; the same on every machine.
 TOKENIZERS = "/opt/tokenizers"
@@ -97,6 +100,3 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op5_transcripts, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity)}
-
-#: None of these can be said in SQL; tests/llm holds them against brute force.
-ORACLE: dict[str, str] = {}
