@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlake import fs
@@ -23,12 +24,8 @@ _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-#: Settings while an intermediate table is written: shuffle files go with the job, and batches for
-#: Python are small, since documents are kilobytes each.
-_WRITING = {
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-}
+#: Setting while an intermediate table is written: shuffle files go with the job.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 class Scratch:
@@ -42,9 +39,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.base = spark, work_dir(spark, label)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows_at_once: int = 2000) -> DataFrame:
+        """Write and reread a table; Python gets ``rows_at_once`` rows in a batch, few when they are large."""
         path = f"{self.base}/{name}"
-        with fs.settings(self.spark, _WRITING):
+        with fs.settings(self.spark, {**_WRITING, "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_at_once)}):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -58,6 +56,18 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return Scratch(df.sparkSession, label).keep(df, "table")
 
 
+def hashed_sample(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """At most ``most`` distinct values of a column, those with the smallest hashes.
+
+    A bound on the hash, from the number of rows, leaves about twice as many before they are sorted,
+    so no task sorts more however many rows there are.
+    """
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    place = F.xxhash64(column)
+    few = rows.filter(place <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))).select(column).distinct()
+    return few.orderBy(place, column).limit(most)
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; a null text counts as empty."""
     return [x if x is not None else b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -159,11 +159,12 @@ def similar_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     n = distinct.count()
     blocks = scratch.keep(_blocks(distinct, n, BLOCK_ROWS, 1), "blocks")
     rows = min(SHARD_ROWS, max(1, math.ceil(n / LEAST_SHARDS)))
-    graphs = scratch.keep(_graphs(_blocks(distinct, n, rows, 2)), "graphs")
+    shards = scratch.keep(_blocks(distinct, n, rows, 2), "shards")
+    graphs = scratch.keep(_graphs(shards), "graphs", rows_at_once=1)
     truth = scratch.keep(_audit(distinct, least), "audit")
     wanted, beam, turn = truth.count(), BEAM, 0
     while True:
-        pairs = scratch.keep(_searched(blocks, graphs, least, beam), f"pairs-{turn}")
+        pairs = scratch.keep(_searched(blocks, graphs, least, beam), f"pairs-{turn}", rows_at_once=1)
         if not wanted or beam >= rows or truth.join(pairs, ["a", "b"], "left_semi").count() >= RECALL * wanted:
             break
         scratch.drop(f"pairs-{turn}")

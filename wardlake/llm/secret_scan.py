@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import free_name
+from wardlake.llm.common import free_name, hashed_sample, stash
 
 # The kinds in the order they are listed, and their patterns.
 KINDS = ("assign", "access", "hex", "markov")
@@ -76,15 +76,18 @@ def _steps(strings: DataFrame) -> DataFrame:
 def train(documents: DataFrame, rows: int = TRAINING_ROWS) -> list[float]:
     """Log ratio of the two models for each pair of characters, random over ordinary.
 
-    The sample is the documents with the smallest hashes of their ids. The driver gets at most one
-    count per pair of characters.
+    The sample is the documents with the smallest hashes of their ids; only these ids are broadcast.
+    The driver gets at most one count per pair of characters.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    named = documents.select(F.col("doc_id").cast("string").alias("id"), text.alias("text"))
-    sample = named.orderBy(F.xxhash64("id"), "id", "text").limit(rows)
+    named = documents.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), text.alias("text"))
+    chosen = hashed_sample(named.select("id"), "id", rows)
+    # of rows that share an id one is enough
+    sample = named.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"))
+    sample = stash(sample, "secret-sample")
     found = base_spans(F.col("text"))
     taken = F.concat(*found.values())
-    digest = F.sha2(F.coalesce("id", F.lit("")), 256)
+    digest = F.sha2("id", 256)
     drawn = [F.base64(F.unhex(digest)), digest, F.upper(F.translate(F.base64(F.unhex(digest)), "+/=abcdefghijklm", ""))]
     values = F.transform(taken, lambda s: F.substring(F.col("text"), s["end"] - F.least(F.lit(32), s["end"] - s["start"]) + 1, F.lit(32)))
     random = sample.select(F.explode(F.concat(F.array(*drawn), values)).alias("s"))

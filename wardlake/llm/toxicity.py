@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlake.llm.common import chunks, extend, joined, stash
+from wardlake.llm.common import chunks, extend, hashed_sample, joined, stash
 
 SLOTS = 1 << 20
 GRAMS = (3, 4, 5, 6)
@@ -79,10 +79,13 @@ def training_sample(documents: DataFrame, labels: DataFrame, rows: int = TRAININ
     says so, a null label counts as none.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    known = known.dropna().filter(in_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = known.dropna().filter(in_training(F.col("doc_id")))
+    chosen = known.join(F.broadcast(hashed_sample(known.select("doc_id"), "doc_id", rows)), "doc_id")
+    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    # of rows that share an id one is enough
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
+    return found.select("label", "text")
 
 
 def _counts(sample: DataFrame) -> np.ndarray:
