@@ -110,7 +110,13 @@ class ClinicalStore:
 
     def _patients(self, state: dict) -> DataFrame:
         loads = [] if state["patients"] is None else [state["patients"]]
-        return self._loads("patients", loads, S.PATIENTS).drop("load")
+        return self._loads("patients", loads, self._patient_schema(state)).drop("load")
+
+    @staticmethod
+    def _patient_schema(state: dict) -> T.StructType:
+        """The fixed fields and those that batches have brought so far."""
+        more = [T.StructField(name, T.StructType.fromDDL(f"v {kind}")["v"].dataType) for name, kind in state.get("patient_fields", {}).items()]
+        return T.StructType([*S.PATIENTS.fields, *more])
 
     def admissions(self, ids: list[str] | None = None) -> DataFrame:
         """Admissions of stored patients, each patient's from its own latest load.
@@ -140,6 +146,7 @@ class ClinicalStore:
     def upsert_patients(self, batch: DataFrame) -> dict[str, int]:
         """Insert or update patients; their admissions stay as they are.
 
+        A batch may bring fields of its own, which the store keeps from then on.
         Of several rows with one id the smallest counts, as in operators/clean.py.
         """
         return self._merge(deduplicate(batch, S.PATIENT_KEY), None)
@@ -154,12 +161,17 @@ class ClinicalStore:
         return self._merge(patients if cleaned else deduplicate(patients, S.PATIENT_KEY), admissions)
 
     def _merge(self, batch: DataFrame, admissions: DataFrame | None) -> dict[str, int]:
-        unknown = set(batch.columns) - set(S.PATIENTS.fieldNames())
-        if unknown:
-            raise ValueError(f"patients have no columns {sorted(unknown)}")
         batch = batch.drop(*S.STORE_COLUMNS)
         now = utc_now()
         state = self._next()
+        known = {f.name: f.dataType for f in self._patient_schema(state)}
+        own = {f.name: f.dataType.simpleString() for f in batch.schema if f.name not in known}
+        if "load" in own:
+            raise ValueError("the store itself uses the column load")
+        # a field that came earlier keeps its type
+        kept = {name: F.col(name).cast(known[name]) for name in state.get("patient_fields", {}) if name in batch.columns}
+        batch = batch.withColumns(kept) if kept else batch
+        state["patient_fields"] = {**state.get("patient_fields", {}), **own}
         load = self._attempt(state)
         if admissions is not None:
             self._write_admissions(admissions, load)
@@ -170,8 +182,8 @@ class ClinicalStore:
                     "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
                 }
             )
-        self._write_patients(merge_upsert(self._patients(state), batch, "external_id", now), load)
-        written = self._loads("patients", [load], S.PATIENTS)
+        self._write_patients(merge_upsert(self._patients(state), batch, "external_id", now), load, state)
+        written = self._loads("patients", [load], self._patient_schema(state))
         strange = written.filter(F.col("external_id").isNull() | ~F.col("external_id").rlike(S.PATIENT_ID)).head(1)
         if strange:
             raise ValueError(f"not a patient id: {strange[0]['external_id']}")
@@ -193,8 +205,8 @@ class ClinicalStore:
         rows = self._loads(table, [load], schema)
         return rows.groupBy(F.col("patient_external_id").alias("external_id")).agg(F.count(F.lit(1)).alias(name))
 
-    def _write_patients(self, rows: DataFrame, load: int) -> None:
-        fields = S.PATIENTS.fieldNames()
+    def _write_patients(self, rows: DataFrame, load: int, state: dict) -> None:
+        fields = self._patient_schema(state).fieldNames()
         rows = rows.select(*fields).sortWithinPartitions("external_id")
         rows.write.mode("overwrite").parquet(self._dir("patients", load))
 
@@ -219,7 +231,7 @@ class ClinicalStore:
         owners = self.patients()
         owner_load = F.when(F.col("admissions_load").isNotNull(), F.lit(load).cast("long"))
         self._write_admissions(self.admissions(), load)
-        self._write_patients(owners.withColumn("admissions_load", owner_load), load)
+        self._write_patients(owners.withColumn("admissions_load", owner_load), load, state)
         images = self.radiographies().repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
         images.write.mode("overwrite").parquet(self._dir("radiographies", load))
         log = self.blob_log()
@@ -252,7 +264,7 @@ class ClinicalStore:
             grown = F.coalesce("n_radiographies", F.lit(0).cast("long")) + F.col("n_new")
             touched = patients.join(self._sizes("radiographies", load, "n_new"), "external_id")
             touched = touched.select("external_id", grown.alias("n_radiographies"))
-            self._write_patients(merge_upsert(patients, touched, "external_id", utc_now(), insert=False), load)
+            self._write_patients(merge_upsert(patients, touched, "external_id", utc_now(), insert=False), load, state)
             state["patients"] = load
             state["radiographies"] = [*state["radiographies"], load]
             self._commit(state)
