@@ -99,7 +99,11 @@ def test_odd_rows(odd, nothing):
     assert near_dedup.keep_one(nothing).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("together", [1 << 20, 20])
+def test_components(spark, monkeypatch, together):
+    from wardlake.llm import components as module
+
+    monkeypatch.setattr(module, "EDGES_TOGETHER", together)
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(400, 500), rng.randrange(400, 500)) for _ in range(60)] + [(7, 7), (9, 8), (8, 9)]
     parent = {x: x for e in edges for x in e}

@@ -27,8 +27,8 @@ SKETCHES, SAMPLED = 32, 6
 #: Of 32 single minima a pair at the threshold shares 25.6 on average; 15 is over four deviations less.
 SHARED_MINIMA = 15
 #: Representatives drawn per sketch. Of two members of a group of eight one is among them with
-#: probability 0.8 in every sketch they share, on average eight at the threshold.
-LEADERS = 6
+#: probability 0.7 in every sketch they share, on average eight at the threshold.
+LEADERS = 4
 #: Members verified against one copy of a representative's text.
 MEMBERS_TOGETHER = 512
 _LONG_DOCUMENT = 1 << 16
@@ -167,20 +167,24 @@ def _estimated(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "member long, leader long, shared int")
 
 
-def _verified(pairs: DataFrame, marks: DataFrame, documents: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+def _texts(pairs: DataFrame, marks: DataFrame, documents: DataFrame) -> DataFrame:
+    """``row, text`` of the documents in some pair: the one time that texts are shuffled whole."""
+    rows = pairs.select(F.col("member").alias("row")).union(pairs.select("leader")).distinct()
+    wanted = rows.join(marks.select("row", "place", "key"), "row").groupBy("place", "key").agg(F.collect_list("row").alias("rows"))
+    found = _keyed(documents).join(wanted.hint("merge"), ["place", "key"])
+    return found.select(F.explode("rows").alias("row"), "text")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """The pairs whose texts align. A leader's text goes once to each group of its members."""
     spread = F.pmod(F.xxhash64("member"), F.greatest(F.ceil(F.col("members") / MEMBERS_TOGETHER), F.lit(1)))
     sizes = scratch.keep(pairs.groupBy("leader").agg(F.count("*").alias("members")), f"{label}-sizes")
     dealt = scratch.keep(pairs.join(sizes, "leader").select("leader", spread.alias("salt"), "member"), f"{label}-dealt")
     roles = dealt.select(F.col("member").alias("row"), "leader", "salt", F.lit(1).alias("role"))
     roles = roles.union(dealt.select("leader", "leader", "salt", F.lit(0)).distinct())
-    where = marks.select("row", "place", "key")
-    wanted = scratch.keep(roles.join(where, "row").groupBy("place", "key").agg(F.collect_list(F.struct("row", "leader", "salt", "role")).alias("roles")), f"{label}-wanted")
-    one_each = _keyed(documents)
-    found = one_each.join(wanted, ["place", "key"]).select("text", F.explode("roles").alias("r"))
     # a document row that is given twice comes twice here, which verifies the same pair again
-    found = found.select("text", "r.row", "r.leader", "r.salt", "r.role").repartition("leader", "salt")
-    found = found.sortWithinPartitions("leader", "salt", "role", "row")
+    found = texts.join(roles.hint("merge"), "row").select("text", "row", "leader", "salt", "role")
+    found = found.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "role", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holder, held = None, None
@@ -197,7 +201,7 @@ def _verified(pairs: DataFrame, marks: DataFrame, documents: DataFrame, scratch:
             yield pa.RecordBatch.from_arrays([pa.array(members, pa.int64()), pa.array(leaders, pa.int64())], ["a", "b"])
 
     out = scratch.keep(found.mapInArrow(run, "a long, b long").distinct(), f"{label}-links")
-    scratch.drop(f"{label}-sizes", f"{label}-dealt", f"{label}-wanted")
+    scratch.drop(f"{label}-sizes", f"{label}-dealt")
     return out
 
 
@@ -229,13 +233,14 @@ def classes(documents: DataFrame) -> DataFrame:
 
     # every member with its likeliest representative first, then only what could still join classes
     best = pairs.groupBy("member").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
-    links = _verified(best.select("member", "leader"), alone, documents, scratch, "first")
+    texts = scratch.keep(_texts(pairs, alone, documents), "texts")
+    links = _verified(best.select("member", "leader"), texts, scratch, "first")
     roots = scratch.keep(components(links, scratch, "first-roots"), "roots")
     tried = pairs.join(best, ["member", "leader"], "left_anti").select("member", "leader")
     for side in ("member", "leader"):
         tried = tried.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
     rest = tried.filter(F.coalesce("member_root", "member") != F.coalesce("leader_root", "leader")).select("member", "leader")
-    more = _verified(scratch.keep(rest, "rest"), alone, documents, scratch, "second")
+    more = _verified(scratch.keep(rest, "rest"), texts, scratch, "second")
     edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     roots = scratch.keep(components(edges, scratch, "all-roots"), "all")
 
@@ -246,7 +251,7 @@ def classes(documents: DataFrame) -> DataFrame:
     out = joined.join(first, "root", "left")
     out = out.select("place", "key", F.coalesce("fp", "place").alias("class_place"), F.coalesce("fk", "key").alias("class_key"), F.coalesce(F.col("fr") == F.col("row"), F.lit(True)).alias("kept"))
     out = scratch.keep(out, "classes")
-    scratch.drop("known", "alone", "candidates", "roots", "rest", "all", "rooted", "class-firsts", "first-links", "second-links")
+    scratch.drop("known", "alone", "candidates", "texts", "roots", "rest", "all", "rooted", "class-firsts", "first-links", "second-links")
     return out
 
 
