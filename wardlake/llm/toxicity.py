@@ -102,7 +102,7 @@ def _counts(sample: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pylist([{"totals": totals.tobytes(), "counts": counts.tobytes()}])
 
     out = np.zeros((2, SLOTS + 1), np.int64)
-    for row in sample.repartition(COUNTING_TASKS).mapInArrow(run, "totals binary, counts binary").toLocalIterator():
+    for row in sample.repartition(COUNTING_TASKS).mapInArrow(run, "totals binary, counts binary").collect():
         out[:, 0] += np.frombuffer(row.totals, np.int64)
         out[:, 1:] += np.frombuffer(row.counts, np.int32).reshape(2, SLOTS)
     return out
@@ -181,12 +181,11 @@ def _sample_features(sample: DataFrame, index: np.ndarray) -> tuple[np.ndarray,
         return [pa.array([feature[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())]
 
     found = extend(sample, [T.StructField("features", T.BinaryType())], compute).select("label", "features")
-    labels, rows = [], []
-    for row in found.toLocalIterator():
-        labels.append(row.label > 0)
-        rows.append(np.frombuffer(row.features, np.uint16).astype(np.int64))
+    kept = found.toArrow()
+    labels = (kept.column("label").to_numpy() > 0).astype(np.float64)
+    rows = [np.frombuffer(x, np.uint16).astype(np.int64) for x in kept.column("features").to_pylist()]
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    return doc, np.concatenate(rows), np.array(labels, np.float64)
+    return doc, np.concatenate(rows), labels
 
 
 def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
