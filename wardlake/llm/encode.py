@@ -1,15 +1,20 @@
 """Token ids by the ``tokenizers`` library inside tasks, each distinct word encoded once."""
 
 import os
+import re
+import string
+import struct
 
 import numpy as np
 
-#: Words remembered by one worker before it starts over; bounds its memory.
-REMEMBERED_WORDS = 700_000
-#: Words handed to the library at once; its results are much larger than the ids.
-ENCODED_AT_ONCE = 2048
+#: Words remembered by one worker in each of two generations; bounds its memory.
+REMEMBERED_WORDS = 200_000
 #: Longer words are encoded without being remembered.
 REMEMBERED_BYTES = 64
+#: Words handed to the library in one string, and strings at once; its results outweigh the ids.
+WORDS_TOGETHER, STRINGS_AT_ONCE = 64, 32
+#: A digit, which the pre-tokenizer sets apart from all neighbours, stands between such words.
+BORDER = "\u00b2"
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -18,7 +23,9 @@ class WordEncoder:
     """Ids of whole texts for a tokenizer whose pre-tokenizer drops white space.
 
     White space never reaches such a model and no piece spans it, so a text's ids are those of its
-    words in order. Words repeat, and each is given to the library once per worker.
+    words in order. Words repeat, and each is given to the library once per worker. Where the
+    tokenizer itself lowers letters, sets a mark at a word's end apart, or passes plain letters on
+    unchanged (all tried when it is loaded), that is done beforehand, so that fewer words differ.
     """
 
     def __init__(self, path: str):
@@ -30,19 +37,69 @@ class WordEncoder:
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4") if wide else np.dtype("<u2")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        border = ids(BORDER)
+        alone = all(ids(a + BORDER + b) == ids(a) + border + ids(b) for a, b in ("xy", ".'", "12", "'s", BORDER * 2))
+        #: The id of the border, when it is one id and borders words as white space does.
+        self.border = border[0] if alone and len(border) == 1 else None
+        ends, marks = string.ascii_lowercase + string.digits, ".,;:!?"
+        self.lowers = all(ids(c) == ids(c.lower()) for c in string.ascii_uppercase)
+        apart = all(ids(a + m) == ids(a) + ids(m) for a in ends for m in marks)
+        self.mark = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)") if apart and self.lowers else None
+        model = self.tokenizer.model
+        self.direct = lambda word: [t.id for t in model.tokenize(word)]
+        samples = [string.ascii_lowercase[i : i + n] * m for i in range(26) for n in (1, 3, 9) for m in (1, 2)]
+        self.plain = all(ids(w) == self.direct(w) for w in samples)
+
+    def _words(self, text: bytes) -> list[bytes]:
+        # marks of U+0300 to U+036F may join a small letter and not its capital
+        if self.lowers and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        if self.mark:
+            text = self.mark.sub(rb" \1", text)
+        return text.split()
+
+    def _encode_words(self, words: list[bytes]) -> None:
+        """Put the ids of new words among the known ones."""
+        if self.plain:
+            form = "<%dH" if self.kind.itemsize == 2 else "<%dI"
+            for word in [w for w in words if w.isalpha() and w.islower()]:
+                ids = self.direct(word.decode())
+                self.known[word] = struct.pack(form % len(ids), *ids)
+            words = [w for w in words if w not in self.known]
+        single = [w for w in words if self.border is None or BORDER.encode() in w]
+        if len(single) < len(words):
+            rest = [w for w in words if BORDER.encode() not in w]
+            groups = [rest[i : i + WORDS_TOGETHER] for i in range(0, len(rest), WORDS_TOGETHER)]
+        else:
+            groups = []
+        groups += [[w] for w in single]
+        for at in range(0, len(groups), STRINGS_AT_ONCE):
+            part = groups[at : at + STRINGS_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([BORDER.join(map(bytes.decode, g)) for g in part], add_special_tokens=False)
+            for group, one in zip(part, found):
+                ids = np.array(one.ids, self.kind)
+                if len(group) == 1:
+                    self.known[group[0]] = ids.tobytes()
+                    continue
+                cuts = np.flatnonzero(ids == self.border) * self.kind.itemsize
+                packed, begin = ids.tobytes(), 0
+                for word, end in zip(group, [*cuts.tolist(), len(packed)], strict=True):
+                    self.known[word] = packed[begin:end]
+                    begin = end + self.kind.itemsize
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``kind``."""
-        words = [t.split() for t in texts]
-        new = list(set().union(*words) - self.known.keys())
+        words = [self._words(t) for t in texts]
+        new = set().union(*words) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
-            new = list(set().union(*words))
-        for at in range(0, len(new), ENCODED_AT_ONCE):
-            part = new[at : at + ENCODED_AT_ONCE]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, one in zip(part, found):
-                self.known[word] = np.array(one.ids, self.kind).tobytes()
+            self.known, self.older = {}, self.known
+            new = set().union(*words)
+        again = new & self.older.keys()
+        for word in again:
+            self.known[word] = self.older[word]
+        self._encode_words(list(new - again))
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
         for word in new:
             if len(word) > REMEMBERED_BYTES:
