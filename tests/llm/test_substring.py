@@ -67,6 +67,11 @@ def test_odd_rows(odd, nothing):
     assert substring.remove_repeats(nothing)[0].count() == 0
 
 
+def test_many_texts_below_a_window(frame):
+    rows = [(i, " ".join(f"w{(i * k) % 7}" for k in range(i % 49 + 1))) for i in range(120)]
+    check(frame(*rows), rows)
+
+
 def test_factors_are_greedy():
     assert substring.greedy([3, 4, 5, 6, 60], [1, 1, 2, 2, 2]) == [(3, 51, 1), (5, 51, 2), (60, 50, 2)]
 

@@ -50,7 +50,8 @@ def _anchors(texts: list[bytes]) -> list[pa.Array]:
     sizes = np.diff(bounds)
     grams = gram_hashes(words, GRAM)
     width = WINDOW - GRAM + 1
-    if len(words) >= WINDOW:
+    # a chunk of many words may have no text of a whole window
+    if sizes.max(initial=0) >= WINDOW:
         lowest = _sliding_min(grams, width)
         doc = np.repeat(np.arange(len(texts)), sizes)
         at = np.flatnonzero(doc[: len(lowest)] == doc[WINDOW - 1 :])
@@ -60,7 +61,7 @@ def _anchors(texts: list[bytes]) -> list[pa.Array]:
         first = np.flatnonzero(new)
         end = np.append(first[1:], len(at))
         owner, value = owner[first], lowest[first].view(np.int64)
-        begin, stop = at[first] - bounds[owner], at[end - 1] + 1 - bounds[owner] if len(end) else end
+        begin, stop = at[first] - bounds[owner], at[end - 1] + 1 - bounds[owner]
     else:
         owner = value = begin = stop = np.zeros(0, np.int64)
     offsets = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
