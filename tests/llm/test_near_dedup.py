@@ -84,6 +84,31 @@ def test_planted_copies_against_all_pairs(frame):
     check(frame(*rows), rows)
 
 
+def test_pairs_in_the_crowd_of_one_template(frame):
+    """Pairs at 0.82, among documents of one template that are at 0.77 to each other."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    template, rows = [word() for _ in range(91)], []
+    for _ in range(75):
+        mine = [word() for _ in range(3)]
+        rows += [(len(rows) + i, " ".join([*template, *mine, *(word() for _ in range(10))])) for i in (0, 1)]
+    assert len({c for _, c in expected(rows)}) == 75
+    check(frame(*rows), rows)
+
+
+@pytest.mark.parametrize("block", [2048, 20])
+def test_large_groups_meet_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    minima = bytes(2 * near_dedup.SKETCHES)
+    marks = spark.createDataFrame([(i, 100, minima) for i in range(90)], "row long, size long, minima binary")
+    sketches = spark.createDataFrame([(i, 1) for i in range(90)], "row long, band long")
+    roots = spark.createDataFrame([(i, i % 2) for i in range(60)], "node long, root long")
+    scratch = Scratch(spark, "uncompared")
+    found = near_dedup._uncompared(sketches, sketches.select("band").distinct(), marks, roots, scratch)
+    label = lambda i: i % 2 if i < 60 else i
+    assert sorted((r.member, r.leader) for r in found.collect()) == sorted((i, j) for i in range(90) for j in range(i) if label(i) != label(j))
+
+
 def test_order_matters(frame):
     words = [f"w{i}" for i in range(200)]
     rows = [(1, " ".join(words)), (2, " ".join(words[100:] + words[:100])), (3, " ".join(words[:-1]))]

@@ -2,10 +2,11 @@
 
 A document's k-mers are runs of five words, labelled by occurrence. Each of several hash functions
 samples the smallest labelled k-mers and keeps them in text order, so a sketch matches only when
-the same k-mers come in the same order. Documents that share a sketch are compared with a few of
-them, drawn at random per sketch, which keeps the number of pairs linear in every group. What a
-cheap estimate leaves is verified on the texts: the k-mer sequences are aligned and similar when
-their common subsequence is at least 0.8 of all k-mers.
+the same k-mers come in the same order. Documents that share a sketch are first compared with a few
+of them, drawn at random per sketch, which joins most of every group. Where members of a group are
+still in different classes, all of them are compared with one another. What a cheap estimate leaves
+is verified on the texts: the k-mer sequences are aligned and similar when their common subsequence
+is at least 0.8 of all k-mers.
 """
 
 import hashlib
@@ -26,9 +27,10 @@ K, SIMILARITY = 5, 0.8
 SKETCHES, SAMPLED = 32, 6
 #: Of 32 single minima a pair at the threshold shares 25.6 on average; 15 is over four deviations less.
 SHARED_MINIMA = 15
-#: Representatives drawn per sketch. Of two members of a group of eight one is among them with
-#: probability 0.7 in every sketch they share, on average eight at the threshold.
-LEADERS = 4
+#: Representatives drawn per sketch, with whom all members are compared first.
+LEADERS = 6
+#: Members of a group that are estimated against as many others in one task.
+BLOCK = 2048
 #: Members verified against one copy of a representative's text.
 MEMBERS_TOGETHER = 512
 _LONG_DOCUMENT = 1 << 16
@@ -167,6 +169,43 @@ def _estimated(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "member long, leader long, shared int")
 
 
+def _uncompared(sketches: DataFrame, large: DataFrame, marks: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """Estimated pairs of different classes from the groups in which not every pair had a representative.
+
+    A group whose members are one class by now has none. The others are dealt into blocks, and every
+    block meets every block of its group, so that a task holds two blocks however large the group is.
+    """
+    classed = sketches.join(large, "band").join(roots.select(F.col("node").alias("row"), "root"), "row", "left")
+    classed = scratch.keep(classed.select("band", "row", F.coalesce("root", "row").alias("class")), "classed")
+    parted = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+    parted = scratch.keep(parted.filter("low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "parted")
+    members = classed.join(parted, "band").withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
+    members = members.join(marks.select("row", "size", "minima"), "row")
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "class", "size", "minima")
+
+    def run(group: pa.Table) -> pa.Table:
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        block, row, root, size = (group.column(c).to_numpy() for c in ("block", "row", "class", "size"))
+        minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint16).reshape(-1, SKETCHES)
+        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = [np.zeros((0, 3), np.int64)]
+        for k, x in enumerate(one.tolist()):
+            y = two[k + 1 :] if i == j else two
+            least, most = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            y = y[(root[y] != root[x]) & (least >= SIMILARITY * most)]
+            shared = (minima[y] == minima[x]).sum(1)
+            y, shared = y[shared >= SHARED_MINIMA], shared[shared >= SHARED_MINIMA]
+            found.append(np.stack([np.maximum(row[y], row[x]), np.minimum(row[y], row[x]), shared], axis=1))
+        out = np.concatenate(found)
+        return pa.table([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 2].astype(np.int32))], ["member", "leader", "shared"])
+
+    found = dealt.groupBy("band", "i", "j").applyInArrow(run, "member long, leader long, shared int")
+    out = scratch.keep(found.distinct(), "uncompared")
+    scratch.drop("classed", "parted")
+    return out
+
+
 def _texts(pairs: DataFrame, marks: DataFrame, documents: DataFrame) -> DataFrame:
     """``row, text`` of the documents in some pair: the one time that texts are shuffled whole."""
     rows = pairs.select(F.col("member").alias("row")).union(pairs.select("leader")).distinct()
@@ -205,6 +244,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, label: str)
     return out
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose rows are in different classes."""
+    for side in ("member", "leader"):
+        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    return pairs.filter(F.coalesce("member_root", "member") != F.coalesce("leader_root", "leader")).select("member", "leader")
+
+
+def _joined(pairs: DataFrame, roots: DataFrame, texts: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """The classes after the pairs are verified."""
+    links = _verified(pairs, texts, scratch, label)
+    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+    return scratch.keep(components(edges, scratch, f"{label}-edges"), f"{label}-classes")
+
+
 def classes(documents: DataFrame) -> DataFrame:
     """One row per document row: ``place, key`` (its id, last when null, and a hash of its text), ``class_place`` and ``class_key``.
 
@@ -222,27 +275,35 @@ def classes(documents: DataFrame) -> DataFrame:
     scratch.drop("marks", "firsts")
 
     sketches = alone.select("row", F.explode("bands").alias("band"))
+    # the whole group has been compared when all but one of it are representatives
     drawn = [F.min_by("row", F.xxhash64("row", "band", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
     leaders = sketches.groupBy("band").agg(*drawn, F.count("*").alias("n")).filter("n > 1")
-    leaders = scratch.keep(leaders.select("band", F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS)))).alias("leaders")), "leaders")
-    pairs = sketches.join(leaders, "band").select(F.col("row").alias("member"), F.explode("leaders").alias("leader")).filter("member != leader")
+    leaders = scratch.keep(leaders.select("band", F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS)))).alias("leaders"), "n"), "leaders")
+    pairs = sketches.join(leaders.drop("n"), "band").select(F.col("row").alias("member"), F.explode("leaders").alias("leader")).filter("member != leader")
     pairs = pairs.select(F.greatest("member", "leader").alias("member"), F.least("member", "leader").alias("leader")).distinct()
     pairs = scratch.keep(pairs, "pairs")
     pairs = scratch.keep(_estimated(pairs, alone), "candidates")
-    scratch.drop("leaders", "pairs")
+    scratch.drop("pairs")
 
     # every member with its likeliest representative first, then only what could still join classes
     best = pairs.groupBy("member").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
     texts = scratch.keep(_texts(pairs, alone, documents), "texts")
     links = _verified(best.select("member", "leader"), texts, scratch, "first")
     roots = scratch.keep(components(links, scratch, "first-roots"), "roots")
-    tried = pairs.join(best, ["member", "leader"], "left_anti").select("member", "leader")
-    for side in ("member", "leader"):
-        tried = tried.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
-    rest = tried.filter(F.coalesce("member_root", "member") != F.coalesce("leader_root", "leader")).select("member", "leader")
-    more = _verified(scratch.keep(rest, "rest"), texts, scratch, "second")
-    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
-    roots = scratch.keep(components(edges, scratch, "all-roots"), "all")
+    rest = _apart(pairs.join(best, ["member", "leader"], "left_anti"), roots)
+    roots = _joined(scratch.keep(rest, "rest"), roots, texts, scratch, "second")
+
+    large = leaders.filter(F.col("n") > F.size("leaders") + 1).select("band")
+    others = _uncompared(sketches, large, alone, roots, scratch).join(pairs, ["member", "leader"], "left_anti")
+    others = scratch.keep(others, "others")
+    scratch.drop("leaders", "uncompared")
+    if not others.isEmpty():
+        # as above: a likely pair of every member first
+        best = scratch.keep(others.groupBy("member").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader")), "likely")
+        texts = scratch.keep(_texts(others, alone, documents), "other-texts")
+        roots = _joined(best, roots, texts, scratch, "third")
+        rest = _apart(others.join(best, ["member", "leader"], "left_anti"), roots)
+        roots = _joined(scratch.keep(rest, "other-rest"), roots, texts, scratch, "fourth")
 
     joined = known.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     joined = scratch.keep(joined.select("row", "place", "key", F.coalesce("root", "rep").alias("root")), "rooted")
@@ -251,7 +312,8 @@ def classes(documents: DataFrame) -> DataFrame:
     out = joined.join(first, "root", "left")
     out = out.select("place", "key", F.coalesce("fp", "place").alias("class_place"), F.coalesce("fk", "key").alias("class_key"), F.coalesce(F.col("fr") == F.col("row"), F.lit(True)).alias("kept"))
     out = scratch.keep(out, "classes")
-    scratch.drop("known", "alone", "candidates", "texts", "roots", "rest", "all", "rooted", "class-firsts", "first-links", "second-links")
+    scratch.drop("known", "alone", "candidates", "texts", "roots", "rest", "others", "likely", "other-texts", "other-rest", "rooted", "class-firsts")
+    scratch.drop(*(f"{turn}-{table}" for turn in ("first", "second", "third", "fourth") for table in ("links", "classes")))
     return out
 
 
