@@ -109,6 +109,26 @@ def test_large_groups_meet_in_blocks(spark, monkeypatch, block):
     assert sorted((r.member, r.leader) for r in found.collect()) == sorted((i, j) for i in range(90) for j in range(i) if label(i) != label(j))
 
 
+def test_short_texts_against_all_pairs(frame):
+    """A text and the same with a fifth more, at either end: at the threshold, or a little above."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(420):
+        n = 5 + i % 21
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n + max(1, (n - 4) // 4))]
+        rows += [(2 * i, " ".join(words[:n] if i % 2 else words[-n:])), (2 * i + 1, " ".join(words))]
+    check(frame(*rows), rows)
+
+
+def test_sketches_on_both_sides_of_the_short_border():
+    rng = np.random.default_rng(1)
+    for n in (4, 5, 8, 16, 24, 40, 60, 64):
+        for _ in range(50):
+            grams = rng.integers(0, 2**63, n + n // 4).astype(np.uint64)
+            one, two = (near_dedup._sketch(g, near_dedup.label_occurrences(g, np.zeros(len(g), np.int64)))[0] for g in (grams, grams[:n]))
+            assert np.intersect1d(one, two).size
+
+
 def test_order_matters(frame):
     words = [f"w{i}" for i in range(200)]
     rows = [(1, " ".join(words)), (2, " ".join(words[100:] + words[:100])), (3, " ".join(words[:-1]))]
