@@ -48,3 +48,14 @@ def test_after(spark):
     data = [(a, b) for a in ("x", "y") for b in range(5)]
     df = spark.createDataFrame(data, "a string, b long")
     assert [tuple(r) for r in rows_after(df, ["a", "b"], ["x", 3], 3).collect()] == [("x", 4), ("y", 0), ("y", 1)]
+
+
+@pytest.mark.parametrize("offset", [0, 300, 600, 980, 990, 1005, 2000])
+def test_pages_among_many_null_keys(spark, offset):
+    data = [(f"k{i % 97:03d}" if i % 3 else None, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "a string, b long").repartition(4)
+    data.sort(key=key)
+    got = [tuple(r) for r in page_rows(df, ["a", "b"], 25, offset, shallow=100).collect()]
+    assert got == data[offset : offset + 25]
+    after = rows_after(df, ["a", "b"], list(data[offset]), 25).collect()
+    assert [tuple(r) for r in after] == data[offset + 1 : offset + 26]

@@ -75,9 +75,9 @@ def _narrow(df: DataFrame, order: list[str], offset: int, limit: int, total: int
     part = df
     # the leading column alone reaches the scan, where row groups are skipped
     if first > 0:
-        part = part.filter(F.col(order[0]) >= _lead(df, order, cuts[first - 1])).filter(key >= literals[first - 1])
+        part = part.filter(_from(df, order[0], cuts[first - 1][order[0]])).filter(key >= literals[first - 1])
     if last < len(cuts):
-        part = part.filter(F.col(order[0]) <= _lead(df, order, cuts[last])).filter(key < literals[last])
+        part = part.filter(_up_to(df, order[0], cuts[last][order[0]])).filter(key < literals[last])
     kept = sum(sizes.get(i, 0) for i in range(first, last + 1))
     return part, before, kept
 
@@ -86,8 +86,15 @@ def _literal_key(df: DataFrame, order: list[str], row) -> Column:
     return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
 
 
-def _lead(df: DataFrame, order: list[str], row) -> Column:
-    return F.lit(row[order[0]]).cast(df.schema[order[0]].dataType)
+def _from(df: DataFrame, column: str, value) -> Column:
+    """Leading keys from a value on; nulls come first, so from null on these are all."""
+    return F.lit(True) if value is None else F.col(column) >= F.lit(value).cast(df.schema[column].dataType)
+
+
+def _up_to(df: DataFrame, column: str, value) -> Column:
+    """Leading keys up to a value, nulls among them."""
+    null = F.col(column).isNull()
+    return null if value is None else null | (F.col(column) <= F.lit(value).cast(df.schema[column].dataType))
 
 
 def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> Page:
@@ -100,5 +107,4 @@ def rows_after(df: DataFrame, order: list[str], after: list, limit: int = 50) ->
     """The page that follows the row with the given key: no offset to count through."""
     check_bounds(limit, 0)
     given = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after)])
-    lead = F.lit(after[0]).cast(df.schema[order[0]].dataType)
-    return df.filter(F.col(order[0]) >= lead).filter(F.struct(*order) > given).orderBy(*order).limit(limit)
+    return df.filter(_from(df, order[0], after[0])).filter(F.struct(*order) > given).orderBy(*order).limit(limit)
