@@ -31,4 +31,38 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id
 FROM embeddings e LEFT JOIN counted c ON e.vec_id = c.a LEFT JOIN smallest s ON e.vec_id = s.a
 """
 
-ORACLE = {"op7_substring": SUBSTRING, "op9_small_world": EMBEDDINGS}
+#: Scores of every key on 17 shards, and crc32 by its table.
+SHARDS = r"""
+WITH steps AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, (c & 1) * 3988292384))) AS t),
+  docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS utf8 FROM documents),
+  summed AS (SELECT doc_id, length(utf8) // 2 + 1 AS size,
+    xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(utf8, '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM docs, steps),
+  ids AS (SELECT DISTINCT doc_id FROM docs),
+  draws AS (SELECT doc_id, s, -1 / ln((('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '#', s)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) AS score
+    FROM ids, unnest(range(17)) AS r(s)),
+  chosen AS (SELECT doc_id, arg_max(s, score) FILTER (s < 16) AS shard, arg_max(s, score) AS grown FROM draws GROUP BY doc_id)
+SELECT d.doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY d.doc_id NULLS FIRST) - 1 AS slot, CAST(grown AS INT) AS grown_shard
+FROM summed d JOIN chosen c ON d.doc_id IS NOT DISTINCT FROM c.doc_id
+"""
+
+#: All scores of every 50th vector, its five positives, and three negatives below each.
+NEGATIVES = """
+WITH usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+  positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 3
+"""
+
+ORACLE = {"op7_substring": SUBSTRING, "op9_small_world": EMBEDDINGS, "op11_rendezvous_shards": SHARDS, "op12_vertical_negatives": NEGATIVES}

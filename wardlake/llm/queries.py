@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.fs import work_dir
-from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, near_dedup, packing, secret_scan, substring, token_files, toxicity, transcripts
+from wardlake.llm import byte_bpe, embedding_dedup, fingerprint, hard_negatives, near_dedup, packing, periodic_runs, secret_scan, sharding, substring, token_files, toxicity, transcripts
 from wardlake.llm.common import chunks, split_words
 from wardlake.llm.oracle import ORACLE
 
@@ -99,4 +99,54 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op5_transcripts, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity)}
+def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = sharding.with_text_size(table(spark, sf_dir, "documents")).select("doc_id", "size", "text_crc32")
+    placed = sharding.assign(records, [1.0] * 16, more=[1.0])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op12_vertical_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by id, the words from some place on repeat with a period."""
+
+    def planted(doc_id: int | None, text: bytes) -> bytes:
+        h = zlib.crc32(str(doc_id).encode())
+        words, g = text.split(), h // 10
+        n = len(words)
+        if doc_id is None or h % 10 or not n:
+            return text
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return b" ".join([*words[:a], *(words[a + i % p] for i in range(n - a))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches):
+            ids = part.column("doc_id")
+            out = pa.array([planted(i, t) for i, t in zip(ids.to_pylist(), texts)], pa.binary())
+            yield pa.RecordBatch.from_arrays([ids, out.cast(pa.string())], ["doc_id", "text"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, text string")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, names = periodic_runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    runs = F.col(names["runs"])
+    # runs come by start and period, so the first of those that tie is the one wanted
+    more = lambda b, r: b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"])
+    best = F.aggregate(runs, F.lit(None).cast("struct<start:long,length:long,period:long>"), lambda b, r: F.when(more(b, r), r).otherwise(b))
+    lines = F.transform(runs, lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.concat_ws("", lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col(names["collapsed"]).cast("binary"), 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.*", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_curve_packing, op2_order_minhash, op3_token_files, op4_byte_bpe, op5_transcripts, op6_secret_scan, op7_substring, op8_quartile_digest, op9_small_world, op10_toxicity, op11_rendezvous_shards, op12_vertical_negatives, op13_periodic_runs)}
