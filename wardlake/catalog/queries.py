@@ -15,7 +15,8 @@ from wardlake.operators.images import accepted_images, attach_report, classify_i
 from wardlake.operators.links import with_patient, without_patient
 from wardlake.operators.merge import merge_stats, merge_upsert, new_radiographies, replace_admissions
 from wardlake.operators.nest import patient_documents, unnest_admissions, unnest_radiographies
-from wardlake.operators.paging import Page, page_rows, rows_after
+from wardlake.operators.ordinals import write_sorted
+from wardlake.operators.paging import Page, page_rows, rows_after, sorted_page
 from wardlake.operators.runs import run_states
 from wardlake.operators.validate import (
     Rule,
@@ -28,7 +29,7 @@ from wardlake.operators.validate import (
     validate_patients,
 )
 from wardlake.plans import serve
-from wardlake.plans.pipeline import attach_images, run_from_files, sync_images
+from wardlake.plans.pipeline import attach_images, run_batches, run_from_files, sync_images
 from wardlake.plans.serve import newest_runs
 from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import ADMISSIONS_FILE, ADMISSION_ORDER, IMAGES_BUCKET, PATIENTS_FILE, REASON, SOURCE_FILE
@@ -222,13 +223,12 @@ def radiographies_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nested_totals(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _documents(spark, sf)
-    parts = [
-        M.table_totals(patients=_patient_ids(spark, sf).distinct()),
-        M.nested_total(docs, "admissions").select(F.lit("admissions").alias("item"), "total"),
-        M.nested_total(docs, "radiographies").select(F.lit("radiographies").alias("item"), "total"),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """What the arrays of all documents hold: the children of known patients, counted where they lie."""
+    return M.table_totals(
+        patients=_patient_ids(spark, sf).distinct(),
+        admissions=_visible_admissions(spark, sf),
+        radiographies=_visible_images(spark, sf),
+    )
 
 
 def orphan_admissions(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,12 +258,10 @@ def admissions_page(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def admissions_deep_page(spark: SparkSession, sf: str) -> DataFrame:
-    """Narrowed to a key range first, on a stored table."""
-    path = fs.work_dir(spark, "deep-page")
+    """From a sorted table, by its directory: only the files that hold the page are opened."""
     visible = _visible_admissions(spark, sf)
-    visible.write.parquet(path)
-    stored = spark.read.schema(visible.schema).parquet(path)
-    return page_rows(stored, ADMISSION_ORDER, limit=50, offset=800, shallow=200)
+    directory = write_sorted(visible, ADMISSION_ORDER, fs.work_dir(spark, "deep-page"))
+    return sorted_page(visible, [directory], ADMISSION_ORDER, limit=50, offset=800).items
 
 
 def admissions_after(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,16 +400,16 @@ def rejects_of_run(spark: SparkSession, sf: str) -> DataFrame:
 def store_states(spark: SparkSession, sf: str) -> DataFrame:
     """Whether any patient is stored, before and after a load; and which objects exist."""
     store = ClinicalStore(spark, fs.work_dir(spark, "states"))
-    before = store.is_empty()
+    before = store.pinned()
     store.upsert_patients(_clean_patients(spark, sf))
-    after = store.is_empty()
-    index = B.blob_index(_blob_log(spark, sf))
-    first = T.page_blobs(spark, sf).agg(F.min(F.struct("bucket", "object_key")).alias("o")).head()["o"]
+    state = lambda item, holds: F.struct(F.lit(item).alias("item"), holds.alias("holds"))
+    empty = [s.emptiness().select(F.lit(item).alias("item"), F.col("is_empty").alias("holds")) for item, s in (("empty before", before), ("empty after", store))]
     once = B.put_entries(T.page_blobs(spark, sf), "text/html").withColumn("load", F.lit(1).cast("long"))
-    there = B.object_exists(B.blob_index(once), first["bucket"], first["object_key"])
-    missing = B.object_exists(index, first["bucket"], "no such key")
-    rows = [("empty before", before), ("empty after", after), ("object", there), ("no such object", missing)]
-    return spark.createDataFrame(rows, "item string, holds boolean")
+    wanted = once.agg(F.min(F.struct(*B.BLOB_KEY)).alias("o")).select(
+        F.inline(F.array(state("object", F.col("o")), state("no such object", F.col("o").withField("object_key", F.lit("no such key")))))
+    )
+    there = B.objects_exist(B.blob_index(once), wanted.select("item", "holds.*")).select("item", F.col("present").alias("holds"))
+    return empty[0].unionByName(empty[1]).unionByName(there)
 
 
 def _blob_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -536,12 +534,18 @@ def incremental_batches(spark: SparkSession, sf: str) -> DataFrame:
             if folder.startswith("c_mktsegment="):
                 fs.move(spark, f"{root}/out/{name}/{folder}", f"{incoming}/{folder.split('=', 1)[1]}/{name}")
     store = ClinicalStore(spark, f"{root}/store")
+    name = lambda path: path.split("/")[-2]
+
+    def together(pairs: list[tuple[str, str]]) -> list[bool]:
+        return [r.status == "success" for r in run_batches(store, pairs, [name(p) for p, _ in pairs], REFERENCE_DAY)]
+
     process_arrivals(
         spark,
         incoming,
         f"{root}/state",
-        lambda p, a: run_from_files(store, p, a, trigger_type=p.split("/")[-2], reference=REFERENCE_DAY),
+        lambda p, a: run_from_files(store, p, a, trigger_type=name(p), reference=REFERENCE_DAY),
         processed=f"{root}/processed",
+        on_all=together,
     )
     return store.runs().select(
         F.col("trigger_type").alias("batch"), "status", "records_processed", "records_rejected"

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,6 +22,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def exists_exactly(spark: SparkSession, path: str) -> bool:
+    """True when there is a file or directory of this very name: no glob."""
+    p, fs = _handle(spark, path)
+    return fs.exists(p)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 of the last change; 0 when there is no such file."""
+    p, fs = _handle(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else 0.0
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    p, fs = _handle(spark, path)
+    fs.setTimes(p, int(time.time() * 1000), -1)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename to a name that is free; fails when the source is gone."""
+    s, fs = _handle(spark, source)
+    t, _ = _handle(spark, target)
+    if not fs.exists(s) or not fs.rename(s, t):
+        raise FileNotFoundError(source)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     p, fs = _handle(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isFile()

@@ -55,6 +55,12 @@ def list_objects(index: DataFrame, bucket: str, prefix: str = "") -> DataFrame:
     return found.select("object_key")
 
 
+def objects_exist(index: DataFrame, keys: DataFrame) -> DataFrame:
+    """All columns of the wanted keys, and whether each is ``present``."""
+    found = index.select(*BLOB_KEY, F.lit(True).alias("present"))
+    return keys.join(found, BLOB_KEY, "left").withColumn("present", F.coalesce("present", F.lit(False)))
+
+
 def object_exists(index: DataFrame, bucket: str, key: str) -> bool:
     return not index.filter((F.col("bucket") == bucket) & (F.col("object_key") == key)).isEmpty()
 

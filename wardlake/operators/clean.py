@@ -24,13 +24,14 @@ def deduplicate(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def clean_patients(df: DataFrame) -> DataFrame:
-    return deduplicate(df.withColumn("name", F.trim("name")), PATIENT_KEY)
+def clean_patients(df: DataFrame, *within: str) -> DataFrame:
+    """One row per patient, or per patient and further columns."""
+    return deduplicate(df.withColumn("name", F.trim("name")), [*within, *PATIENT_KEY])
 
 
-def clean_admissions(df: DataFrame) -> DataFrame:
+def clean_admissions(df: DataFrame, *within: str) -> DataFrame:
     # the trimmed department is part of the key, so trim first
-    return deduplicate(df.withColumn("department", F.trim("department")), ADMISSION_KEY)
+    return deduplicate(df.withColumn("department", F.trim("department")), [*within, *ADMISSION_KEY])
 
 
 def enrich_patients(df: DataFrame, reference: date | None = None) -> DataFrame:

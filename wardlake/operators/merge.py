@@ -45,13 +45,18 @@ def merge_upsert(stored: DataFrame, batch: DataFrame, key: str, at: datetime | C
     return joined.select(*[merged(c) for c in stored.columns], *[merged(c) for c in fields if c not in stored.columns])
 
 
-def merge_stats(merged: DataFrame, at: datetime | Column) -> DataFrame:
-    """One row: how many rows a merge stamped ``at`` inserted, and how many it overwrote."""
+def merge_counts(at: datetime | Column) -> list[Column]:
+    """How many rows a merge stamped ``at`` inserted, and how many it overwrote."""
     now = at if isinstance(at, Column) else F.lit(at)
-    return merged.agg(
+    return [
         F.count_if(F.col("created_at") == now).alias("upserted"),
         F.count_if((F.col("updated_at") == now) & (F.col("created_at") != now)).alias("modified"),
-    )
+    ]
+
+
+def merge_stats(merged: DataFrame, at: datetime | Column) -> DataFrame:
+    """One row with the counts of a merge."""
+    return merged.agg(*merge_counts(at))
 
 
 def replace_admissions(stored: DataFrame, batch_patients: DataFrame, batch_admissions: DataFrame) -> DataFrame:

@@ -1,14 +1,18 @@
-"""Pages of ordered rows."""
+"""Pages of ordered rows.
+
+``page_rows`` is a plain top-k: it carries offset + limit rows per task into one, which suits the
+first pages of any frame. For pages of any depth keep the table sorted with its directory, see
+operators/ordinals.py, or go on from the last row seen with ``rows_after``.
+"""
 
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardlake.operators.ordinals import Ordinals, page_of
+
 MAX_LIMIT = 500
-SHALLOW = 2_000
-SPLITTERS = 63
-SAMPLE = 4_000
 
 
 class Page(NamedTuple):
@@ -25,65 +29,23 @@ def check_bounds(limit: int, offset: int) -> None:
         raise ValueError(f"offset must not be negative, got {offset}")
 
 
-def page_rows(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0, shallow: int = SHALLOW) -> DataFrame:
-    """Rows [offset, offset + limit) in ascending order of columns that identify a row.
-
-    A small offset is a plain top-k. That would carry offset + limit rows per task into a
-    single one, so a deep offset is first narrowed to the key range that holds the page. Each
-    round of that reads the order columns of ``df``, which should be a stored table.
-    """
+def page_rows(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> DataFrame:
+    """Rows [offset, offset + limit) in ascending order of columns that identify a row."""
     check_bounds(limit, offset)
-    total = df.count() if offset + limit > shallow else 0
-    while offset + limit > shallow:
-        df, skipped, left = _narrow(df, order, offset, limit, total)
-        offset -= skipped
-        if left == total:
-            break
-        total = left
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def _narrow(df: DataFrame, order: list[str], offset: int, limit: int, total: int) -> tuple[DataFrame, int, int]:
-    """Rows of the key ranges the page touches, the number of rows before, and of these.
-
-    The sample decides where ranges are cut, the counts are exact, so the page is too.
-    """
-    key = F.struct(*order)
-    fraction = min(1.0, SAMPLE / max(total, 1))
-    sample = df.select(*order).sample(fraction, 7).limit(2 * SAMPLE).distinct().orderBy(*order).collect()
-    # the page is most likely within three deviations of its place in the sample: cut finely there
-    place, reach = len(sample) * offset // max(total, 1), int(1.5 * len(sample) ** 0.5) + 1
-    around = sample[max(0, place - reach) : place + reach + 1] or sample[-1:]
-    cuts = around[:: -(-len(around) // SPLITTERS)]
-    if not cuts:
-        return df, 0, total
-    literals = [_literal_key(df, order, cut) for cut in cuts]
-    number = sum(((key >= c).cast("int") for c in literals[1:]), (key >= literals[0]).cast("int"))
-    sizes = {r["_range"]: r["n"] for r in df.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    start, first, before = 0, None, 0
-    last = 0
-    for i in range(len(cuts) + 1):
-        end = start + sizes.get(i, 0)
-        if end > offset and start < offset + limit:
-            if first is None:
-                first, before = i, start
-            last = i
-        start = end
-    if first is None:  # the page lies behind the last row
-        return df.limit(0), offset, total
-    part = df
-    # the leading column alone reaches the scan, where row groups are skipped
-    if first > 0:
-        part = part.filter(_from(df, order[0], cuts[first - 1][order[0]])).filter(key >= literals[first - 1])
-    if last < len(cuts):
-        part = part.filter(_up_to(df, order[0], cuts[last][order[0]])).filter(key < literals[last])
-    kept = sum(sizes.get(i, 0) for i in range(first, last + 1))
-    return part, before, kept
+def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> Page:
+    """The rows together with the grand total."""
+    rows = page_rows(df, order, limit, offset)
+    return Page(total=df.count(), limit=limit, offset=offset, items=rows)
 
 
-def _literal_key(df: DataFrame, order: list[str], row) -> Column:
-    return F.struct(*[F.lit(row[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+def sorted_page(df: DataFrame, tables: list[Ordinals], order: list[str], limit: int = 50, offset: int = 0) -> Page:
+    """A page of any depth of sorted tables with columns like ``df``; total and place come from their directories."""
+    check_bounds(limit, offset)
+    rows = page_of(df.sparkSession, tables, df.schema, order, limit, offset)
+    return Page(sum(t.total for t in tables), limit, offset, rows)
 
 
 def _from(df: DataFrame, column: str, value) -> Column:
@@ -91,20 +53,9 @@ def _from(df: DataFrame, column: str, value) -> Column:
     return F.lit(True) if value is None else F.col(column) >= F.lit(value).cast(df.schema[column].dataType)
 
 
-def _up_to(df: DataFrame, column: str, value) -> Column:
-    """Leading keys up to a value, nulls among them."""
-    null = F.col(column).isNull()
-    return null if value is None else null | (F.col(column) <= F.lit(value).cast(df.schema[column].dataType))
-
-
-def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> Page:
-    """The rows together with the grand total."""
-    rows = page_rows(df, order, limit, offset)
-    return Page(total=df.count(), limit=limit, offset=offset, items=rows)
-
-
 def rows_after(df: DataFrame, order: list[str], after: list, limit: int = 50) -> DataFrame:
     """The page that follows the row with the given key: no offset to count through."""
     check_bounds(limit, 0)
     given = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after)])
+    # the leading column alone reaches the scan, where row groups are skipped
     return df.filter(_from(df, order[0], after[0])).filter(F.struct(*order) > given).orderBy(*order).limit(limit)

@@ -79,8 +79,8 @@ def reject_report(**tagged: DataFrame) -> DataFrame:
     return report
 
 
-def pack_rejected(rejected: DataFrame, source_file: str) -> DataFrame:
-    """Rejects of any entity in one shape: the row itself becomes a map, nulls kept."""
-    fields = [c for c in rejected.columns if c != S.REASON]
+def pack_rejected(rejected: DataFrame, source_file: str, *beside: str) -> DataFrame:
+    """Rejects of any entity in one shape: the row itself becomes a map, nulls kept; columns ``beside`` it stay."""
+    fields = [c for c in rejected.columns if c != S.REASON and c not in beside]
     pairs = [x for c in fields for x in (F.lit(c), F.col(c))]
-    return rejected.select(F.lit(source_file).alias("source_file"), S.REASON, F.create_map(*pairs).alias("raw_data"))
+    return rejected.select(F.lit(source_file).alias("source_file"), S.REASON, F.create_map(*pairs).alias("raw_data"), *beside)

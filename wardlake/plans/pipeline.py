@@ -1,7 +1,9 @@
 """The runs: one pair of CSV inputs into the store, images into the store, first load."""
 
 import logging
+from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,8 @@ from wardlake import fs
 from wardlake import schemas as S
 from wardlake.operators.clean import clean_admissions, clean_patients, enrich_admissions, enrich_patients
 from wardlake.operators.images import accepted_images, attach_report, image_records, sync_report
-from wardlake.operators.validate import Validated, admission_rules, pack_rejected, patient_rules, tag
+from wardlake.operators.links import bounded_ids
+from wardlake.operators.validate import Rule, Validated, admission_rules, pack_rejected, patient_rules, tag
 from wardlake.plans.store import ClinicalStore, utc_now
 from wardlake.sources.csv import read_admissions, read_patients
 from wardlake.sources.images import read_images
@@ -104,6 +107,80 @@ def run_from_files(
             fs.remove(spark, landing)
 
 
+#: Pairs that share one merge. More are merged in turns; it bounds the plan, not the rows.
+PAIRS_AT_ONCE = 16
+
+
+def run_batches(
+    store: ClinicalStore, pairs: list[tuple[str, str]], trigger_types: list[str], reference: date | None = None
+) -> list[RunResult]:
+    """Run several pairs of CSV inputs; the tables end as if they had been run one after another.
+
+    They share one scan per entity and one merge, and each has a run, counts and rejects of its
+    own. When that fails, every pair is run alone under the run it has, and the results tell which
+    ones failed. A patient whom several pairs bring for the first time counts as inserted once.
+    """
+    results = []
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = pairs[at : at + PAIRS_AT_ONCE]
+        run_ids = store.open_runs(trigger_types[at : at + PAIRS_AT_ONCE])
+        try:
+            results += _run_together(store, some, run_ids, reference)
+        except Exception:
+            log.exception("%d pairs could not be merged together and are run alone", len(some))
+            results += [_run_alone(store, pair, run_id, reference) for pair, run_id in zip(some, run_ids)]
+    return results
+
+
+def _run_alone(store: ClinicalStore, pair: tuple[str, str], run_id: str, reference: date | None) -> RunResult:
+    store.forget_rejected(run_id)
+    try:
+        return run_from_files(store, *pair, run_id=run_id, reference=reference)
+    except Exception:
+        return RunResult(run_id, "failed", 0, 0)
+
+
+def _run_together(
+    store: ClinicalStore, pairs: list[tuple[str, str]], run_ids: list[str], reference: date | None
+) -> list[RunResult]:
+    spark = store.spark
+    landing = f"{store.root}/_landing/{run_ids[0]}"
+
+    def land(read: Callable, which: int, rules: list[Rule], name: str) -> Validated:
+        of_pairs = [read(spark, pair[which]).withColumn("pair", F.lit(k)) for k, pair in enumerate(pairs)]
+        return _land(spark, tag(reduce(DataFrame.unionByName, of_pairs), rules), f"{landing}/{name}")
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{landing}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{landing}/{name}")
+
+    try:
+        patients = land(read_patients, 0, patient_rules(), "patients")
+        admissions = land(read_admissions, 1, admission_rules(), "admissions")
+        people = kept(enrich_patients(clean_patients(patients.valid, "pair"), reference), "people")
+        stays = kept(enrich_admissions(clean_admissions(admissions.valid, "pair")), "stays")
+
+        # the last pair that brings a patient counts, with the admissions of that pair
+        fields = [c for c in people.columns if c not in ("pair", "external_id")]
+        last = people.groupBy("external_id").agg(F.max_by(F.struct("pair", *fields), "pair").alias("last")).select("external_id", "last.*")
+        owners = bounded_ids(last, "pair").withColumnRenamed("pair", "of_pair")
+        same = (stays["patient_external_id"] == owners["external_id"]) & (stays["pair"] == owners["of_pair"])
+        store.load_batch(last.drop("pair"), stays.join(owners, same, "left_semi").drop("pair"), cleaned=True)
+
+        run_of = F.element_at(F.array(*[F.lit(i) for i in run_ids]), F.col("pair") + 1)
+        packed = pack_rejected(patients.rejected, S.PATIENTS_FILE, "pair").unionByName(
+            pack_rejected(admissions.rejected, S.ADMISSIONS_FILE, "pair")
+        )
+        n_rejected = store.write_rejected_of_runs(packed.withColumn("pipeline_run_id", run_of).drop("pair"))
+        # orphans count as processed, too
+        n_processed = _tally(people.select("pair").unionByName(stays.select("pair")), "pair")
+        results = [RunResult(i, "success", n_processed.get(k, 0), n_rejected.get(i, 0)) for k, i in enumerate(run_ids)]
+        store.close_runs({r.run_id: {"records_processed": r.records_processed, "records_rejected": r.records_rejected} for r in results}, "success")
+        return results
+    finally:
+        fs.remove(spark, landing)
+
+
 def sync_images(store: ClinicalStore, images_dir: str, bucket: str = S.IMAGES_BUCKET) -> tuple[DataFrame, dict[str, int]]:
     """Store every acceptable image; returns the records of all of them and a tally.
 

@@ -1,21 +1,22 @@
 """Read side: pages, lookups and totals over the store.
 
 The patient table is small by its id space (operators/links.py) and knows how many admissions
-and radiographies each patient has. Totals come from it, and so does the place of a page: only
-the rows of the few patients on the page are read.
+and radiographies each patient has; a commit keeps the sums per id prefix. Totals and the prefixes
+of a page come from the commit, without a job. An admissions page takes one small job over these
+prefixes, which names the patients on it, and one over the files their rows are in; the other
+pages take one job.
 """
 
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wardlake.operators.nest import PART_SIZE
-from wardlake.operators.paging import MAX_LIMIT, Page, check_bounds, page_rows, rows_after
-from wardlake.plans.store import ClinicalStore, nest_stored
-from wardlake.schemas import ADMISSION_COLUMNS, ADMISSION_ORDER, PATIENT_COLUMNS
+from wardlake.operators.ordinals import Stretch, rows_of
+from wardlake.operators.paging import MAX_LIMIT, Page, check_bounds, page_rows, rows_after, sorted_page
+from wardlake.plans.store import ClinicalStore, id_prefix, nest_stored
+from wardlake.schemas import ADMISSIONS, ADMISSION_COLUMNS, ADMISSION_ORDER, PATIENT_COLUMNS, RADIOGRAPHY_ORDER
 
 PATIENT_VIEW = [*PATIENT_COLUMNS[:3], "age", *PATIENT_COLUMNS[3:]]
-#: "HOSP-" and three of six digits.
-GROUP_CHARS = 8
 ADMISSION_VIEW = [*ADMISSION_COLUMNS[:6], "diagnosis_category", "status"]
 
 
@@ -27,12 +28,23 @@ def _one_row_each(patients: DataFrame) -> DataFrame:
     return patients.withColumns({**sizes, "n_parts": parts}).select(*PATIENT_VIEW, *sizes, "n_parts").orderBy("external_id")
 
 
+def _prefixes(store: ClinicalStore, column: str, limit: int, offset: int) -> dict[str, int]:
+    """Id prefixes with rows of the page, and how many rows come before each."""
+    touched, before = {}, 0
+    for prefix, sums in store.sums().items():
+        if before < offset + limit and before + sums[column] > offset:
+            touched[prefix] = before
+        before += sums[column]
+    return touched
+
+
 def patients_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
     """Patients by id, one row each whatever their size; children are in ``patient_parts``."""
+    check_bounds(limit, offset)
     store = store.pinned()
-    patients = store.patients()
-    rows = page_rows(patients, ["external_id"], limit, offset)
-    return Page(patients.count(), limit, offset, _one_row_each(rows))
+    touched = _prefixes(store, "n", limit, offset)
+    rows = page_rows(store.patients_of(set(touched)), ["external_id"], limit, offset - min(touched.values(), default=offset))
+    return Page(store.total("n"), limit, offset, _one_row_each(rows))
 
 
 def patients_after(store: ClinicalStore, external_id: str, limit: int = 50) -> DataFrame:
@@ -41,7 +53,7 @@ def patients_after(store: ClinicalStore, external_id: str, limit: int = 50) -> D
 
 def find_patient(store: ClinicalStore, external_id: str) -> DataFrame:
     """The one row of a patient, none when there is no such patient."""
-    return _one_row_each(store.patients().filter(F.col("external_id") == external_id))
+    return _one_row_each(store.patients([external_id]))
 
 
 def patient_parts(store: ClinicalStore, external_ids: list[str]) -> DataFrame:
@@ -52,41 +64,42 @@ def patient_parts(store: ClinicalStore, external_ids: list[str]) -> DataFrame:
     if len(external_ids) > MAX_LIMIT:
         raise ValueError(f"at most {MAX_LIMIT} patients at once")
     store = store.pinned()
-    found = store.patients().filter(F.col("external_id").isin(external_ids))
+    found = store.patients(external_ids)
     docs = nest_stored(found, store.admissions(external_ids).select(*ADMISSION_VIEW), store.radiographies(external_ids))
     return docs.select(*PATIENT_VIEW, "part", "n_parts", "admissions", "radiographies").orderBy("external_id", "part")
 
 
 def total(store: ClinicalStore, size: str) -> int:
-    return store.patients().agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).head()["n"]
-
-
-def _owners(store: ClinicalStore, size: str, limit: int, offset: int) -> tuple[list[str], int]:
-    """Patients whose rows lie on the page, at most ``limit``, and the offset within them."""
-    check_bounds(limit, offset)
-    owners = store.patients().filter(F.col(size) > 0).select("external_id", size)
-    # ids begin alike for a thousand patients: their sums say which few groups the page touches
-    group = F.substring("external_id", 1, GROUP_CHARS)
-    sums = sorted(owners.groupBy(group.alias("g")).agg(F.sum(size).alias("n")).collect())
-    touched, first, before = [], 0, 0
-    for g, n in sums:
-        if before < offset + limit and before + n > offset:
-            first = first if touched else before
-            touched.append(g)
-        before += n
-    earlier = Window.partitionBy(F.lit(0)).orderBy("external_id").rowsBetween(Window.unboundedPreceding, -1)
-    near = owners.filter(group.isin(touched) if touched else F.lit(False))
-    placed = near.withColumn("before", F.coalesce(F.sum(size).over(earlier), F.lit(0)) + F.lit(first))
-    on_page = placed.filter((F.col("before") < offset + limit) & (F.col("before") + F.col(size) > offset))
-    rows = on_page.orderBy("external_id").collect()
-    return [r["external_id"] for r in rows], offset - rows[0]["before"] if rows else 0
+    return store.total(size)
+
+
+def _stretches(store: ClinicalStore, limit: int, offset: int) -> list[Stretch]:
+    """Where the admissions of a page are: the rows of at most ``limit`` patients, by their loads' directories."""
+    touched = _prefixes(store, "n_admissions", limit, offset)
+    if not touched:
+        return []
+    owners = store.patients_of(set(touched)).filter("n_admissions > 0").withColumn("prefix", id_prefix(F.col("external_id")))
+    base = F.element_at(F.create_map(*[F.lit(x) for kv in touched.items() for x in kv]), F.col("prefix"))
+    # at most ten thousand patients per prefix
+    earlier = Window.partitionBy("prefix").orderBy("external_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = owners.withColumn("before", base + F.coalesce(F.sum("n_admissions").over(earlier), F.lit(0)))
+    on_page = placed.filter((F.col("before") < offset + limit) & (F.col("before") + F.col("n_admissions") > offset))
+    directories, out = {}, []
+    for r in on_page.select("admissions_load", "admissions_at", "n_admissions", "before").collect():
+        load = r["admissions_load"]
+        if load not in directories:
+            directories[load] = store.ordinals("admissions", load)
+        directory = directories[load]
+        first = directory.rank(r["admissions_at"]) - r["before"]
+        out += directory.stretches(first + max(r["before"], offset), first + min(r["before"] + r["n_admissions"], offset + limit))
+    return out
 
 
 def admissions_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
+    check_bounds(limit, offset)
     store = store.pinned()
-    ids, skip = _owners(store, "n_admissions", limit, offset)
-    rows = store.admissions(ids).select(*ADMISSION_VIEW)
-    return Page(total(store, "n_admissions"), limit, offset, page_rows(rows, ADMISSION_ORDER, limit, skip))
+    rows = rows_of(store.spark, ADMISSIONS, _stretches(store, limit, offset)).select(*ADMISSION_VIEW)
+    return Page(store.total("n_admissions"), limit, offset, rows.orderBy(*ADMISSION_ORDER).limit(limit))
 
 
 def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) -> DataFrame:
@@ -96,8 +109,7 @@ def admissions_after(store: ClinicalStore, after: list[str], limit: int = 50) ->
 def radiographies_page(store: ClinicalStore, limit: int = 50, offset: int = 0) -> Page:
     """By object key over all images, whatever the keys begin with."""
     store = store.pinned()
-    rows = page_rows(store.radiographies(), ["minio_object_key"], limit, offset)
-    return Page(total(store, "n_radiographies"), limit, offset, rows)
+    return sorted_page(store.radiographies(), store.all_ordinals("radiographies"), RADIOGRAPHY_ORDER, limit, offset)
 
 
 def newest_runs(runs: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:

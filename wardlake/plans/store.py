@@ -1,9 +1,11 @@
 """The stored tables, in one folder that all executors reach.
 
-Patients (few, see operators/links.py) are rewritten as a new snapshot on every merge.
+Patients (few, see operators/links.py) lie in one small directory per id prefix. A merge rewrites
+those its batch touches, as new directories, and its commit names the current one of each prefix.
 Admissions, image metadata and objects, which hold the bulk, are only ever appended, one
 directory per load. A patient row names the load its admissions come from, so replacing a
 patient's admissions costs no rewrite, and admissions of unknown patients are in no document.
+Sorted loads keep a directory of their files (operators/ordinals.py), from which pages are read.
 
 A load becomes visible when its commit file appears, written last and only if no other has that
 version. Every attempt writes folders of its own, so a writer that comes second fails on the
@@ -16,7 +18,7 @@ import secrets
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +26,16 @@ from wardlake import fs
 from wardlake import schemas as S
 from wardlake.operators import blobs as B
 from wardlake.operators.clean import deduplicate
+from wardlake.operators import ordinals as O
 from wardlake.operators.links import bounded_ids
-from wardlake.operators.merge import merge_stats, merge_upsert, new_radiographies
+from wardlake.operators.merge import merge_counts, merge_upsert, new_radiographies
 from wardlake.operators.nest import patient_documents
 from wardlake.operators.runs import run_states
 
 LOAD = T.StructField("load", T.LongType())
+PREFIX = T.StructField("prefix", T.StringType())
+#: The sums a commit keeps per prefix.
+SUMS = ["n", "n_admissions", "n_radiographies"]
 # objects may be large: let the writer look at its buffer often enough
 BLOB_OPTIONS = {
     "parquet.page.size.row.check.min": 1,
@@ -46,6 +52,11 @@ def _of_patients(df: DataFrame, ids: list[str] | None, column: str = "patient_ex
     return df if ids is None else df.filter(F.col(column).isin(ids))
 
 
+def id_prefix(external_id: Column) -> Column:
+    """"HOSP-" and six digits: the first two. Ten thousand ids each, null for what is no id."""
+    return F.when(external_id.rlike(S.PATIENT_ID), F.substring(external_id, 6, 2))
+
+
 def nest_stored(patients: DataFrame, admissions: DataFrame, radiographies: DataFrame) -> DataFrame:
     """Documents of stored patients, who know how many children they have."""
     sizes = patients.select(
@@ -73,7 +84,7 @@ class ClinicalStore:
             return self._pinned
         commits = [n for n in fs.names(self.spark, f"{self.root}/_commits") if n.endswith(".json")]
         if not commits:
-            return {"version": 0, "patients": None, "admissions": [], "radiographies": [], "blobs": []}
+            return {"version": 0, "patients": {}, "admissions": [], "radiographies": [], "blobs": []}
         return json.loads(fs.read_text(self.spark, f"{self.root}/_commits/{commits[-1]}"))
 
     def _commit(self, state: dict) -> None:
@@ -105,12 +116,31 @@ class ClinicalStore:
 
     # ---- reads ----
 
-    def patients(self) -> DataFrame:
-        return self._patients(self._state())
+    def patients(self, ids: list[str] | None = None) -> DataFrame:
+        """All patients, or those of the given ids, whose prefixes alone are opened then."""
+        state = self._state()
+        if ids is None:
+            return self._patients(state)
+        return self._patients(state, {i[5:7] for i in ids}).filter(F.col("external_id").isin(ids))
+
+    def _patients(self, state: dict, prefixes: set[str] | None = None) -> DataFrame:
+        kept = [(p, of["load"]) for p, of in state["patients"].items() if prefixes is None or p in prefixes]
+        full = T.StructType([*self._patient_schema(state).fields, LOAD, PREFIX])
+        if not kept:
+            return self._empty(full).drop("load", "prefix")
+        reader = self.spark.read.schema(full).option("basePath", f"{self.root}/patients")
+        return reader.parquet(*[f"{self._dir('patients', load)}/prefix={p}" for p, load in kept]).drop("load", "prefix")
 
-    def _patients(self, state: dict) -> DataFrame:
-        loads = [] if state["patients"] is None else [state["patients"]]
-        return self._loads("patients", loads, self._patient_schema(state)).drop("load")
+    def patients_of(self, prefixes: set[str]) -> DataFrame:
+        """The patients of some id prefixes."""
+        return self._patients(self._state(), prefixes)
+
+    def sums(self) -> dict[str, dict[str, int]]:
+        """Patients, admissions and radiographies per id prefix in ascending order, from the commit."""
+        return {p: {c: of[c] for c in SUMS} for p, of in sorted(self._state()["patients"].items())}
+
+    def total(self, column: str) -> int:
+        return sum(of[column] for of in self.sums().values())
 
     @staticmethod
     def _patient_schema(state: dict) -> T.StructType:
@@ -125,7 +155,7 @@ class ClinicalStore:
         """
         state = self._state()
         rows = _of_patients(self._loads("admissions", state["admissions"], S.ADMISSIONS), ids)
-        owners = bounded_ids(_of_patients(self._patients(state), ids, "external_id"), "admissions_load")
+        owners = bounded_ids(self.patients(ids), "admissions_load")
         same = (rows["patient_external_id"] == owners["external_id"]) & (rows["load"] == owners["admissions_load"])
         return rows.join(owners, same, "left_semi").drop("load")
 
@@ -139,7 +169,12 @@ class ClinicalStore:
         return nest_stored(now.patients(), now.admissions(), now.radiographies())
 
     def is_empty(self) -> bool:
-        return self.patients().isEmpty()
+        """By the commit's sums: no job."""
+        return self.total("n") == 0
+
+    def emptiness(self) -> DataFrame:
+        """One row: whether no patient is stored; a scan stops at the first one."""
+        return self.patients().limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
 
     # ---- patients and admissions ----
 
@@ -166,77 +201,108 @@ class ClinicalStore:
         state = self._next()
         known = {f.name: f.dataType for f in self._patient_schema(state)}
         own = {f.name: f.dataType.simpleString() for f in batch.schema if f.name not in known}
-        if "load" in own:
-            raise ValueError("the store itself uses the column load")
+        taken = {LOAD.name, PREFIX.name} & set(own)
+        if taken:
+            raise ValueError(f"the store itself uses the columns {sorted(taken)}")
         # a field that came earlier keeps its type
         kept = {name: F.col(name).cast(known[name]) for name in state.get("patient_fields", {}) if name in batch.columns}
         batch = batch.withColumns(kept) if kept else batch
         state["patient_fields"] = {**state.get("patient_fields", {}), **own}
         load = self._attempt(state)
-        if admissions is not None:
-            self._write_admissions(admissions, load)
-            sizes = self._sizes("admissions", load, "n_admissions")
-            batch = batch.join(sizes, "external_id", "left").withColumns(
-                {
-                    "admissions_load": F.lit(load).cast("long"),
-                    "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
-                }
-            )
-        self._write_patients(merge_upsert(self._patients(state), batch, "external_id", now), load, state)
-        written = self._loads("patients", [load], self._patient_schema(state))
-        strange = written.filter(F.col("external_id").isNull() | ~F.col("external_id").rlike(S.PATIENT_ID)).head(1)
-        if strange:
-            raise ValueError(f"not a patient id: {strange[0]['external_id']}")
-        stats = merge_stats(written, now).head().asDict()
-        if not any(stats.values()):
-            # no patients came in: leave the store as it is
-            fs.remove(self.spark, self._dir("patients", load))
-            fs.remove(self.spark, self._dir("admissions", load))
-            return stats
-        state["patients"] = load
-        if admissions is not None:
-            state["admissions"] = [*state["admissions"], load]
+        # the batch is read twice, for its prefixes and for the merge
+        staged_at = f"{self.root}/_landing/batch-{load}"
+        batch.write.parquet(staged_at)
+        try:
+            staged = self.spark.read.schema(batch.schema).parquet(staged_at)
+            prefixes = self._prefixes_of(staged)
+            if not prefixes:
+                # no patients came in: leave the store as it is
+                return {"upserted": 0, "modified": 0}
+            if admissions is not None:
+                self._write_admissions(admissions, load)
+                staged = staged.join(self._admission_sizes(load), "external_id", "left").withColumns(
+                    {
+                        "admissions_load": F.lit(load).cast("long"),
+                        "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
+                    }
+                )
+                state["admissions"] = [*state["admissions"], load]
+            merged = merge_upsert(self._patients(state, prefixes), staged, "external_id", now)
+            stats = self._rewrite(merged, load, state, now)
+        finally:
+            fs.remove(self.spark, staged_at)
         self._commit(state)
         return stats
 
-    def _sizes(self, table: str, load: int, name: str) -> DataFrame:
-        """Rows per patient in one load."""
-        schema = {"admissions": S.ADMISSIONS, "radiographies": S.RADIOGRAPHIES}[table]
-        rows = self._loads(table, [load], schema)
-        return rows.groupBy(F.col("patient_external_id").alias("external_id")).agg(F.count(F.lit(1)).alias(name))
+    @staticmethod
+    def _prefixes_of(rows: DataFrame) -> set[str]:
+        """The id prefixes that rows touch, at most a hundred; refuses what is no patient id."""
+        found = rows.groupBy(id_prefix(F.col("external_id")).alias("prefix")).agg(F.min("external_id").alias("one")).collect()
+        strange = [r["one"] for r in found if r["prefix"] is None]
+        if strange:
+            raise ValueError(f"not a patient id: {strange[0]}")
+        return {r["prefix"] for r in found}
 
-    def _write_patients(self, rows: DataFrame, load: int, state: dict) -> None:
-        fields = self._patient_schema(state).fieldNames()
-        rows = rows.select(*fields).sortWithinPartitions("external_id")
-        rows.write.mode("overwrite").parquet(self._dir("patients", load))
+    def _rewrite(self, rows: DataFrame, load: int, state: dict, now: datetime) -> dict[str, int]:
+        """Write patients, one file per prefix, and let the state name these prefixes' new directories.
 
-    def _write_admissions(self, rows: DataFrame, load: int) -> None:
+        Rows have to be whole prefixes. Returns what changed at ``now``.
+        """
+        fields = self._patient_schema(state).fieldNames()
+        rows = rows.select(*fields, id_prefix(F.col("external_id")).alias("prefix"))
+        rows = rows.repartition("prefix").sortWithinPartitions("prefix", "external_id")
+        rows.write.mode("overwrite").partitionBy("prefix").parquet(self._dir("patients", load))
+        full = T.StructType([*self._patient_schema(state).fields, PREFIX])
+        written = self.spark.read.schema(full).parquet(self._dir("patients", load))
+        held = {"n": F.count(F.lit(1)), **{c: F.coalesce(F.sum(c), F.lit(0)) for c in SUMS[1:]}}
+        counts = written.groupBy("prefix").agg(*merge_counts(now), *[c.alias(n) for n, c in held.items()]).collect()
+        state["patients"] = {**state["patients"], **{r["prefix"]: {"load": load, **{c: r[c] for c in SUMS}} for r in counts}}
+        return {c: sum(r[c] for r in counts) for c in ("upserted", "modified")}
+
+    def _admission_sizes(self, load: int) -> DataFrame:
+        """Per patient: rows in one load, and where the first of them is."""
+        rows = self._loads("admissions", [load], S.ADMISSIONS)
+        own = rows.groupBy(F.col("patient_external_id").alias("external_id"))
+        return own.agg(F.count(F.lit(1)).alias("n_admissions"), F.min(O.place_in_table()).alias("admissions_at"))
+
+    def _write_sorted(self, table: str, rows: DataFrame, order: list[str], load: int) -> O.Ordinals:
+        schema = {"admissions": S.ADMISSIONS, "radiographies": S.RADIOGRAPHIES}[table]
         have = set(rows.columns)
-        fields = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in S.ADMISSIONS]
+        fields = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        written = O.write_sorted(rows.select(*fields), order, self._dir(table, load))
+        O.keep_ordinals(self.spark, f"{self.root}/_ordinals/{table}/{load}.json", written)
+        return written
+
+    def ordinals(self, table: str, load: int) -> O.Ordinals:
+        """The directory of one sorted load."""
+        return O.load_ordinals(self.spark, f"{self.root}/_ordinals/{table}/{load}.json", self._dir(table, load))
+
+    def all_ordinals(self, table: str) -> list[O.Ordinals]:
+        return [self.ordinals(table, load) for load in self._state()[table]]
+
+    def _write_admissions(self, rows: DataFrame, load: int) -> O.Ordinals:
         # ranges over the whole key: a patient with very many admissions spans several files,
         # and a lookup by id skips the files that cannot hold it
-        rows = rows.select(*fields).repartitionByRange(*S.ADMISSION_ORDER).sortWithinPartitions(*S.ADMISSION_ORDER)
-        rows.write.mode("overwrite").parquet(self._dir("admissions", load))
+        return self._write_sorted("admissions", rows, S.ADMISSION_ORDER, load)
 
     def loaded_rows(self, table: str) -> int:
-        """Rows of the latest load of a table, counted from its files."""
-        state = self._state()
-        schema = {"admissions": S.ADMISSIONS, "radiographies": S.RADIOGRAPHIES, "blobs": S.BLOBS}[table]
-        return self._loads(table, state[table][-1:], schema).count()
+        """Rows of the latest load of a sorted table, by its directory."""
+        return sum(self.ordinals(table, load).total for load in self._state()[table][-1:])
 
     def compact(self) -> None:
         """Rewrite the visible rows of every appended table as one load."""
         state = self._next()
         load = self._attempt(state)
-        owners = self.patients()
-        owner_load = F.when(F.col("admissions_load").isNotNull(), F.lit(load).cast("long"))
         self._write_admissions(self.admissions(), load)
-        self._write_patients(owners.withColumn("admissions_load", owner_load), load, state)
-        images = self.radiographies().repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
-        images.write.mode("overwrite").parquet(self._dir("radiographies", load))
+        owner_load = F.when(F.col("admissions_load").isNotNull(), F.lit(load).cast("long"))
+        placed = self._admission_sizes(load).select("external_id", "admissions_at")
+        owners = self.patients().drop("admissions_at").join(placed, "external_id", "left")
+        if state["patients"]:
+            self._rewrite(owners.withColumn("admissions_load", owner_load), load, state, utc_now())
+        self._write_sorted("radiographies", self.radiographies(), S.RADIOGRAPHY_ORDER, load)
         log = self.blob_log()
         B.current_contents(log).drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
-        state.update(patients=load, admissions=[load], radiographies=[load], blobs=[load])
+        state.update(admissions=[load], radiographies=[load], blobs=[load])
         self._commit(state)
 
     # ---- radiographies ----
@@ -250,22 +316,22 @@ class ClinicalStore:
         """
         state = self._next()
         load = self._attempt(state)
-        patients = self._patients(state)
         stored = self._loads("radiographies", state["radiographies"], S.RADIOGRAPHIES)
         have = set(images.columns)
         if not set(S.RADIOGRAPHY_KEY) <= have:
             raise ValueError(f"images need {S.RADIOGRAPHY_KEY}")
         known = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in S.RADIOGRAPHIES]
-        fresh = new_radiographies(stored, images.select(*known), patients)
-        fresh = fresh.repartitionByRange(*S.RADIOGRAPHY_KEY).sortWithinPartitions(*S.RADIOGRAPHY_KEY)
-        fresh.write.mode("overwrite").parquet(self._dir("radiographies", load))
-        added = self._loads("radiographies", [load], S.RADIOGRAPHIES).count()
+        fresh = new_radiographies(stored, images.select(*known), self._patients(state))
+        added = self._write_sorted("radiographies", fresh, S.RADIOGRAPHY_ORDER, load).total
         if added:
+            own = self._loads("radiographies", [load], S.RADIOGRAPHIES).groupBy(F.col("patient_external_id").alias("external_id"))
+            sizes = own.agg(F.count(F.lit(1)).alias("n_new"))
+            prefixes = self._prefixes_of(sizes)
+            patients = self._patients(state, prefixes)
             grown = F.coalesce("n_radiographies", F.lit(0).cast("long")) + F.col("n_new")
-            touched = patients.join(self._sizes("radiographies", load, "n_new"), "external_id")
-            touched = touched.select("external_id", grown.alias("n_radiographies"))
-            self._write_patients(merge_upsert(patients, touched, "external_id", utc_now(), insert=False), load, state)
-            state["patients"] = load
+            touched = patients.join(sizes, "external_id").select("external_id", grown.alias("n_radiographies"))
+            now = utc_now()
+            self._rewrite(merge_upsert(patients, touched, "external_id", now, insert=False), load, state, now)
             state["radiographies"] = [*state["radiographies"], load]
             self._commit(state)
         return added
@@ -316,6 +382,18 @@ class ClinicalStore:
         stamped.write.mode("append").parquet(f"{self.root}/rejected/pipeline_run_id={run_id}")
         return self.rejected(run_id).count()
 
+    def write_rejected_of_runs(self, packed: DataFrame) -> dict[str, int]:
+        """The same for several runs at once, which ``pipeline_run_id`` names; rows per run."""
+        stamped = packed.withColumn("created_at", F.lit(utc_now())).hint("rebalance")
+        stamped.write.mode("append").partitionBy("pipeline_run_id").parquet(f"{self.root}/rejected")
+        runs = [r["pipeline_run_id"] for r in packed.select("pipeline_run_id").distinct().collect()]
+        counts = self.rejected().filter(F.col("pipeline_run_id").isin(runs)).groupBy("pipeline_run_id").count()
+        return {r["pipeline_run_id"]: r["count"] for r in counts.collect()}
+
+    def forget_rejected(self, run_id: str) -> None:
+        """Take back the rejects of a run that starts over."""
+        fs.remove(self.spark, f"{self.root}/rejected/pipeline_run_id={run_id}")
+
     def rejected(self, run_id: str | None = None) -> DataFrame:
         path = f"{self.root}/rejected"
         if not fs.names(self.spark, path):
@@ -325,20 +403,26 @@ class ClinicalStore:
 
     # ---- run history ----
 
-    def _event(self, **values) -> None:
-        fields = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in S.RUN_EVENTS]
-        event = self.spark.range(1, numPartitions=1).select(*fields)
-        event.write.mode("append").parquet(f"{self.root}/runs")
+    def _events(self, *events: dict) -> None:
+        rows = [F.struct(*[F.lit(e.get(f.name)).cast(f.dataType).alias(f.name) for f in S.RUN_EVENTS]) for e in events]
+        one = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+        one.write.mode("append").parquet(f"{self.root}/runs")
 
     def open_run(self, trigger_type: str = "manual") -> str:
-        run_id = uuid.uuid4().hex
+        return self.open_runs([trigger_type])[0]
+
+    def open_runs(self, trigger_types: list[str]) -> list[str]:
         zeros = dict(records_processed=0, records_rejected=0, images_processed=0)
-        self._event(run_id=run_id, event_at=utc_now(), trigger_type=trigger_type, status="running", **zeros)
-        return run_id
+        ids = [uuid.uuid4().hex for _ in trigger_types]
+        self._events(*[dict(run_id=i, event_at=utc_now(), trigger_type=t, status="running", **zeros) for i, t in zip(ids, trigger_types)])
+        return ids
 
     def close_run(self, run_id: str, status: str, stats: dict | None = None, error_message: str | None = None) -> None:
-        counts = {**dict(records_processed=0, records_rejected=0, images_processed=0), **(stats or {})}
-        self._event(run_id=run_id, event_at=utc_now(), status=status, error_message=error_message, **counts)
+        self.close_runs({run_id: stats or {}}, status, error_message)
+
+    def close_runs(self, stats: dict[str, dict], status: str, error_message: str | None = None) -> None:
+        zeros = dict(records_processed=0, records_rejected=0, images_processed=0)
+        self._events(*[dict(run_id=i, event_at=utc_now(), status=status, error_message=error_message, **{**zeros, **of}) for i, of in stats.items()])
 
     def runs(self) -> DataFrame:
         if not fs.names(self.spark, f"{self.root}/runs"):

@@ -32,9 +32,10 @@ ADMISSION_COLUMNS = [
 ]
 PATIENT_KEY = ["external_id"]
 ADMISSION_KEY = ["patient_external_id", "admission_date", "department"]
-STORE_COLUMNS = ["admissions_load", "n_admissions", "n_radiographies"]
+STORE_COLUMNS = ["admissions_load", "admissions_at", "n_admissions", "n_radiographies"]
 ADMISSION_ORDER = ["patient_external_id", "admission_date", "department"]
 RADIOGRAPHY_KEY = ["patient_external_id", "minio_object_key"]
+RADIOGRAPHY_ORDER = ["minio_object_key", "patient_external_id"]
 
 
 def _strings(names: list[str]) -> list[T.StructField]:
@@ -45,8 +46,10 @@ PATIENTS = T.StructType(
     _strings(PATIENT_COLUMNS + [SOURCE_FILE])
     + [
         T.StructField("age", T.IntegerType()),
-        # bookkeeping of the store: which load the admissions come from, sizes of both arrays
+        # bookkeeping of the store: which load the admissions come from, where in it the first
+        # one is, sizes of both arrays
         T.StructField("admissions_load", T.LongType()),
+        T.StructField("admissions_at", T.LongType()),
         T.StructField("n_admissions", T.LongType()),
         T.StructField("n_radiographies", T.LongType()),
         T.StructField("created_at", T.TimestampType()),
