@@ -11,6 +11,10 @@ def keys(spark, n):
     return spark.range(n).withColumnRenamed("id", "key")
 
 
+def people(spark, n):
+    return spark.range(n).select(F.format_string("HOSP-%06d", "id").alias("external_id"))
+
+
 def test_draws_are_even(spark):
     n = 20_000
     tenth = spark.range(n).groupBy((draw(F.col("id"), 5) * 10 / PRIME).cast("int").alias("b")).count().collect()
@@ -48,7 +52,7 @@ def test_blood_types_follow_their_odds(spark):
 
 
 def test_admissions(spark):
-    df = generate_admissions(keys(spark, 2000), n_patients=50, edge_ratio=0.0, seed=43)
+    df = generate_admissions(keys(spark, 2000), people(spark, 50), edge_ratio=0.0, seed=43)
     assert df.columns == ADMISSION_COLUMNS and validate_admissions(df).rejected.count() == 0
     assert df.filter("patient_external_id >= 'HOSP-000050'").count() == 0
     assert df.filter("(status = 'admitted') <> (discharge_date = '')").count() == 0
@@ -58,11 +62,11 @@ def test_admissions(spark):
 
 
 def test_orphans_and_bad_days(spark):
-    df = generate_admissions(keys(spark, 2000), n_patients=50, edge_ratio=0.3, seed=43)
+    df = generate_admissions(keys(spark, 2000), people(spark, 50), edge_ratio=0.3, seed=43)
     assert 500 < df.filter("patient_external_id >= 'HOSP-900000'").count() < 700
     assert 500 < validate_admissions(df).rejected.count() < 700
     with pytest.raises(ValueError):
-        generate_admissions(keys(spark, 1), n_patients=0)
+        generate_admissions(keys(spark, 1), people(spark, 0))
 
 
 def test_same_seed_same_rows(spark):
@@ -80,3 +84,26 @@ def test_images(spark):
         assert bytes(r["content"]).startswith(b"\x89PNG") and len(r["content"]) == r["length"]
     assert len(per_patient) == 200 and {len(v) for v in per_patient.values()} == {1, 2, 3}
     assert "HOSP-000007_xray1.png" in {r["name"] for r in rows}
+
+
+def test_admissions_of_any_ids(spark):
+    ids = ["HOSP-000007", "HOSP-999999", "x", "", "Zoë", "HOSP-000007"]
+    given = spark.createDataFrame([(i, 1) for i in ids], "external_id string, age int").repartition(3)
+    found = generate_admissions(keys(spark, 6000), given, edge_ratio=0.0, seed=9)
+    counts = {r["patient_external_id"]: r["count"] for r in found.groupBy("patient_external_id").count().collect()}
+    # every id occurs, one that is given twice about twice as often
+    assert set(counts) == set(ids) and sum(counts.values()) == 6000
+    assert all(850 < n < 1150 for i, n in counts.items() if i != "HOSP-000007") and 1800 < counts["HOSP-000007"] < 2200
+
+
+def test_numbers_are_dense_and_in_order(spark, monkeypatch):
+    from wardlake.operators import ordinals
+    from wardlake.operators.numbering import numbered
+
+    monkeypatch.setattr(ordinals, "MAX_FILE_ROWS", 40)
+    rows, n = numbered(spark.range(500).selectExpr("id % 7 AS a", "id AS b").repartition(5), ["a", "b"])
+    got = sorted((r["number"], (r["a"], r["b"])) for r in rows.collect())
+    assert n == 500 and [k for k, _ in got] == list(range(500))
+    assert [key for _, key in got] == sorted((i % 7, i) for i in range(500))
+    empty, n = numbered(spark.range(0), ["id"])
+    assert n == 0 and empty.count() == 0 and empty.columns == ["id", "number"]

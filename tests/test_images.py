@@ -106,3 +106,27 @@ def test_a_key_that_leaves_its_bucket_is_refused(spark, tmp_path):
 def test_images_of_a_glob(spark, folder):
     assert {r["name"] for r in read_images(spark, f"{folder}/*.png").select("name").collect()} <= {r["name"] for r in read_images(spark, folder).select("name").collect()}
     assert read_images(spark, f"{folder}/*.png").count() > 0
+
+
+def test_a_second_sync_opens_only_what_changed(spark, folder, tmp_path):
+    import os
+
+    store = ClinicalStore(spark, str(tmp_path / "store"))
+    records, tally = sync_images(store, folder)
+    assert tally == {"uploaded": 3, "already there": 0} and records.count() == 3
+    loads = store._state()["blobs"]
+    records, tally = sync_images(store, folder)
+    assert tally == {"uploaded": 0, "already there": 3} and records.count() == 3
+    assert store._state()["blobs"] == loads
+    # one file changes, one is new, with characters that a glob would read
+    changed = os.path.join(folder, "HOSP-000001_ok.png")
+    with open(changed, "wb") as out:
+        out.write(PNG_SIGNATURE + b"other")
+    with open(os.path.join(folder, "HOSP-000003_{a,b}[1]*?.png"), "wb") as out:
+        out.write(PNG_SIGNATURE)
+    records, tally = sync_images(store, folder)
+    assert tally == {"uploaded": 1, "already there": 3} and records.count() == 4
+    written = store.load_of_blobs(store._state()["blobs"][-1])
+    assert {r["object_key"].split("_", 1)[1] for r in written.collect()} == {"ok.png", "{a,b}[1]*?.png"}
+    contents = {r["object_key"]: bytes(r["content"]) for r in store.blob_contents().collect()}
+    assert contents["HOSP-000001/HOSP-000001_ok.png"] == PNG_SIGNATURE + b"other" and len(contents) == 4

@@ -33,7 +33,7 @@ def shaky(df):
 
 keys = spark.range(0, 600, 1, 4).withColumnRenamed("id", "key")
 patients = generate_patients(keys, 0.0, 1)
-admissions = generate_admissions(keys, 600, 0.1, 2)
+admissions = generate_admissions(keys, patients, 0.1, 2)
 store = ClinicalStore(spark, sys.argv[2] + "/store")
 stats = store.load_batch(shaky(patients), clean_admissions(shaky(admissions)))
 expected = clean_admissions(admissions).join(patients, F.col("patient_external_id") == F.col("external_id"), "left_semi")

@@ -89,6 +89,60 @@ def test_a_batch_may_name_a_patient_twice(spark, store):
     assert store.admissions().count() == 1
 
 
+def prefixes_written(store):
+    """Directories that the latest patients load wrote, by prefix."""
+    loads = {of["load"] for of in store._state()["patients"].values()}
+    return [n for n in fs.names(store.spark, f"{store.root}/patients/load={max(loads)}") if n.startswith("prefix=")]
+
+
+def test_a_merge_rewrites_the_prefixes_it_touches(spark, store):
+    everyone = spark.range(0, 1_000_000, 2_000).select(F.format_string("HOSP-%06d", "id").alias("external_id"), F.lit("n").alias("name"), F.lit(1).alias("age"))
+    assert store.upsert_patients(everyone) == {"upserted": 500, "modified": 0}
+    assert len(prefixes_written(store)) == 100
+    before = store.pinned()
+    few = patients(spark, *[(f"HOSP-{k:02d}0001", "new", 2) for k in range(9)], ("HOSP-500000", "changed", 3))
+    assert store.upsert_patients(few) == {"upserted": 9, "modified": 1}
+    assert prefixes_written(store) == [f"prefix={k:02d}" for k in (*range(9), 50)]
+    assert store.patients().count() == 509 == store.total("n") and before.patients().count() == 500
+    assert store.patients().filter("name = 'changed'").head()["external_id"] == "HOSP-500000"
+    # a lookup opens one file
+    found = serve.find_patient(store, "HOSP-500000")
+    assert found.head()["age"] == 3 and len(found.inputFiles()) == 1
+    assert serve.find_patient(store, "someone").isEmpty()
+    # images move only their patients' prefixes, admissions too
+    assert store.attach_radiographies(images(spark, ("HOSP-990000", "HOSP-990000/a.png"))) == 1
+    assert prefixes_written(store) == ["prefix=99"]
+    store.load_batch(few.limit(1), admissions(spark, ("HOSP-000001", "2025-01-01", "UCI")))
+    assert prefixes_written(store) == ["prefix=00"]
+    with pytest.raises(ValueError):
+        store.upsert_patients(few.withColumn("prefix", F.lit("x")))
+    for offset in (0, 17, 498, 508, 600):
+        ids = [r["external_id"] for r in serve.patients_page(store, 5, offset).items.collect()]
+        assert ids == sorted(r["external_id"] for r in store.patients().collect())[offset : offset + 5]
+
+
+def test_a_deep_admissions_page_opens_few_files(spark, store, monkeypatch):
+    from wardlake.operators import ordinals
+
+    monkeypatch.setattr(ordinals, "MAX_FILE_ROWS", 100_000)
+    two = patients(spark, ("HOSP-000001", "Nuria", 40), ("HOSP-000002", "Bob", 50))
+    days = spark.range(0, 600_000, 1, 8).select(
+        F.format_string("HOSP-%06d", F.when(F.col("id") < 1000, 1).otherwise(2)).alias("patient_external_id"),
+        F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (F.col("id") % 20_000).cast("int")), "yyyy-MM-dd").alias("admission_date"),
+        F.format_string("d%05d", (F.col("id") / 20_000).cast("int")).alias("department"),
+    )
+    store.load_batch(two, days)
+    store.load_batch(two.limit(1), days.filter("id < 10"))
+    page = serve.admissions_page(store, 50, 500_000)
+    expected = store.admissions().orderBy("patient_external_id", "admission_date", "department").offset(500_000).limit(50)
+    assert page.total == 599_010 == store.admissions().count()
+    assert [tuple(r)[:4] for r in page.items.collect()] == [tuple(r)[:4] for r in expected.select(*ADMISSION_COLUMNS).collect()]
+    assert 1 <= len(page.items.inputFiles()) <= 2 and len(store.all_ordinals("admissions")[0].files) > 5
+    # the border between two patients of two loads
+    border = serve.admissions_page(store, 4, 8).items.collect()
+    assert [r["patient_external_id"] for r in border] == ["HOSP-000001"] * 2 + ["HOSP-000002"] * 2
+
+
 def test_strange_ids_are_refused(spark, store):
     with pytest.raises(ValueError):
         store.upsert_patients(patients(spark, ("someone", "Nuria", 40)))
@@ -132,11 +186,28 @@ def test_objects(spark, store):
     assert store.blobs().count() == 2
 
 
-def test_many_stale_objects_need_no_broadcast(spark, store, monkeypatch):
-    from wardlake.operators import blobs
-
-    monkeypatch.setattr(blobs, "FEW_KEYS", 0)
-    test_objects(spark, store)
+def test_bytes_stay_in_place_at_any_number_of_stale_objects(spark, store, monkeypatch):
+    from wardlake.plans import store as plans
+
+    def objects(keys, text):
+        rows = keys.select(F.lit("b").alias("bucket"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("object_key"))
+        return rows.withColumn("content", F.encode(F.concat(F.lit(text), "object_key"), "UTF-8"))
+
+    store.put_objects(objects(spark.range(0, 400, 1, 4), "old "))
+    store.put_objects(objects(spark.range(100, 300, 1, 2), "new "))
+    store.remove_objects(objects(spark.range(250, 350, 1, 3), ""))
+    expected = {f"k{i}": ("new " if 100 <= i < 300 else "old ") + f"k{i}" for i in range(400) if not 250 <= i < 350}
+    for at_once in (1_000_000, 70, 1):
+        monkeypatch.setattr(plans, "PLACES_AT_ONCE", at_once)
+        found = store.blob_contents()
+        assert {r["object_key"]: bytes(r["content"]).decode() for r in found.collect()} == expected
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        for exchange in [line for line in plan.split("\n") if "Exchange" in line]:
+            assert "content" not in exchange
+        some = store.blobs().filter("object_key IN ('k5', 'k120', 'k260')")
+        assert {bytes(r["content"]) for r in store.blob_contents(some).collect()} == {b"old k5", b"new k120"}
+    assert plans._together({(1, "a"): 3, (1, "b"): 9, (2, "c"): 1}) == [[(1, "a")], [(1, "b")], [(2, "c")]]
 
 
 def test_compaction_keeps_what_is_visible(spark, store):

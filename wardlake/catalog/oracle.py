@@ -383,15 +383,18 @@ UNION ALL SELECT 'admissions_rejected', count(*) FROM admissions_tagged WHERE re
   CASE WHEN status = 'admitted' THEN '' ELSE strftime(day + stay, '%Y-%m-%d') END AS discharge_date,
   department, diagnosis_code, {DESCRIBE} AS diagnosis_description, status
   FROM (SELECT
-    printf('HOSP-%06d', CASE WHEN {_below(S42 + 1, 0.2)} THEN 900000 + {_draw(S42 + 2)} % 100000
-      ELSE {_draw(S42 + 3)} % (SELECT count(*) FROM customer) END) AS patient_external_id,
+    CASE WHEN {_below(S42 + 1, 0.2)} THEN printf('HOSP-%06d', 900000 + {_draw(S42 + 2)} % 100000)
+      ELSE external_id END AS patient_external_id,
     {DAY} - CAST({_draw(S42 + 4)} % 730 AS INTEGER) AS day,
     CAST({_draw(S42 + 5)} % 30 + 1 AS INTEGER) AS stay,
     {_pick(S42 + 6, STATUSES)} AS status,
     {_pick(S42 + 7, DEPARTMENTS)} AS department,
     {_pick(S42 + 8, list(DIAGNOSES))} AS diagnosis_code,
     {_below(S42 + 9, 0.2)} AS bad_date
-    FROM (SELECT o_orderkey AS key FROM orders))""",
+    FROM (SELECT o_orderkey AS key FROM orders) JOIN
+      (SELECT external_id, row_number() OVER (ORDER BY external_id) - 1 AS number FROM
+        (SELECT printf('HOSP-%06d', c_custkey) AS external_id FROM customer))
+      ON number = {_draw(S42 + 3)} % (SELECT count(*) FROM customer))""",
     "generated_images": f"""SELECT patient || '_xray' || CAST(n AS VARCHAR) || '.png' AS name, '89504E470D0A1A0A' AS signature
   FROM (SELECT printf('HOSP-%06d', key) AS patient, unnest(range(1, {_draw(S42 + 1)} % 3 + 2)) AS n
     FROM (SELECT c_custkey AS key FROM customer))""",

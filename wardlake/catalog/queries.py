@@ -35,7 +35,7 @@ from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import ADMISSIONS_FILE, ADMISSION_ORDER, IMAGES_BUCKET, PATIENTS_FILE, REASON, SOURCE_FILE
 from wardlake.sources import testdata as T
 from wardlake.sources.csv import read_admissions, read_patients, write_csv
-from wardlake.sources.generate import generate_admissions, generate_images, generate_patients
+from wardlake.sources.generate import generate_admissions, generate_images, generate_patients, padded_id
 from wardlake.sources.images import export_blobs
 from wardlake.streaming.arrivals import process_arrivals
 
@@ -441,7 +441,13 @@ def blob_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def blob_contents(spark: SparkSession, sf: str) -> DataFrame:
-    return B.current_contents(_blob_log(spark, sf)).select("bucket", "object_key", F.md5("content").alias("digest"))
+    """The same log, stored: bytes of the current objects, read where they lie."""
+    store = ClinicalStore(spark, fs.work_dir(spark, "contents"))
+    pages = T.page_blobs(spark, sf)
+    store.put_objects(pages, "text/html")
+    store.put_objects(pages.filter("object_key like 'fr/%'").withColumn("content", F.encode(F.lit("bonjour"), "UTF-8")))
+    store.remove_objects(pages.filter("object_key like 'de/%'"))
+    return store.blob_contents().select("bucket", "object_key", F.md5("content").alias("digest"))
 
 
 def _runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -484,8 +490,8 @@ def generated_patients(spark: SparkSession, sf: str) -> DataFrame:
 
 def generated_admissions(spark: SparkSession, sf: str) -> DataFrame:
     keys = T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))
-    n_patients = T.table(spark, sf, "customer").count()
-    return generate_admissions(keys, n_patients=n_patients, edge_ratio=0.2, seed=SEED)
+    patients = T.table(spark, sf, "customer").select(padded_id(F.col("c_custkey")).alias("external_id"))
+    return generate_admissions(keys, patients, edge_ratio=0.2, seed=SEED)
 
 
 def generated_images(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Stored objects as an append-only log of puts and removals; the newest entry counts.
 
-The log is resolved on its metadata alone; object bytes are moved only when asked for.
+The log is resolved on its metadata alone. Bytes are read where they lie: what has to be left out,
+or picked, is a set of row positions per file, applied at the scan of that file, so no shuffle ever
+carries an object.
 """
 
 from pyspark.sql import DataFrame
@@ -10,11 +12,10 @@ from wardlake.operators.metrics import duplicate_keys
 from wardlake.schemas import DEFAULT_CONTENT_TYPE
 
 BLOB_KEY = ["bucket", "object_key"]
-FEW_KEYS = 100_000
 
 
 def put_entries(objects: DataFrame, content_type: str = DEFAULT_CONTENT_TYPE) -> DataFrame:
-    """Log entries for (bucket, object_key, content[, content_type]) rows."""
+    """Log entries for (bucket, object_key, content[, content_type, source_time]) rows."""
     kind = F.col("content_type") if "content_type" in objects.columns else F.lit(content_type)
     return objects.select(
         *BLOB_KEY,
@@ -22,6 +23,7 @@ def put_entries(objects: DataFrame, content_type: str = DEFAULT_CONTENT_TYPE) ->
         F.octet_length("content").cast("long").alias("length"),
         F.coalesce(kind, F.lit(content_type)).alias("content_type"),
         F.lit(False).alias("deleted"),
+        (F.col("source_time") if "source_time" in objects.columns else F.lit(None)).cast("timestamp").alias("source_time"),
     )
 
 
@@ -32,6 +34,7 @@ def remove_entries(keys: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("length"),
         F.lit(None).cast("string").alias("content_type"),
         F.lit(True).alias("deleted"),
+        F.lit(None).cast("timestamp").alias("source_time"),
     )
 
 
@@ -44,8 +47,17 @@ def check_unique(entries: DataFrame) -> None:
 
 def blob_index(log: DataFrame) -> DataFrame:
     """Current objects without their bytes: the newest entry per key that is no removal."""
-    newest = F.max(F.struct("load", "length", "content_type", "deleted")).alias("_n")
-    return log.groupBy(*BLOB_KEY).agg(newest).select(*BLOB_KEY, "_n.*").filter(~F.col("deleted")).drop("deleted")
+    return _newest(log).filter(~F.col("deleted")).drop("deleted", "source_time")
+
+
+def source_times(log: DataFrame) -> DataFrame:
+    """Current objects with the length and time of the file each came from."""
+    return _newest(log).filter(~F.col("deleted")).select(*BLOB_KEY, "length", "source_time")
+
+
+def _newest(log: DataFrame) -> DataFrame:
+    newest = F.max(F.struct("load", "length", "content_type", "deleted", "source_time")).alias("_n")
+    return log.groupBy(*BLOB_KEY).agg(newest).select(*BLOB_KEY, "_n.*")
 
 
 def list_objects(index: DataFrame, bucket: str, prefix: str = "") -> DataFrame:
@@ -65,24 +77,13 @@ def object_exists(index: DataFrame, bucket: str, key: str) -> bool:
     return not index.filter((F.col("bucket") == bucket) & (F.col("object_key") == key)).isEmpty()
 
 
-def blob_contents(log: DataFrame, index: DataFrame) -> DataFrame:
-    """Bytes of the given index rows. A few keys go to the bytes, not the bytes to the keys."""
-    wanted = _small(index.select(*BLOB_KEY, "load"))
-    return log.join(wanted, [*BLOB_KEY, "load"], "left_semi").filter(~F.col("deleted"))
-
-
-def current_contents(log: DataFrame) -> DataFrame:
-    """Bytes of all current objects.
-
-    What has to be left out, entries that a later one replaced or removed, is found on the
-    metadata and is usually little; the bytes then stay where they are.
-    """
-    newest = log.groupBy(*BLOB_KEY).agg(F.max("load").alias("_newest"))
-    entries = log.select(*BLOB_KEY, "load").join(newest, BLOB_KEY)
-    stale = _small(entries.filter("load < _newest").drop("_newest"))
-    return log.filter(~F.col("deleted")).join(stale, [*BLOB_KEY, "load"], "left_anti")
+def stale_places(entries: DataFrame) -> DataFrame:
+    """Places (load, file, row) of entries without a current object: replaced ones and removals."""
+    newest = F.max("load").alias("_newest")
+    later = entries.groupBy(*BLOB_KEY).agg(newest)
+    return entries.join(later, BLOB_KEY).filter(F.col("deleted") | (F.col("load") < F.col("_newest"))).select("load", "file", "row")
 
 
-def _small(keys: DataFrame) -> DataFrame:
-    """Marked for broadcast when counting shows that there are few; else the join shuffles."""
-    return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys
+def wanted_places(entries: DataFrame, index: DataFrame) -> DataFrame:
+    """Places of the objects of the given index rows."""
+    return entries.filter(~F.col("deleted")).join(index.select(*BLOB_KEY, "load"), [*BLOB_KEY, "load"], "left_semi").select("load", "file", "row")

@@ -30,6 +30,19 @@ def accepted_images(files: DataFrame) -> DataFrame:
     return ok.withColumn("object_key", object_key(patient_of(F.col("name")), F.col("name")))
 
 
+def keyed_names(files: DataFrame) -> DataFrame:
+    """Files whose name is an image's, with their object key; the content is not looked at."""
+    named = files.filter(has_png_suffix(F.col("name")) & (patient_of(F.col("name")) != ""))
+    return named.withColumn("object_key", object_key(patient_of(F.col("name")), F.col("name")))
+
+
+def changed_files(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """Keyed files that are not stored, or were made from a file of other length or time."""
+    kept = stored.select(F.col("object_key").alias("_key"), F.col("length").alias("_length"), "source_time")
+    same = (F.col("object_key") == F.col("_key")) & (F.col("length") == F.col("_length")) & (F.col("modified") == F.col("source_time"))
+    return files.join(kept, same, "left_anti")
+
+
 def image_records(stored: DataFrame, at: datetime) -> DataFrame:
     """Metadata records of stored images (object_key, length); the bytes are not read."""
     name = base_name(F.col("object_key"))

@@ -4,6 +4,7 @@ import logging
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
+from itertools import islice
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,12 @@ from pyspark.sql import functions as F
 from wardlake import fs
 from wardlake import schemas as S
 from wardlake.operators.clean import clean_admissions, clean_patients, enrich_admissions, enrich_patients
-from wardlake.operators.images import accepted_images, attach_report, image_records, sync_report
+from wardlake.operators.images import accepted_images, attach_report, changed_files, image_records, keyed_names, sync_report
 from wardlake.operators.links import bounded_ids
 from wardlake.operators.validate import Rule, Validated, admission_rules, pack_rejected, patient_rules, tag
 from wardlake.plans.store import ClinicalStore, utc_now
 from wardlake.sources.csv import read_admissions, read_patients
-from wardlake.sources.images import read_images
+from wardlake.sources.images import read_images, read_these
 
 log = logging.getLogger(__name__)
 
@@ -181,17 +182,32 @@ def _run_together(
         fs.remove(spark, landing)
 
 
+#: Paths that one read of changed images names.
+PATHS_AT_ONCE = 5_000
+
+
 def sync_images(store: ClinicalStore, images_dir: str, bucket: str = S.IMAGES_BUCKET) -> tuple[DataFrame, dict[str, int]]:
-    """Store every acceptable image; returns the records of all of them and a tally.
+    """Store every acceptable image that is new or has changed; records of all of them and a tally.
 
-    Bytes go from the files to the store without a shuffle. The records are read back from
-    what was stored, so none exists for an image that did not get there.
+    The listing (name, length, time) is compared with what the store knows of each object's file,
+    and only files that differ are opened; when none does, nothing is written. Bytes go from the
+    files to the store without a shuffle. The records are read back from what is stored, so none
+    exists for an image that did not get there.
     """
-    before = store.blobs().filter(F.col("bucket") == bucket).select("object_key")
-    files = accepted_images(read_images(store.spark, images_dir))
-    load = store.put_objects(files.select(F.lit(bucket).alias("bucket"), "object_key", "content"), IMAGE_TYPE)
-    records = image_records(store.load_of_blobs(load), utc_now())
-    counted = _tally(sync_report(records, before), "sync_state")
+    spark, before = store.spark, store.pinned()
+    listing = keyed_names(read_images(spark, images_dir).drop("content"))
+    stored = before.source_times(bucket)
+    if before.blob_log().isEmpty():
+        fresh = [read_images(spark, images_dir)]
+    else:
+        changed = changed_files(listing, stored).select("path").toLocalIterator()
+        fresh = [read_these(spark, [r["path"] for r in some]) for some in iter(lambda: list(islice(changed, PATHS_AT_ONCE)), [])]
+    if fresh:
+        files = accepted_images(reduce(DataFrame.unionByName, fresh))
+        store.put_objects(files.select(F.lit(bucket).alias("bucket"), "object_key", "content", F.col("modified").alias("source_time")), IMAGE_TYPE)
+    there = store.blobs().filter(F.col("bucket") == bucket).join(listing.select("object_key"), "object_key", "left_semi")
+    records = image_records(there, utc_now())
+    counted = _tally(sync_report(records, stored.select("object_key")), "sync_state")
     return records, {"uploaded": counted.get("uploaded", 0), "already there": counted.get("already there", 0)}
 
 

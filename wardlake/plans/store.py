@@ -17,6 +17,7 @@ import json
 import secrets
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from wardlake.operators.runs import run_states
 
 LOAD = T.StructField("load", T.LongType())
 PREFIX = T.StructField("prefix", T.StringType())
+#: Row positions that one scan of objects is told to skip or to take; bounds what is broadcast.
+PLACES_AT_ONCE = 1_000_000
 #: The sums a commit keeps per prefix.
 SUMS = ["n", "n_admissions", "n_radiographies"]
 # objects may be large: let the writer look at its buffer often enough
@@ -52,6 +55,19 @@ def _of_patients(df: DataFrame, ids: list[str] | None, column: str = "patient_ex
     return df if ids is None else df.filter(F.col(column).isin(ids))
 
 
+def _together(counts: dict[tuple[int, str], int]) -> list[list[tuple[int, str]]]:
+    """Files in groups of at most ``PLACES_AT_ONCE`` positions, or of one file with more."""
+    groups: list[list[tuple[int, str]]] = []
+    room = 0
+    for file, n in sorted(counts.items()):
+        if n > room or not groups:
+            groups.append([])
+            room = PLACES_AT_ONCE
+        groups[-1].append(file)
+        room -= n
+    return groups
+
+
 def id_prefix(external_id: Column) -> Column:
     """"HOSP-" and six digits: the first two. Ten thousand ids each, null for what is no id."""
     return F.when(external_id.rlike(S.PATIENT_ID), F.substring(external_id, 6, 2))
@@ -300,8 +316,7 @@ class ClinicalStore:
         if state["patients"]:
             self._rewrite(owners.withColumn("admissions_load", owner_load), load, state, utc_now())
         self._write_sorted("radiographies", self.radiographies(), S.RADIOGRAPHY_ORDER, load)
-        log = self.blob_log()
-        B.current_contents(log).drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
+        self.blob_contents().drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
         state.update(admissions=[load], radiographies=[load], blobs=[load])
         self._commit(state)
 
@@ -345,26 +360,65 @@ class ClinicalStore:
         """Index of the current objects: no bytes."""
         return B.blob_index(self.blob_log())
 
+    def source_times(self, bucket: str) -> DataFrame:
+        """Keys of a bucket with the length and time of the file each object came from."""
+        return B.source_times(self.blob_log()).filter(F.col("bucket") == bucket).drop("bucket")
+
     def blob_contents(self, index: DataFrame | None = None) -> DataFrame:
-        """Objects with their bytes: those of the given index rows, or all."""
+        """Objects with their bytes: those of the given index rows, or all.
+
+        Which rows these are is found on the metadata and written down as positions. Then every
+        file is scanned with the positions that lie in it: files are taken together while they
+        have at most ``PLACES_AT_ONCE``, so what is broadcast is bounded and bytes stay in place.
+        """
         log = self.blob_log()
-        return B.current_contents(log) if index is None else B.blob_contents(log, index)
+        if not self._state()["blobs"]:
+            return log
+        entries = log.select(*B.BLOB_KEY, "load", "deleted", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+        found = B.stale_places(entries) if index is None else B.wanted_places(entries, index)
+        path = fs.work_dir(self.spark, "places")
+        found.write.parquet(path)
+        places = self.spark.read.schema(found.schema).parquet(path)
+        counts = {(r["load"], r["file"]): r["n"] for r in places.groupBy("load", "file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        parts = [self._at_places(places, group, index is not None) for group in _together(counts)]
+        if index is None:
+            whole = [(load, name) for load in self._state()["blobs"] for name in self._files("blobs", load) if (load, name) not in counts]
+            parts += [self._scan_blobs(whole)] if whole else []
+        return reduce(DataFrame.unionByName, parts) if parts else log.limit(0)
+
+    def _files(self, table: str, load: int) -> list[str]:
+        return [n for n in fs.names(self.spark, self._dir(table, load)) if n.startswith("part-")]
+
+    def _scan_blobs(self, files: list[tuple[int, str]]) -> DataFrame:
+        reader = self.spark.read.schema(T.StructType([*S.BLOBS.fields, LOAD])).option("basePath", f"{self.root}/blobs")
+        return reader.parquet(*[f"{self._dir('blobs', load)}/{name}" for load, name in files])
+
+    def _at_places(self, places: DataFrame, files: list[tuple[int, str]], take: bool) -> DataFrame:
+        """Rows of some files that are, or are not, at the given places."""
+        here = places.filter(F.col("file").isin([name for _, name in files])).select(F.col("file").alias("_file"), F.col("row").alias("_row"))
+        scan = self._scan_blobs(files).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+        same = (scan["_f"] == here["_file"]) & (scan["_r"] == here["_row"])
+        return scan.join(F.broadcast(here), same, "left_semi" if take else "left_anti").drop("_f", "_r")
 
     def load_of_blobs(self, load: int) -> DataFrame:
         """Entries of one load, as written."""
         return self._loads("blobs", [load], S.BLOBS)
 
-    def _append_blobs(self, entries: DataFrame) -> int:
+    def _append_blobs(self, entries: DataFrame) -> int | None:
         state = self._next()
         load = self._attempt(state)
         entries.write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
-        B.check_unique(self.load_of_blobs(load))
+        written = self.load_of_blobs(load)
+        B.check_unique(written)
+        if written.isEmpty():
+            fs.remove(self.spark, self._dir("blobs", load))
+            return None
         state["blobs"] = [*state["blobs"], load]
         self._commit(state)
         return load
 
-    def put_objects(self, objects: DataFrame, content_type: str = S.DEFAULT_CONTENT_TYPE) -> int:
-        """Store (bucket, object_key, content) rows; a key stored before is overwritten."""
+    def put_objects(self, objects: DataFrame, content_type: str = S.DEFAULT_CONTENT_TYPE) -> int | None:
+        """Store (bucket, object_key, content) rows; a key stored before is overwritten. Returns the load, if any."""
         return self._append_blobs(B.put_entries(objects, content_type))
 
     def remove_objects(self, keys: DataFrame) -> None:

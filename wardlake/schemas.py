@@ -69,6 +69,8 @@ BLOBS = T.StructType(
         T.StructField("length", T.LongType()),
         T.StructField("content_type", T.StringType()),
         T.StructField("deleted", T.BooleanType()),
+        # of the file an object was made from, to see later whether that one has changed
+        T.StructField("source_time", T.TimestampType()),
     ]
 )
 REJECTED = T.StructType(

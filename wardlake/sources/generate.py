@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions import below, draw, pick, weighted
+from wardlake.operators.numbering import numbered
 from wardlake.schemas import ADMISSION_COLUMNS, BLOOD_TYPES, GENDERS, PATIENT_COLUMNS, PNG_SIGNATURE, STATUSES
 
 # ---- fixed values: odds, departments, diagnoses ----
@@ -106,22 +107,26 @@ def _copies(key: Column, seed: int, edge_ratio: float) -> Column:
 
 
 def generate_admissions(
-    keys: DataFrame, n_patients: int, edge_ratio: float = 0.05, seed: int = 1, today: str = "2026-04-21"
+    keys: DataFrame, patients: DataFrame, edge_ratio: float = 0.05, seed: int = 1, today: str = "2026-04-21"
 ) -> DataFrame:
-    """Admissions of patients 0 .. n_patients-1 in the last two years.
+    """Admissions of the given patients, any ids in a column ``external_id``, in the last two years.
 
-    ``edge_ratio`` of the rows name a patient who does not exist, and as many carry a date in
-    the wrong format. A discharge follows 1 to 30 days later unless still admitted.
+    Each row draws a number, and the ids are numbered from 0 in ascending order; an id given twice
+    is drawn twice as often. ``edge_ratio`` of the rows name a patient who does not exist, and as
+    many carry a date in the wrong format. A discharge follows 1 to 30 days later unless still
+    admitted.
     """
+    ids, n_patients = numbered(patients.select("external_id"), ["external_id"], "_number")
     if n_patients < 1:
         raise ValueError("there must be at least one patient")
     key = F.col("key")
     s = seed * 100
-    number = F.when(below(key, s + 1, edge_ratio), 900_000 + draw(key, s + 2) % 100_000).otherwise(
-        draw(key, s + 3) % n_patients
-    )
-    rows = keys.select(
-        padded_id(number).alias("patient_external_id"),
+    drawn = keys.select(key, F.when(~below(key, s + 1, edge_ratio), draw(key, s + 3) % n_patients).alias("_number"))
+    # numbers are drawn evenly, so no patient is a hot key of this join
+    known = drawn.join(ids, "_number", "left")
+    stranger = padded_id(900_000 + draw(key, s + 2) % 100_000)
+    rows = known.select(
+        F.when(F.col("_number").isNull(), stranger).otherwise(F.col("external_id")).alias("patient_external_id"),
         _day_between(key, s + 4, today, 730).alias("day"),
         (draw(key, s + 5) % 30 + 1).cast("int").alias("stay"),
         pick(key, s + 6, STATUSES).alias("status"),
