@@ -9,13 +9,19 @@ DATA = "/root/testdata/sf0.001"
 # these run jobs while they are built, or write files
 EAGER = {
     "admissions_deep_page",
+    "archived_batches",
     "blob_contents",
+    "chosen_images",
+    "contract_errors",
+    "generated_admissions",
     "etl_rerun",
     "etl_run",
     "image_ingest",
     "incremental_batches",
     "read_contract_admissions",
     "read_contract_patients",
+    "run_outcomes",
+    "second_load",
     "served_pages",
 }
 

@@ -345,6 +345,12 @@ UNION ALL SELECT DISTINCT 'new', patient_external_id, minio_object_key, file_siz
   8 + length(v.original_filename) AS file_size_bytes
   FROM (SELECT DISTINCT minio_object_key, original_filename FROM images) i
   LEFT JOIN (SELECT DISTINCT * FROM visible_images) v ON i.minio_object_key = v.minio_object_key""",
+    "chosen_images": """SELECT 'file' AS how, name, disposition FROM image_classes WHERE name = (SELECT min(name) FROM image_classes)
+UNION ALL SELECT 'glob', name, disposition FROM image_classes WHERE starts_with(name, 'HOSP-') AND ends_with(name, '1.png')""",
+    "second_load": """SELECT 'first call: uploaded' AS item, count(DISTINCT minio_object_key) AS total FROM images
+UNION ALL SELECT 'second call: already there', count(DISTINCT minio_object_key) FROM images
+UNION ALL SELECT 'written', count(DISTINCT minio_object_key) FROM images UNION ALL SELECT 'attached', count(*) FROM attached
+UNION ALL SELECT 'patients', count(*) FROM patients UNION ALL SELECT 'runs', 1""",
     "exported_objects": """SELECT b || split_part(url, '/', 3) AS bucket, split_part(url, '/', 4) || '/' || CAST(page_id AS VARCHAR) || '.html'
     AS object_key, octet_length(encode(html)) AS length FROM pages, (VALUES (''), ('copy-')) t(b)""",
     "rejects_of_run": """SELECT 'admissions.csv' AS source_file, rejection_reason, count(*) AS count FROM admissions_tagged
@@ -414,6 +420,17 @@ UNION ALL SELECT 'processed in a run', (SELECT count(*) FROM patients) + (SELECT
     UNION ALL SELECT c_mktsegment, 1, 0 FROM segment_admissions_clean
     UNION ALL SELECT c_mktsegment, 0, 1 FROM segment_patients WHERE rejection_reason IS NOT NULL
     UNION ALL SELECT c_mktsegment, 0, 1 FROM segment_admissions WHERE rejection_reason IS NOT NULL) GROUP BY 1""",
+    "archived_batches": """SELECT c_mktsegment AS batch, 'patients.csv' AS file, count(*) AS count FROM segment_patients GROUP BY 1
+UNION ALL SELECT c_mktsegment, 'admissions.csv', count(*) FROM segment_admissions GROUP BY 1""",
+    "run_outcomes": """SELECT trigger_type, 'success' AS status, (SELECT count(*) FROM patients) + (SELECT count(*) FROM admissions) AS records_processed,
+  (SELECT count(*) FROM patients_tagged WHERE rejection_reason IS NOT NULL)
+  + (SELECT count(*) FROM admissions_tagged WHERE rejection_reason IS NOT NULL) AS records_rejected, NULL::VARCHAR AS error
+  FROM (VALUES ('opened before'), ('after')) AS t(trigger_type)
+UNION ALL SELECT 'broken', 'failed', 0, 0, 'MissingColumnsError'""",
+    "contract_errors": """SELECT * FROM (VALUES ('nothing there', 'FileNotFoundError'), ('without external_id', 'MissingColumnsError'),
+  ('without name', 'MissingColumnsError'), ('without birth_date', 'MissingColumnsError'), ('without gender', 'MissingColumnsError'),
+  ('without blood_type', 'MissingColumnsError'), ('limit 0', 'ValueError'), ('limit 1', 'none'), ('limit 500', 'none'),
+  ('limit 501', 'ValueError'), ('offset -1', 'ValueError')) AS t(breach, error)""",
 }
 
 

@@ -29,14 +29,14 @@ from wardlake.operators.validate import (
     validate_patients,
 )
 from wardlake.plans import serve
-from wardlake.plans.pipeline import attach_images, run_batches, run_from_files, sync_images
+from wardlake.plans.pipeline import attach_images, initial_load, run_batches, run_from_files, sync_images
 from wardlake.plans.serve import newest_runs
 from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import ADMISSIONS_FILE, ADMISSION_ORDER, IMAGES_BUCKET, PATIENTS_FILE, REASON, SOURCE_FILE
 from wardlake.sources import testdata as T
-from wardlake.sources.csv import read_admissions, read_patients, write_csv
+from wardlake.sources.csv import MissingColumnsError, read_admissions, read_patients, write_csv
 from wardlake.sources.generate import generate_admissions, generate_images, generate_patients, padded_id
-from wardlake.sources.images import export_blobs
+from wardlake.sources.images import export_blobs, read_images
 from wardlake.streaming.arrivals import process_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,32 @@ def _source_shown(df: DataFrame) -> DataFrame:
     return df.withColumn("has_source", F.col(SOURCE_FILE).rlike(r"^part-.*\.csv$")).drop(SOURCE_FILE)
 
 
+def contract_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Which error each breach of the input contract is: a path, a column that lacks, bounds of a page."""
+    root = fs.work_dir(spark, "errors")
+    rows = T.patients_raw(spark, sf)
+    for column in rows.columns:
+        write_csv(rows.drop(column), f"{root}/{column}")
+    write_csv(rows, f"{root}/whole")
+    whole = read_patients(spark, f"{root}/whole")
+    cases = {
+        "nothing there": lambda: read_patients(spark, f"{root}/none"),
+        **{f"without {c}": lambda c=c: read_patients(spark, f"{root}/{c}") for c in rows.columns},
+        **{f"limit {limit}": lambda limit=limit: page_rows(whole, ["external_id"], limit) for limit in (0, 1, 500, 501)},
+        "offset -1": lambda: page_rows(whole, ["external_id"], 1, -1),
+    }
+
+    def outcome(attempt: Callable[[], DataFrame]) -> str:
+        try:
+            attempt()
+        except (ValueError, OSError) as error:
+            return type(error).__name__
+        return "none"
+
+    lines = [F.struct(F.lit(case).alias("breach"), F.lit(outcome(attempt)).alias("error")) for case, attempt in cases.items()]
+    return whole.limit(1).select(F.inline(F.array(*lines)))
+
+
 def _rule(dirty: Query, rules: Callable[[], list[Rule]], reason: str) -> Query:
     """Rows of the dirty table that break one rule, whatever other rules they break."""
 
@@ -360,14 +386,19 @@ def image_sync(spark: SparkSession, sf: str) -> DataFrame:
     return synced.groupBy("sync_state", "attach_state").count()
 
 
-def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Real files: written, scanned as binary files, stored, attached; everything twice."""
-    root = fs.work_dir(spark, "images")
+def _write_images(spark: SparkSession, sf: str, root: str) -> str:
     files = T.image_files(spark, sf).select(
         F.lit("files").alias("bucket"), F.col("name").alias("object_key"), F.concat("content", F.encode("name", "UTF-8")).alias("content")
     )
     fs.make_dirs(spark, f"{root}/files")
     export_blobs(files, root).agg(F.sum("bytes_written")).collect()
+    return f"{root}/files"
+
+
+def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Real files: written, scanned as binary files, stored, attached; everything twice."""
+    root = fs.work_dir(spark, "images")
+    _write_images(spark, sf, root)
     store = ClinicalStore(spark, f"{root}/store")
     store.upsert_patients(_clean_patients(spark, sf))
     for _ in range(2):
@@ -378,6 +409,30 @@ def image_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return stored.join(attached, "minio_object_key", "left")
 
 
+def chosen_images(spark: SparkSession, sf: str) -> DataFrame:
+    """One file named by its path, and those of a glob."""
+    folder = _write_images(spark, sf, fs.work_dir(spark, "chosen"))
+    one = T.image_files(spark, sf).agg(F.min("name").alias("name")).head()["name"]
+    parts = [classify_images(read_images(spark, f"{folder}/{path}")).select(F.lit(how).alias("how"), "name", "disposition") for how, path in (("file", one), ("glob", "HOSP-*1.png"))]
+    return parts[0].unionByName(parts[1])
+
+
+def second_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A store brought into use twice: what each call found to upload, and what was written in all."""
+    root = fs.work_dir(spark, "second-load")
+    images, inputs = _write_images(spark, sf, root), _csv_inputs(spark, sf, root)
+    store = ClinicalStore(spark, f"{root}/store")
+    keys = lambda view: view.blobs().filter(F.col("bucket") == IMAGES_BUCKET)
+    found = []
+    for call in ("first call", "second call"):
+        before = store.pinned()
+        initial_load(store, *inputs, images, reference=REFERENCE_DAY)
+        report = sync_report(image_records(keys(store), LOADED_AT), keys(before).select("object_key"))
+        found.append(report.groupBy(F.concat_ws(": ", F.lit(call), "sync_state").alias("item")).agg(F.count(F.lit(1)).alias("total")))
+    written = M.table_totals(written=store.blob_log(), attached=store.radiographies(), patients=store.patients(), runs=store.runs())
+    return found[0].unionByName(found[1]).unionByName(written)
+
+
 def exported_objects(spark: SparkSession, sf: str) -> DataFrame:
     """Objects of many buckets written to files and read back; equal keys stay apart."""
     root = f"{fs.work_dir(spark, 'export')}/out"
@@ -530,15 +585,45 @@ def etl_rerun(spark: SparkSession, sf: str) -> DataFrame:
     ).unionByName(runs.select(F.lit("processed in a run").alias("item"), F.col("records_processed").alias("total")))
 
 
-def incremental_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """One batch directory per market segment, picked up by the stream and run on arrival."""
-    root = fs.work_dir(spark, "batches")
-    incoming = f"{root}/incoming"
+def run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """A run opened beforehand, one whose input breaks the contract, and one after it."""
+    root = fs.work_dir(spark, "outcomes")
+    store = ClinicalStore(spark, f"{root}/store")
+    patients, admissions = _csv_inputs(spark, sf, root)
+    write_csv(T.admissions_raw(spark, sf).drop("status"), f"{root}/broken")
+    run_from_files(store, patients, admissions, run_id=store.open_run("opened before"), reference=REFERENCE_DAY)
+    try:
+        run_from_files(store, patients, f"{root}/broken", "broken", reference=REFERENCE_DAY)
+    except MissingColumnsError:
+        pass  # it has reached the caller, and the run is closed as failed
+    run_from_files(store, patients, admissions, "after", reference=REFERENCE_DAY)
+    error = F.split_part("error_message", F.lit(":"), F.lit(1)).alias("error")
+    return store.runs().select("trigger_type", "status", "records_processed", "records_rejected", error)
+
+
+def _incoming(spark: SparkSession, sf: str, root: str) -> str:
+    """A batch directory per market segment, with both files."""
     for rows, name in [(T.patients_by_segment, PATIENTS_FILE), (T.admissions_by_segment, ADMISSIONS_FILE)]:
         write_csv(rows(spark, sf), f"{root}/out/{name}", ["c_mktsegment"])
         for folder in fs.names(spark, f"{root}/out/{name}"):
             if folder.startswith("c_mktsegment="):
-                fs.move(spark, f"{root}/out/{name}/{folder}", f"{incoming}/{folder.split('=', 1)[1]}/{name}")
+                fs.move(spark, f"{root}/out/{name}/{folder}", f"{root}/incoming/{folder.split('=', 1)[1]}/{name}")
+    return f"{root}/incoming"
+
+
+def archived_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the files that lie in the archive after every batch was processed."""
+    root = fs.work_dir(spark, "archive")
+    process_arrivals(spark, _incoming(spark, sf, root), f"{root}/state", lambda p, a: None, processed=f"{root}/processed")
+    steps = F.split(F.substring_index("_metadata.file_path", "/processed/", -1), "/")
+    files = [read.select(steps[0].alias("batch"), steps[1].alias("file")) for read in (spark.read.option("header", True).csv(f"{root}/processed/*/{name}") for name in (PATIENTS_FILE, ADMISSIONS_FILE))]
+    return files[0].unionByName(files[1]).groupBy("batch", "file").count()
+
+
+def incremental_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch directory per market segment, picked up by the stream and run on arrival."""
+    root = fs.work_dir(spark, "batches")
+    incoming = _incoming(spark, sf, root)
     store = ClinicalStore(spark, f"{root}/store")
     name = lambda path: path.split("/")[-2]
 
@@ -609,6 +694,8 @@ QUERIES: dict[str, Query] = {
     "image_totals": image_totals,
     "image_sync": image_sync,
     "image_ingest": image_ingest,
+    "chosen_images": chosen_images,
+    "second_load": second_load,
     "exported_objects": exported_objects,
     "rejects_of_run": rejects_of_run,
     "store_states": store_states,
@@ -627,4 +714,7 @@ QUERIES: dict[str, Query] = {
     "etl_run": etl_run,
     "etl_rerun": etl_rerun,
     "incremental_batches": incremental_batches,
+    "archived_batches": archived_batches,
+    "run_outcomes": run_outcomes,
+    "contract_errors": contract_errors,
 }
