@@ -5,7 +5,7 @@ import pytest
 from wardlake import fs
 from wardlake.plans.pipeline import run_from_files
 from wardlake.plans.store import ClinicalStore
-from wardlake.streaming.arrivals import check_incoming, process_arrivals
+from wardlake.streaming.arrivals import TurnLostError, _Turn, check_incoming, process_arrivals
 
 
 @pytest.fixture
@@ -99,3 +99,62 @@ def test_batches_run_the_pipeline(spark, incoming, inputs, tmp_path):
     assert store.patients().count() == 2 and store.admissions().count() == 3
     assert {(r["trigger_type"], r["status"], r["records_processed"]) for r in store.runs().collect()} == {("watcher", "success", 6)}
     assert fs.names(spark, f"{tmp_path}/state/finished") == ["b1", "b2"]
+
+
+def test_two_callers_process_a_batch_once(spark, incoming, inputs, tmp_path):
+    calls, inner = [], []
+    put(incoming, inputs, "b1", "patients.csv", "admissions.csv")
+
+    def on_ready(patients, admissions):
+        calls.append(patients)
+        # a second scheduler wakes up while the first one works
+        inner.append(process_arrivals(spark, str(incoming), str(tmp_path / "state"), on_ready))
+
+    assert process_arrivals(spark, str(incoming), str(tmp_path / "state"), on_ready) == ["b1"]
+    assert len(calls) == 1 and inner == [[]]
+    assert process_arrivals(spark, str(incoming), str(tmp_path / "state"), on_ready) == [] and len(calls) == 1
+
+
+def test_a_lost_turn_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "turn")
+    lost, other, late = (_Turn(spark, path, seconds) for seconds in (100.0, 0.0, 100.0))
+    assert lost.take() and not _Turn(spark, path, 100.0).take()
+    assert other.take() and not late.take()
+    with pytest.raises(TurnLostError):
+        lost.renew()
+    lost.end()
+    assert other.mine()
+    other.renew()
+    other.end()
+    assert late.take()
+
+
+def test_batches_are_handed_over_together(spark, incoming, inputs, tmp_path):
+    for batch in ("b1", "b2", "b3"):
+        put(incoming, inputs, batch, "patients.csv", "admissions.csv")
+    together, alone = [], []
+
+    def on_all(pairs):
+        together.append([p.split("/")[-2] for p, _ in pairs])
+        return [p.split("/")[-2] != "b2" for p, _ in pairs]
+
+    def trigger():
+        return process_arrivals(spark, str(incoming), str(tmp_path / "state"), lambda p, a: alone.append(p.split("/")[-2]), on_all=on_all)
+
+    assert trigger() == ["b1", "b3"] and together == [["b1", "b2", "b3"]]
+    # the one that failed is alone now
+    assert trigger() == ["b2"] and alone == ["b2"] and len(together) == 1
+    assert fs.names(spark, f"{tmp_path}/state/open") == []
+
+
+def test_a_batch_finished_before_its_driver_was_lost(spark, incoming, inputs, tmp_path):
+    put(incoming, inputs, "b1", "patients.csv", "admissions.csv")
+    state = tmp_path / "state"
+
+    def fail(*paths):
+        raise RuntimeError("not yet")
+
+    assert process_arrivals(spark, str(incoming), str(state), fail) == []
+    fs.create_text(spark, f"{state}/finished/b1", "")
+    assert process_arrivals(spark, str(incoming), str(state), fail, str(tmp_path / "processed")) == []
+    assert (tmp_path / "processed" / "b1").exists() and fs.names(spark, f"{state}/open") == []

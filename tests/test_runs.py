@@ -4,7 +4,7 @@ import pytest
 
 from wardlake import fs
 from wardlake.plans import serve
-from wardlake.plans.pipeline import initial_load, run_from_files
+from wardlake.plans.pipeline import initial_load, run_batches, run_from_files
 from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import ADMISSION_COLUMNS, PATIENT_COLUMNS, PNG_SIGNATURE
 
@@ -118,3 +118,43 @@ def test_initial_load(spark, store, inputs, tmp_path):
     assert keys == {"HOSP-000001/HOSP-000001_a.png", "HOSP-000001/HOSP-000001_b.PNG", "HOSP-000009/HOSP-000009_a.png"}
     with pytest.raises(FileNotFoundError):
         initial_load(store, *inputs, str(tmp_path / "no-images"))
+
+
+@pytest.fixture
+def three_pairs(write_text, inputs):
+    """The fixture's pair; one with a patient of it, a new one, a reject and an orphan; one without valid patients."""
+    second = (
+        write_text("two/patients.csv", PATIENT_COLUMNS, "HOSP-000001,Nuria Vidal Mas,1971-11-04,F,A-", "HOSP-000007,Pau,1980-01-01,M,O+", "BAD,Pau,1980-01-01,M,O+"),
+        write_text("two/admissions.csv", ADMISSION_COLUMNS, "HOSP-000001,2025-01-01,,UCI,R05,Cough,admitted", "HOSP-000002,2025-01-01,,UCI,R05,Cough,admitted"),
+    )
+    third = (write_text("three/patients.csv", PATIENT_COLUMNS, "HOSP-000001,,1971-11-04,F,A-"), second[1])
+    return [inputs, second, third]
+
+
+def rows_of(store):
+    stamps = ["created_at", "updated_at", "admissions_load", "admissions_at"]
+    people = sorted(map(str, store.patients().drop(*stamps).collect()))
+    stays = sorted(map(str, store.admissions().collect()))
+    runs = sorted((r["trigger_type"], r["status"], r["records_processed"], r["records_rejected"]) for r in store.runs().collect())
+    rejects = sorted((r["source_file"], r["rejection_reason"], str(sorted(r["raw_data"].items(), key=str))) for r in store.rejected().collect())
+    return people, stays, runs, rejects
+
+
+def test_pairs_together_end_as_one_after_another(spark, store, three_pairs, tmp_path):
+    names = ["one", "two", "three"]
+    results = run_batches(store, three_pairs, names, reference=DAY)
+    assert [(r.status, r.records_processed, r.records_rejected) for r in results] == [("success", 6, 3), ("success", 4, 1), ("success", 2, 1)]
+    alone = ClinicalStore(spark, str(tmp_path / "alone"))
+    for pair, name in zip(three_pairs, names):
+        run_from_files(alone, *pair, trigger_type=name, reference=DAY)
+    assert rows_of(store) == rows_of(alone)
+    assert store.patients().filter("external_id = 'HOSP-000001'").head()["name"] == "Nuria Vidal Mas"
+    assert fs.names(spark, f"{store.root}/_landing") == []
+
+
+def test_a_broken_pair_does_not_hold_up_the_others(spark, store, three_pairs, tmp_path):
+    broken = (str(tmp_path / "none.csv"), three_pairs[1][1])
+    results = run_batches(store, [three_pairs[0], broken, three_pairs[1]], ["one", "none", "two"], reference=DAY)
+    assert [r.status for r in results] == ["success", "failed", "success"]
+    assert [(r["trigger_type"], r["status"]) for r in sorted(store.runs().collect(), key=lambda r: r["trigger_type"])] == [("none", "failed"), ("one", "success"), ("two", "success")]
+    assert store.patients().count() == 3 and store.rejected().count() == 4
