@@ -23,6 +23,7 @@ EAGER = {
     "run_outcomes",
     "second_load",
     "served_pages",
+    "stored_counts",
 }
 
 

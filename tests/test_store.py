@@ -72,6 +72,8 @@ def test_admissions_are_replaced_and_orphans_stay_out(spark, store):
     store.load_batch(both.filter("name = 'Nuria'"), admissions(spark, ("HOSP-000001", "2026-01-01", "UCI"), ("HOSP-000002", "2026-01-01", "UCI")))
     got = sorted((r[0], r[1]) for r in store.admissions().collect())
     assert got == [("HOSP-000001", "2026-01-01"), ("HOSP-000002", "2024-08-14")]
+    # the first load is named by nobody any more
+    assert len(store._state()["admissions"]) == 2
     # a patient loaded without admissions has an empty array
     store.load_batch(both.filter("name = 'Bob'"), admissions(spark))
     docs = {d["external_id"]: d for d in store.documents().collect()}
@@ -114,8 +116,9 @@ def test_a_merge_rewrites_the_prefixes_it_touches(spark, store):
     assert prefixes_written(store) == ["prefix=99"]
     store.load_batch(few.limit(1), admissions(spark, ("HOSP-000001", "2025-01-01", "UCI")))
     assert prefixes_written(store) == ["prefix=00"]
-    with pytest.raises(ValueError):
-        store.upsert_patients(few.withColumn("prefix", F.lit("x")))
+    for own in ("prefix", "load", "n_admissions", "admissions_at"):
+        with pytest.raises(ValueError):
+            store.upsert_patients(few.withColumn(own, F.lit(1)))
     for offset in (0, 17, 498, 508, 600):
         ids = [r["external_id"] for r in serve.patients_page(store, 5, offset).items.collect()]
         assert ids == sorted(r["external_id"] for r in store.patients().collect())[offset : offset + 5]
@@ -360,3 +363,45 @@ def test_a_batch_may_bring_fields_of_its_own(spark, store):
     assert {d["external_id"]: d["ward"] for d in store.documents().collect()} == {"HOSP-000001": None, "HOSP-000002": "north", "HOSP-000003": "south"}
     store.compact()
     assert store.patients().filter("ward = 'south'").count() == 1
+
+
+def test_kept_counts_equal_a_count_of_all_rows(spark, store):
+    from wardlake.operators import metrics
+    from wardlake.operators.clean import enrich_admissions
+
+    def batch(k):
+        people = patients(spark, *[(f"HOSP-{i % 3:02d}{i:04d}", "n", i) for i in range(3 * k, 3 * k + 12)])
+        rows = [(f"HOSP-{i % 3:02d}{i:04d}", f"20{20 + (i + k) % 5}-0{1 + d}-01", "UCI" if (i + d + k) % 3 else "Urgencias") for i in range(3 * k, 3 * k + 15) for d in range((i + k) % 4)]
+        stays = admissions(spark, *rows).withColumns({"diagnosis_code": F.when(F.col("department") == "UCI", "U07.1")})
+        return people, enrich_admissions(stays)
+
+    def same():
+        now = store.admissions()
+        counted = {"department": metrics.admissions_by_department(now), "month": metrics.admissions_by_month(now), "category": metrics.admissions_by_diagnosis_category(now)}
+        for kind, expected in counted.items():
+            assert sorted(map(tuple, store.summary(kind).collect())) == sorted(map(tuple, expected.collect())), kind
+
+    same()
+    for k in range(5):
+        store.load_batch(*batch(k))
+        same()
+    store.upsert_patients(patients(spark, ("HOSP-000000", "other", 1)))
+    store.load_batch(*batch(0))
+    store.compact()
+    same()
+
+
+def test_a_lookup_opens_the_files_that_may_hold_the_id(spark, store, monkeypatch):
+    from wardlake.operators import ordinals
+
+    monkeypatch.setattr(ordinals, "MAX_FILE_ROWS", 20)
+    people = patients(spark, *[(f"HOSP-{i:06d}", "n", i) for i in range(40)])
+    rows = [(f"HOSP-{i:06d}", f"2025-01-{d + 1:02d}", "UCI") for i in range(40) for d in range(25 if i == 7 else 5)]
+    store.load_batch(people, admissions(spark, *rows))
+    for i, most in ((0, 1), (7, 4), (13, 2), (39, 2), (77, 1)):
+        found = store.admissions([f"HOSP-{i:06d}"])
+        assert [r["patient_external_id"] for r in found.collect()] == [r[0] for r in rows if r[0] == f"HOSP-{i:06d}"]
+        assert len([f for f in found.inputFiles() if "/admissions/" in f]) <= most
+    assert len(store.all_ordinals("admissions")[0].files) > 8
+    both = store.admissions(["HOSP-000002", "HOSP-000039"]).count()
+    assert both == 10

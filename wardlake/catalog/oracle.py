@@ -212,6 +212,8 @@ SUBQUERIES = {
   b.birth_date, b.gender, b.blood_type
   FROM stored_patients s FULL JOIN batch b ON s.external_id = b.external_id""",
     "attached_before": "SELECT * FROM images WHERE patient_external_id IN (SELECT external_id FROM stored_patients)",
+    "replaced": """SELECT * FROM visible WHERE patient_external_id NOT IN (SELECT external_id FROM batch)
+UNION ALL SELECT * FROM admissions WHERE status = 'admitted' AND patient_external_id IN (SELECT external_id FROM batch)""",
     "page_objects": """SELECT split_part(url, '/', 3) AS bucket,
   split_part(url, '/', 4) || '/' || CAST(page_id AS VARCHAR) || '.html' AS object_key, html FROM pages""",
     "objects_now": """SELECT bucket, object_key, CASE WHEN starts_with(object_key, 'fr/') THEN 'bonjour' ELSE html END AS body,
@@ -329,8 +331,10 @@ UNION ALL SELECT 'radiographies', (SELECT count(*) FROM attached),
     "merge_idempotent": "SELECT * FROM merged",
     "merge_stats": """SELECT count(*) FILTER (WHERE external_id NOT IN (SELECT external_id FROM stored_patients)) AS upserted,
   count(*) FILTER (WHERE external_id IN (SELECT external_id FROM stored_patients)) AS modified FROM batch""",
-    "replace_admissions": """SELECT * FROM visible WHERE patient_external_id NOT IN (SELECT external_id FROM batch)
-UNION ALL SELECT * FROM admissions WHERE status = 'admitted' AND patient_external_id IN (SELECT external_id FROM batch)""",
+    "replace_admissions": "SELECT * FROM replaced",
+    "stored_counts": """SELECT 'department' AS kind, department AS key, count(*) AS count FROM replaced GROUP BY 2
+UNION ALL SELECT 'month', strftime(TRY_CAST(admission_date AS DATE), '%Y-%m'), count(*) FROM replaced GROUP BY 2
+UNION ALL SELECT 'category', diagnosis_category, count(*) FROM replaced GROUP BY 2""",
     "attach_radiographies": """SELECT 'stored' AS state, patient_external_id, minio_object_key, file_size_bytes
   FROM attached_before
 UNION ALL SELECT DISTINCT 'new', patient_external_id, minio_object_key, file_size_bytes FROM visible_images

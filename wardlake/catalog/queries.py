@@ -359,6 +359,17 @@ def replace_admissions_query(spark: SparkSession, sf: str) -> DataFrame:
     return replace_admissions(stored, batch, incoming)
 
 
+def stored_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The three summary counts as the store keeps them, after a batch has replaced admissions."""
+    store = ClinicalStore(spark, fs.work_dir(spark, "counts"))
+    admissions = _clean_admissions(spark, sf)
+    store.load_batch(_clean_patients(spark, sf), admissions, cleaned=True)
+    batch = enrich_patients(clean_patients(validate_patients(T.batch_patients(spark, sf)).valid), REFERENCE_DAY)
+    store.load_batch(batch, admissions.filter("status = 'admitted'"), cleaned=True)
+    kinds = [store.summary(kind).select(F.lit(kind).alias("kind"), "key", "count") for kind in ("department", "month", "category")]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
 def attach_radiographies(spark: SparkSession, sf: str) -> DataFrame:
     """Some images are attached already, and the batch brings every image twice."""
     images = _images(spark, sf)
@@ -689,6 +700,7 @@ QUERIES: dict[str, Query] = {
     "merge_stats": merge_stats_query,
     "merge_idempotent": merge_idempotent,
     "replace_admissions": replace_admissions_query,
+    "stored_counts": stored_counts,
     "attach_radiographies": attach_radiographies,
     "image_dispositions": image_dispositions,
     "image_totals": image_totals,

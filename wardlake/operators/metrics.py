@@ -27,6 +27,18 @@ def admissions_by_diagnosis_category(df: DataFrame) -> DataFrame:
     return _counts(enriched, "diagnosis_category")
 
 
+def partial_counts(admissions: DataFrame) -> DataFrame:
+    """All three summary counts of some enriched rows as (kind, key, n): they add up over any split of the rows."""
+    keys = {"department": F.col("department"), "month": month_of(F.col("admission_date")), "category": F.col("diagnosis_category")}
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in keys.items()])
+    return admissions.select(F.inline(pairs)).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def combined_counts(partial: DataFrame) -> DataFrame:
+    """Partial counts added up; a count taken off is negative, and what is left at zero is no group."""
+    return partial.groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter("count > 1")
 

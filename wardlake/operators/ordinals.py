@@ -78,6 +78,13 @@ class Ordinals:
             k += 1
         return out
 
+    def files_between(self, low: list, high: list) -> list[str]:
+        """Paths of the files that may hold keys from ``low`` up to ``high``, both given by their leading values."""
+        begin = end = max(0, bisect_right(self.firsts, _sortable(low)) - 1)
+        while end < len(self.files) and self.firsts[end][: len(high)] <= _sortable(high):
+            end += 1
+        return [self.path(k) for k in range(begin, end)]
+
     def rows_before(self, key: tuple) -> tuple[int, int, int]:
         """(file, least, most): where a key would be, and how many rows are smaller at least and at most."""
         k = bisect_right(self.firsts, key) - 1

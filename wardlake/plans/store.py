@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 from wardlake import fs
 from wardlake import schemas as S
 from wardlake.operators import blobs as B
+from wardlake.operators import metrics as M
 from wardlake.operators.clean import deduplicate
 from wardlake.operators import ordinals as O
-from wardlake.operators.links import bounded_ids
+from wardlake.operators.links import bounded_ids, with_patient
 from wardlake.operators.merge import merge_counts, merge_upsert, new_radiographies
 from wardlake.operators.nest import patient_documents
 from wardlake.operators.runs import run_states
@@ -100,7 +101,7 @@ class ClinicalStore:
             return self._pinned
         commits = [n for n in fs.names(self.spark, f"{self.root}/_commits") if n.endswith(".json")]
         if not commits:
-            return {"version": 0, "patients": {}, "admissions": [], "radiographies": [], "blobs": []}
+            return {"version": 0, "patients": {}, "admissions": [], "radiographies": [], "blobs": [], "summaries": []}
         return json.loads(fs.read_text(self.spark, f"{self.root}/_commits/{commits[-1]}"))
 
     def _commit(self, state: dict) -> None:
@@ -167,14 +168,37 @@ class ClinicalStore:
     def admissions(self, ids: list[str] | None = None) -> DataFrame:
         """Admissions of stored patients, each patient's from its own latest load.
 
-        Given ids reach the scan, where files and row groups of other patients are skipped.
+        Of given ids only the files that may hold them are opened, and the ids reach their scan.
         """
         state = self._state()
-        rows = _of_patients(self._loads("admissions", state["admissions"], S.ADMISSIONS), ids)
-        owners = bounded_ids(self.patients(ids), "admissions_load")
+        if ids is None:
+            rows = self._loads("admissions", state["admissions"], S.ADMISSIONS)
+        else:
+            rows = self._admissions_between(state, [(i, i) for i in ids]).filter(F.col("patient_external_id").isin(ids))
+        return self._of_owners(rows, self.patients(ids))
+
+    @staticmethod
+    def _of_owners(rows: DataFrame, patients: DataFrame) -> DataFrame:
+        """Rows of the load that their patient names."""
+        owners = bounded_ids(patients, "admissions_load")
         same = (rows["patient_external_id"] == owners["external_id"]) & (rows["load"] == owners["admissions_load"])
         return rows.join(owners, same, "left_semi").drop("load")
 
+    def _admissions_between(self, state: dict, ranges: list[tuple[str, str]]) -> DataFrame:
+        """Rows of the files that may hold ids of some ranges, whatever else these hold."""
+        paths = [p for load in state["admissions"] for o in [self.ordinals("admissions", load)] for low, high in ranges for p in o.files_between([low], [high])]
+        full = T.StructType([*S.ADMISSIONS.fields, LOAD])
+        if not paths:
+            return self._empty(full)
+        reader = self.spark.read.schema(full).option("basePath", f"{self.root}/admissions")
+        return reader.parquet(*dict.fromkeys(paths))
+
+    def summary(self, kind: str) -> DataFrame:
+        """Admissions per department, month or category as (key, count), from the counts kept at each load."""
+        schema = T.StructType.fromDDL("kind string, key string, n long")
+        partial = self._loads("_summaries", self._state()["summaries"], schema).filter(F.col("kind") == kind)
+        return M.combined_counts(partial).select("key", F.col("n").alias("count"))
+
     def radiographies(self, ids: list[str] | None = None) -> DataFrame:
         rows = self._loads("radiographies", self._state()["radiographies"], S.RADIOGRAPHIES)
         return _of_patients(rows, ids).drop("load")
@@ -212,12 +236,11 @@ class ClinicalStore:
         return self._merge(patients if cleaned else deduplicate(patients, S.PATIENT_KEY), admissions)
 
     def _merge(self, batch: DataFrame, admissions: DataFrame | None) -> dict[str, int]:
-        batch = batch.drop(*S.STORE_COLUMNS)
         now = utc_now()
         state = self._next()
         known = {f.name: f.dataType for f in self._patient_schema(state)}
         own = {f.name: f.dataType.simpleString() for f in batch.schema if f.name not in known}
-        taken = {LOAD.name, PREFIX.name} & set(own)
+        taken = {LOAD.name, PREFIX.name, *S.STORE_COLUMNS} & set(batch.columns)
         if taken:
             raise ValueError(f"the store itself uses the columns {sorted(taken)}")
         # a field that came earlier keeps its type
@@ -242,14 +265,30 @@ class ClinicalStore:
                         "n_admissions": F.coalesce("n_admissions", F.lit(0).cast("long")),
                     }
                 )
-                state["admissions"] = [*state["admissions"], load]
-            merged = merge_upsert(self._patients(state, prefixes), staged, "external_id", now)
+            before = self._patients(state, prefixes)
+            if admissions is not None:
+                self._keep_summary(before, staged.select("external_id"), prefixes, load, state)
+            merged = merge_upsert(before, staged, "external_id", now)
             stats = self._rewrite(merged, load, state, now)
+            if admissions is not None:
+                # loads that no patient names any more are left behind
+                named = {n for of in state["patients"].values() for n in of["loads"]}
+                state["admissions"] = [n for n in [*state["admissions"], load] if n in named]
         finally:
             fs.remove(self.spark, staged_at)
         self._commit(state)
         return stats
 
+    def _keep_summary(self, before: DataFrame, batch: DataFrame, prefixes: set[str], load: int, state: dict) -> None:
+        """Counts of a load's visible admissions, less those its patients had: a few lines next to the load."""
+        added = with_patient(self._loads("admissions", [load], S.ADMISSIONS), batch)
+        replaced = before.join(F.broadcast(batch), "external_id", "left_semi").filter("n_admissions > 0")
+        ranges = [(f"HOSP-{p}0000", f"HOSP-{p}9999\uffff") for p in sorted(prefixes)]
+        gone = self._of_owners(self._admissions_between(state, ranges), replaced)
+        lines = M.partial_counts(added).unionByName(M.partial_counts(gone).withColumn("n", -F.col("n")))
+        M.combined_counts(lines).coalesce(1).write.parquet(self._dir("_summaries", load))
+        state["summaries"] = [*state["summaries"], load]
+
     @staticmethod
     def _prefixes_of(rows: DataFrame) -> set[str]:
         """The id prefixes that rows touch, at most a hundred; refuses what is no patient id."""
@@ -270,9 +309,9 @@ class ClinicalStore:
         rows.write.mode("overwrite").partitionBy("prefix").parquet(self._dir("patients", load))
         full = T.StructType([*self._patient_schema(state).fields, PREFIX])
         written = self.spark.read.schema(full).parquet(self._dir("patients", load))
-        held = {"n": F.count(F.lit(1)), **{c: F.coalesce(F.sum(c), F.lit(0)) for c in SUMS[1:]}}
+        held = {"n": F.count(F.lit(1)), **{c: F.coalesce(F.sum(c), F.lit(0)) for c in SUMS[1:]}, "loads": F.collect_set("admissions_load")}
         counts = written.groupBy("prefix").agg(*merge_counts(now), *[c.alias(n) for n, c in held.items()]).collect()
-        state["patients"] = {**state["patients"], **{r["prefix"]: {"load": load, **{c: r[c] for c in SUMS}} for r in counts}}
+        state["patients"] = {**state["patients"], **{r["prefix"]: {"load": load, "loads": sorted(r["loads"]), **{c: r[c] for c in SUMS}} for r in counts}}
         return {c: sum(r[c] for r in counts) for c in ("upserted", "modified")}
 
     def _admission_sizes(self, load: int) -> DataFrame:
@@ -317,7 +356,8 @@ class ClinicalStore:
             self._rewrite(owners.withColumn("admissions_load", owner_load), load, state, utc_now())
         self._write_sorted("radiographies", self.radiographies(), S.RADIOGRAPHY_ORDER, load)
         self.blob_contents().drop("load").write.mode("overwrite").options(**BLOB_OPTIONS).parquet(self._dir("blobs", load))
-        state.update(admissions=[load], radiographies=[load], blobs=[load])
+        M.partial_counts(self.admissions()).coalesce(1).write.parquet(self._dir("_summaries", load))
+        state.update(admissions=[load], radiographies=[load], blobs=[load], summaries=[load])
         self._commit(state)
 
     # ---- radiographies ----
