@@ -96,17 +96,28 @@ def test_pairs_in_the_crowd_of_one_template(frame):
     check(frame(*rows), rows)
 
 
-@pytest.mark.parametrize("block", [2048, 20])
-def test_large_groups_meet_in_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, grams", [(2048, 1 << 20), (20, 1 << 20), (2048, 3000)])
+def test_large_groups_meet_in_blocks(spark, frame, monkeypatch, block, grams):
+    """One group of 90 in several classes: links join what is similar, and fewer than there are pairs."""
     monkeypatch.setattr(near_dedup, "BLOCK", block)
-    minima = bytes(2 * near_dedup.SKETCHES)
-    marks = spark.createDataFrame([(i, 100, minima) for i in range(90)], "row long, size long, minima binary")
-    sketches = spark.createDataFrame([(i, 1) for i in range(90)], "row long, band long")
-    roots = spark.createDataFrame([(i, i % 2) for i in range(60)], "node long, root long")
-    scratch = Scratch(spark, "uncompared")
-    found = near_dedup._uncompared(sketches, sketches.select("band").distinct(), marks, roots, scratch)
-    label = lambda i: i % 2 if i < 60 else i
-    assert sorted((r.member, r.leader) for r in found.collect()) == sorted((i, j) for i in range(90) for j in range(i) if label(i) != label(j))
+    monkeypatch.setattr(near_dedup, "BLOCK_GRAMS", grams)
+    rng = random.Random(3)
+    cores = [[f"w{k}x{i}" for i in range(150)] for k in range(6)]
+    rows = [(i, " ".join([*cores[i % 6], *(f"own{rng.randrange(10**6)}" for _ in range(5))])) for i in range(90)]
+    scratch = Scratch(spark, "blocks")
+    marks = scratch.keep(near_dedup._marks(frame(*rows)), "marks")
+    place = {r.row: r.place for r in marks.collect()}
+    row = {p: r for r, p in place.items()}
+    sketches = spark.createDataFrame([(r, 1) for r in place], "row long, band long")
+    # two classes are known already, and half of the others are joined to nobody
+    roots = spark.createDataFrame([(row[i], row[i % 6]) for i in range(60) if i % 6 < 2], "node long, root long")
+    links = near_dedup._joined_blocks(sketches, sketches.select("band").distinct(), marks, frame(*rows), roots, scratch)
+    found = [(place[r.a], place[r.b]) for r in links.collect()]
+    assert all(a % 6 == b % 6 for a, b in found) and len(found) < (90 if block == 2048 and grams > 3000 else 90 * 25)
+    edges = roots.selectExpr("node AS a", "root AS b").union(links)
+    joined = {place[r.node]: place[r.root] % 6 for r in components(edges, scratch, "all").collect()}
+    assert joined == {i: i % 6 for i in range(90)}
+    assert len({r.root for r in components(edges, scratch, "again").collect()}) == 6
 
 
 def test_short_texts_against_all_pairs(frame):

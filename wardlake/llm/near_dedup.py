@@ -33,8 +33,8 @@ SHORT, FEW = 80, 3
 SHARED_MINIMA = 15
 #: Representatives drawn per sketch, with whom all members are compared first.
 LEADERS = 6
-#: Members of a group that are estimated against as many others in one task.
-BLOCK = 2048
+#: Members, and k-mers of them, that are compared with as many others in one task.
+BLOCK, BLOCK_GRAMS = 2048, 1 << 20
 #: Members verified against one copy of a representative's text.
 MEMBERS_TOGETHER = 512
 _LONG_DOCUMENT = 1 << 16
@@ -176,46 +176,65 @@ def _estimated(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "member long, leader long, shared int")
 
 
-def _uncompared(sketches: DataFrame, large: DataFrame, marks: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """Estimated pairs of different classes from the groups in which not every pair had a representative.
+def _joined_blocks(sketches: DataFrame, large: DataFrame, marks: DataFrame, documents: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Links that join classes, from the groups in which not every pair had a representative; None without such groups.
 
-    A group whose members are one class by now has none. The others are dealt into blocks, and every
-    block meets every block of its group, so that a task holds two blocks however large the group is.
+    A group whose members are one class by now has none. The others are dealt into blocks, bounded by
+    members and by k-mers, and every block meets every block of its group, so that a task holds two
+    blocks however large the group is. It estimates every pair of different classes, verifies on the
+    texts those that are still apart, and keeps the links that joined two classes: fewer than it has
+    members, and no connection is lost.
     """
     classed = sketches.join(large, "band").join(roots.select(F.col("node").alias("row"), "root"), "row", "left")
     classed = scratch.keep(classed.select("band", "row", F.coalesce("root", "row").alias("class")), "classed")
-    parted = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-    parted = scratch.keep(parted.filter("low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "parted")
-    members = classed.join(parted, "band").withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
-    members = members.join(marks.select("row", "size", "minima"), "row")
+    parted = classed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("band")
+    sized = classed.join(parted, "band").join(marks.select("row", "size", "minima"), "row")
+    members = scratch.keep(sized, "block-members")
+    if members.isEmpty():
+        scratch.drop("classed", "block-members")
+        return None
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS)).cast("int")
+    members = members.join(members.groupBy("band").agg(blocks.alias("blocks")), "band").withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
+    texts = scratch.keep(_texts(members.select("row").distinct(), marks, documents), "block-texts")
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "row", "class", "size", "minima")
+    dealt = dealt.join(texts.hint("merge"), "row")
 
     def run(group: pa.Table) -> pa.Table:
+        # a document row that is given twice comes twice
+        once = np.unique(group.column("row").to_numpy(), return_index=True)[1]
+        group = group.take(pa.array(once))
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         block, row, root, size = (group.column(c).to_numpy() for c in ("block", "row", "class", "size"))
         minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint16).reshape(-1, SKETCHES)
+        shingles = [s for _, texts in chunks(iter(group.select(["text"]).to_batches())) for s in _shingles(texts)]
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = [np.zeros((0, 3), np.int64)]
+        members, leaders = [], []
         for k, x in enumerate(one.tolist()):
             y = two[k + 1 :] if i == j else two
             least, most = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
             y = y[(root[y] != root[x]) & (least >= SIMILARITY * most)]
             shared = (minima[y] == minima[x]).sum(1)
-            y, shared = y[shared >= SHARED_MINIMA], shared[shared >= SHARED_MINIMA]
-            found.append(np.stack([np.maximum(row[y], row[x]), np.minimum(row[y], row[x]), shared], axis=1))
-        out = np.concatenate(found)
-        return pa.table([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 2].astype(np.int32))], ["member", "leader", "shared"])
-
-    found = dealt.groupBy("band", "i", "j").applyInArrow(run, "member long, leader long, shared int")
-    out = scratch.keep(found.distinct(), "uncompared")
-    scratch.drop("classed", "parted")
+            likely = np.argsort(-shared, kind="stable")
+            for z in y[likely][shared[likely] >= SHARED_MINIMA].tolist():
+                if root[z] != root[x] and similar(shingles[x], shingles[z]):
+                    root = np.where(root == root[z], root[x], root)
+                    members.append(max(int(row[x]), int(row[z])))
+                    leaders.append(min(int(row[x]), int(row[z])))
+        return pa.table([pa.array(members, pa.int64()), pa.array(leaders, pa.int64())], ["a", "b"])
+
+    out = scratch.keep(dealt.groupBy("band", "i", "j").applyInArrow(run, "a long, b long"), "block-links")
+    scratch.drop("classed", "block-members", "block-texts")
     return out
 
 
-def _texts(pairs: DataFrame, marks: DataFrame, documents: DataFrame) -> DataFrame:
-    """``row, text`` of the documents in some pair: the one time that texts are shuffled whole."""
-    rows = pairs.select(F.col("member").alias("row")).union(pairs.select("leader")).distinct()
+def _paired(pairs: DataFrame) -> DataFrame:
+    """The rows of some pair."""
+    return pairs.select(F.col("member").alias("row")).union(pairs.select("leader")).distinct()
+
+
+def _texts(rows: DataFrame, marks: DataFrame, documents: DataFrame) -> DataFrame:
+    """``row, text`` of the given rows: the one time that their texts are shuffled whole."""
     wanted = rows.join(marks.select("row", "place", "key"), "row").groupBy("place", "key").agg(F.collect_list("row").alias("rows"))
     found = _keyed(documents).join(wanted.hint("merge"), ["place", "key"])
     return found.select(F.explode("rows").alias("row"), "text")
@@ -294,23 +313,18 @@ def classes(documents: DataFrame) -> DataFrame:
 
     # every member with its likeliest representative first, then only what could still join classes
     best = pairs.groupBy("member").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
-    texts = scratch.keep(_texts(pairs, alone, documents), "texts")
+    texts = scratch.keep(_texts(_paired(pairs), alone, documents), "texts")
     links = _verified(best.select("member", "leader"), texts, scratch, "first")
     roots = scratch.keep(components(links, scratch, "first-roots"), "roots")
     rest = _apart(pairs.join(best, ["member", "leader"], "left_anti"), roots)
     roots = _joined(scratch.keep(rest, "rest"), roots, texts, scratch, "second")
 
     large = leaders.filter(F.col("n") > F.size("leaders") + 1).select("band")
-    others = _uncompared(sketches, large, alone, roots, scratch).join(pairs, ["member", "leader"], "left_anti")
-    others = scratch.keep(others, "others")
-    scratch.drop("leaders", "uncompared")
-    if not others.isEmpty():
-        # as above: a likely pair of every member first
-        best = scratch.keep(others.groupBy("member").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader")), "likely")
-        texts = scratch.keep(_texts(others, alone, documents), "other-texts")
-        roots = _joined(best, roots, texts, scratch, "third")
-        rest = _apart(others.join(best, ["member", "leader"], "left_anti"), roots)
-        roots = _joined(scratch.keep(rest, "other-rest"), roots, texts, scratch, "fourth")
+    links = _joined_blocks(sketches, large, alone, documents, roots, scratch)
+    scratch.drop("leaders")
+    if links is not None:
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+        roots = scratch.keep(components(edges, scratch, "third-edges"), "third-classes")
 
     joined = known.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     joined = scratch.keep(joined.select("row", "place", "key", F.coalesce("root", "rep").alias("root")), "rooted")
@@ -319,8 +333,8 @@ def classes(documents: DataFrame) -> DataFrame:
     out = joined.join(first, "root", "left")
     out = out.select("place", "key", F.coalesce("fp", "place").alias("class_place"), F.coalesce("fk", "key").alias("class_key"), F.coalesce(F.col("fr") == F.col("row"), F.lit(True)).alias("kept"))
     out = scratch.keep(out, "classes")
-    scratch.drop("known", "alone", "candidates", "texts", "roots", "rest", "others", "likely", "other-texts", "other-rest", "rooted", "class-firsts")
-    scratch.drop(*(f"{turn}-{table}" for turn in ("first", "second", "third", "fourth") for table in ("links", "classes")))
+    scratch.drop("known", "alone", "candidates", "texts", "roots", "rest", "rooted", "class-firsts")
+    scratch.drop("first-links", "second-links", "second-classes", "block-links", "third-classes")
     return out
 
 
