@@ -38,6 +38,11 @@ def test_odd_rows(odd):
     check(rows, pieces, 64, 2)
 
 
+def test_special_tokens_in_texts(frame):
+    rows = [(1, "one <|endoftext|> two"), (2, "<|startoftext|><|endoftext|>"), (3, "x<|ENDOFTEXT|>")]
+    check(rows, packing.pack(frame(*rows), WORD_BPE, 2, length=8).collect(), 8, 2)
+
+
 def test_corpus_and_whole_sequences(corpus):
     packed = packing.pack(corpus, WORD_BPE, 2)
     pieces = packed.collect()

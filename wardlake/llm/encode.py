@@ -26,6 +26,7 @@ class WordEncoder:
     words in order. Words repeat, and each is given to the library once per worker. Where the
     tokenizer itself lowers letters, sets a mark at a word's end apart, or passes plain letters on
     unchanged (all tried when it is loaded), that is done beforehand, so that fewer words differ.
+    The tokenizer's special tokens are looked for in the text as it stands, as the library does.
     """
 
     def __init__(self, path: str):
@@ -33,10 +34,16 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4") if wide else np.dtype("<u2")
-        self.known: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for _, t in added):
+            raise ValueError("special tokens that depend on their surroundings are not supported")
+        #: Ids of special tokens, under a name that no word has: it begins with a blank.
+        self.special = {b" " + t.content.encode(): np.array([i], self.kind).tobytes() for i, t in added}
+        cuts = sorted((re.escape(name[1:]) for name in self.special), key=len, reverse=True)
+        self.cut = re.compile(b"(" + b"|".join(cuts) + b")") if cuts else None
+        self.known: dict[bytes, bytes] = dict(self.special)
         self.older: dict[bytes, bytes] = {}
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         border = ids(BORDER)
@@ -53,9 +60,18 @@ class WordEncoder:
         self.plain = all(ids(w) == self.direct(w) for w in samples)
 
     def _words(self, text: bytes) -> list[bytes]:
+        """Words of a text, and the names of the special tokens between them."""
+        if self.cut is None or not self.cut.search(text):
+            return self._plain_words(text)
+        parts = self.cut.split(text)  # every second one is a special token
+        return [w for k, part in enumerate(parts) for w in ([b" " + part] if k % 2 else self._plain_words(part))]
+
+    def _plain_words(self, text: bytes) -> list[bytes]:
         # marks of U+0300 to U+036F may join a small letter and not its capital
         if self.lowers and b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
+            small = text.lower()
+            # capitals must not become the name of a special token
+            text = text if self.cut and self.cut.search(small) else small
         if self.mark:
             text = self.mark.sub(rb" \1", text)
         return text.split()
@@ -94,8 +110,8 @@ class WordEncoder:
         words = [self._words(t) for t in texts]
         new = set().union(*words) - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known, self.older = {}, self.known
-            new = set().union(*words)
+            self.known, self.older = dict(self.special), self.known
+            new = set().union(*words) - self.known.keys()
         again = new & self.older.keys()
         for word in again:
             self.known[word] = self.older[word]
