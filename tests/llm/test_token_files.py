@@ -15,7 +15,6 @@ from wardlake.llm.queries import WORD_BPE, op3_token_files
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(WORD_BPE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -40,6 +39,27 @@ def test_words_encode_like_whole_texts(library, encoder, texts):
     assert found == [library(t) for t in texts]
 
 
+SPECIAL = ["<|startoftext|>", "<|endoftext|>"]
+
+
+@given(st.lists(st.lists(st.sampled_from([*SPECIAL, "<|ENDOFTEXT|>", "a", "B.", " ", "é", "\u0301", "<|", "|>", "endoftext", "\n", "x1"]), max_size=12), max_size=6))
+def test_special_tokens_as_the_plain_library_has_them(library, encoder, texts):
+    texts = ["".join(parts) for parts in texts]
+    found = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode([t.encode() for t in texts])]
+    assert found == [library(t) for t in texts]
+    assert library("abc<|endoftext|>") == [*library("abc"), 49407]
+
+
+def test_special_tokens_survive_a_new_generation(library, monkeypatch):
+    from wardlake.llm import encode
+
+    monkeypatch.setattr(encode, "REMEMBERED_WORDS", 5)
+    small = WordEncoder(WORD_BPE)
+    for k in range(10):
+        text = " ".join(f"w{k}x{i}" for i in range(4)) + "<|endoftext|>a<|startoftext|>"
+        assert np.frombuffer(small.encode([text.encode()])[0], small.kind).tolist() == library(text)
+
+
 def test_files_hold_every_document_in_order(spark, odd, library):
     documents, rows = odd
     path = work_dir(spark, "tokens")

@@ -28,6 +28,11 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
+def writing(spark: SparkSession, rows_at_once: int = 2000):
+    """Settings for a write: no kept shuffle files, and Python gets ``rows_at_once`` rows in a batch."""
+    return fs.settings(spark, {**_WRITING, "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_at_once)})
+
+
 class Scratch:
     """Intermediate tables of one job, written below the shared checkpoint folder.
 
@@ -42,7 +47,7 @@ class Scratch:
     def keep(self, df: DataFrame, name: str, rows_at_once: int = 2000) -> DataFrame:
         """Write and reread a table; Python gets ``rows_at_once`` rows in a batch, few when they are large."""
         path = f"{self.base}/{name}"
-        with fs.settings(self.spark, {**_WRITING, "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_at_once)}):
+        with writing(self.spark, rows_at_once):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -57,15 +62,20 @@ def stash(df: DataFrame, label: str) -> DataFrame:
 
 
 def hashed_sample(rows: DataFrame, column: str, most: int) -> DataFrame:
-    """At most ``most`` distinct values of a column, those with the smallest hashes.
+    """The ``most`` distinct values of a column with the smallest hashes, or all when there are fewer.
 
-    A bound on the hash, from the number of rows, leaves about twice as many before they are sorted,
-    so no task sorts more however many rows there are.
+    A bound on the hash, from an estimate of the number of distinct values, leaves about twice as
+    many before they are sorted, so no task sorts more however many rows there are, and rows that
+    repeat a value do not count. The bound rises until enough values are below it.
     """
-    share = min(1.0, 2 * most / max(1, rows.count()))
     place = F.xxhash64(column)
-    few = rows.filter(place <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))).select(column).distinct()
-    return few.orderBy(place, column).limit(most)
+    distinct = rows.agg(F.approx_count_distinct(column).alias("n")).head()["n"]
+    share = 2 * most / max(1, distinct)
+    while True:
+        few = rows.filter(place <= F.lit(min(2**63 - 1, int(-(2**63) + min(1.0, share) * 2**64)))).select(column).distinct()
+        if share >= 1 or few.count() >= most:
+            return few.orderBy(place, column).limit(most)
+        share *= 2
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:
@@ -160,12 +170,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def extend(df: DataFrame, fields: list[T.StructField], compute: Callable[[list[bytes]], list[pa.Array]], text: str = "text") -> DataFrame:
-    """All columns of a table and new ones computed from the texts, batch by batch."""
+def extend(df: DataFrame, fields: list[T.StructField], compute: Callable[[list[bytes]], list[pa.Array]], text: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
+    """All columns of a table and new ones computed from the texts, about ``size`` bytes of them at a time."""
     names = [*df.columns, *(f.name for f in fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, text):
+        for part, texts in chunks(batches, text, size):
             yield pa.RecordBatch.from_arrays([*part.columns, *compute(texts)], names)
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))

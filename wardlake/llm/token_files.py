@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import chunks
+from wardlake.llm.common import chunks, writing
 from wardlake.llm.encode import encoder
 
 #: A segment is closed once it holds this many tokens; a longer document is a segment of its own.
@@ -112,7 +112,8 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int) -
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    ordered.mapInArrow(run, SEGMENT).write.parquet(path)
+    with writing(documents.sparkSession):
+        ordered.mapInArrow(run, SEGMENT).write.parquet(path)
 
 
 _SEGMENT_ARROW = pa.schema(
