@@ -92,6 +92,86 @@ def test_redacted_texts(frame):
     assert (texts[2], texts[3], texts[4]) == ("clean text", None, "")
 
 
+def overlaps(span, others):
+    return any(a < span[1] and span[0] < b for a, b in others)
+
+
+def brute(text, table):
+    """All spans by plain Python: the base ones, and other runs that the models call random."""
+    own = base(text)
+    at = {c: i for i, c in enumerate(secret_scan.CLASSES)}
+    spans = list(own)
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", text):
+        steps = [float(f"{table[at[a] * len(at) + at[b]]:.4f}") for a, b in zip(m[0], m[0][1:]) if a in at and b in at]
+        if sum(steps) > secret_scan.LOG_ODDS and not overlaps(m.span(), [(a, b) for a, _, b in own]):
+            spans.append((m.start(), 3, m.end()))
+    return sorted(spans)
+
+
+def redacted(text, spans):
+    out, at = [], 0
+    for a, k, b in spans:
+        if a >= at:
+            out += [text[at:a], f"[{secret_scan.KINDS[k]}]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+@pytest.mark.parametrize("together", [512, 2])
+def test_all_spans_and_redacted_texts_against_plain_python(frame, corpus, monkeypatch, together):
+    import random
+
+    monkeypatch.setattr(secret_scan, "TOGETHER", together)
+    rng = random.Random(4)
+    letters = secret_scan.CLASSES
+    parts = ["password=", "token: ", "hunter2hunter2", "AKIA", "0123456789ABCDEF", "f" * 33, " ", ".", "日本", "==", "ordinary_identifier_of_things ", "x"]
+    parts += ["".join(rng.choice(letters) for _ in range(n)) for n in (3, 19, 20, 24, 40, 60)]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    table = secret_scan.train(corpus)
+    monkeypatch.setattr(secret_scan, "train", lambda rows: table)
+    df = frame(*enumerate(texts))
+    found = {r.doc_id: r.spans for r in secret_scan.scan(df).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    n_markov = 0
+    for i, text in enumerate(texts):
+        spans = brute(text, table)
+        assert found[i] == written(spans)
+        assert clean[i] == redacted(text, spans)
+        n_markov += sum(k == 3 for _, k, _ in spans)
+    assert n_markov > 100
+
+
+def test_long_runs_and_many_matches_take_linear_time(frame, corpus, monkeypatch):
+    import random
+    import time
+
+    table = secret_scan.train(corpus)
+    monkeypatch.setattr(secret_scan, "train", lambda rows: table)
+    rng = random.Random(1)
+    run = "".join(rng.choices(secret_scan.CLASSES, k=1_000_000))
+    many = "token=abcdefgh1234 " * 100_000
+    mixed = " ".join("".join(rng.choices(secret_scan.CLASSES, k=24)) + (" secret=abcdefghij" if i % 2 else "") for i in range(50_000))
+    for text, n_assign, n_markov in ((run, 0, 1), (many, 100_000, 0), (mixed, 25_000, None)):
+        df = frame((1, text))
+        begin = time.perf_counter()
+        r = secret_scan.scan(df).head()
+        assert r.n_assign == n_assign and (r.n_markov == n_markov if n_markov is not None else r.n_markov > 40_000)
+        clean = secret_scan.redact(df).head().text
+        assert time.perf_counter() - begin < 90  # two passes on a slow machine; quadratic work takes hours
+        assert clean.count("[assign]") == n_assign
+
+
+def test_repeated_ids_do_not_starve_the_sample(spark):
+    from wardlake.llm.common import hashed_sample
+
+    hot = spark.range(0, 2_000_029, 1, 4).selectExpr("CASE WHEN id < 29 THEN id ELSE 29 END AS id")
+    assert hashed_sample(hot, "id", 20_000).count() == 30
+    assert hashed_sample(spark.range(1_000_000).selectExpr("id % 100 AS id"), "id", 20_000).count() == 100
+    ids = [r.id for r in hashed_sample(spark.range(500_000).selectExpr("id % 50000 AS id"), "id", 20_000).collect()]
+    assert len(set(ids)) == len(ids) == 20_000
+    assert hashed_sample(spark.range(0), "id", 10).count() == 0
+
+
 def test_odd_rows(odd, nothing):
     documents, rows = odd
     assert secret_scan.scan(documents).count() == len(rows)

@@ -8,6 +8,7 @@ Base64, upper case) with the values the patterns found count as random.
 """
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,41 @@ TRAINING_ROWS, LOG_ODDS = 2_000, math.log(1_000_000)
 #: Weight of a character's own frequency against the counted steps.
 BACKOFF = 8.0
 
-_SPANS = "array<struct<start:int,end:int>>"
+#: Rows of an array that are gathered before the result is joined.
+TOGETHER = 512
+
+_SPAN = "struct<start:int,end:int>"
+_SPANS = f"array<{_SPAN}>"
+_PIECE = "struct<from:int,to:int,mark:string>"
+
+
+def _let(value: Column, body: Callable) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda an expression would be computed again per element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _fold(rows: Column, state: Column, step: Callable, emit: Callable, kind: str, last: Callable | None = None) -> Column:
+    """Run a state along an array and collect what ``emit(state, row)`` gives, an array of ``kind``.
+
+    An array grows by copying, so results are gathered in pieces of ``TOGETHER`` rows and joined at
+    the end: the work grows with the number of rows, not with its square.
+    """
+    nothing = F.array().cast(f"array<{kind}>")
+
+    def cut(rows: Column) -> Column:
+        first = F.sequence(F.lit(0), F.greatest(F.size(rows) - 1, F.lit(0)), F.lit(TOGETHER))
+        return F.transform(first, lambda i: F.slice(rows, i + 1, F.lit(TOGETHER)))
+
+    def one(acc: Column, row: Column) -> Column:
+        return F.struct(step(acc["state"], row).alias("state"), F.concat(acc["out"], emit(acc["state"], row)).alias("out"))
+
+    def piece(acc: Column, some: Column) -> Column:
+        begin = F.struct(acc["state"].alias("state"), nothing.alias("out"))
+        done = lambda a: F.struct(a["state"].alias("state"), F.concat(acc["out"], F.array(a["out"])).alias("out"))
+        return F.aggregate(some, begin, one, done)
+
+    end = lambda acc: F.flatten(F.concat(acc["out"], F.array(last(acc["state"]))) if last else acc["out"])
+    return F.aggregate(_let(rows, cut), F.struct(state.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out")), piece, end)
 
 
 def _spans(text: Column, pattern: str, gate: Column, keep=lambda match, value: F.lit(True), group: int = 0) -> Column:
@@ -41,15 +76,16 @@ def _spans(text: Column, pattern: str, gate: Column, keep=lambda match, value: F
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     between = F.split(text, pattern, -1)
     rows = F.arrays_zip(matches.alias("m"), values.alias("v"), F.slice(between, 1, F.size(matches)).alias("b"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    # lengths and the decision are all that is carried on
+    sized = F.transform(rows, lambda r: F.struct(F.length(r["b"]).alias("b"), F.length(r["m"]).alias("m"), keep(r["m"], r["v"]).alias("kept")))
 
-    def step(acc: Column, row: Column) -> Column:
-        begin = acc["at"] + F.length(row["b"])
-        end = begin + F.length(row["m"])
-        one = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(keep(row["m"], row["v"]), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def emit(at: Column, row: Column) -> Column:
+        begin = at + row["b"]
+        one = F.array(F.struct(begin.alias("start"), (begin + row["m"]).alias("end")))
+        return F.when(row["kept"], one).otherwise(F.array().cast(_SPANS))
 
-    return F.when(gate, F.aggregate(rows, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPANS))
+    found = _fold(sized, F.lit(0), lambda at, row: at + row["b"] + row["m"], emit, _SPAN)
+    return F.when(gate, found).otherwise(F.array().cast(_SPANS))
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -67,10 +103,15 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _neighbours(string: Column, pair: Callable) -> Column:
+    """``pair(a, b)`` of every character and the next one; the string is cut into characters once."""
+    return _let(F.split(string, ""), lambda c: F.zip_with(F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, 2, F.size(c)), pair))
+
+
 def _steps(strings: DataFrame) -> DataFrame:
     """Counts of neighbouring character classes in a column ``s``."""
-    pairs = strings.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring("s", i, F.lit(2)))).alias("p"))
-    return pairs.groupBy(F.substring("p", 1, 1).alias("a"), F.substring("p", 2, 1).alias("b")).agg(F.count("*").alias("n"))
+    pairs = strings.select(F.inline(_neighbours(F.col("s"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
 def train(documents: DataFrame, rows: int = TRAINING_ROWS) -> list[float]:
@@ -112,13 +153,39 @@ def train(documents: DataFrame, rows: int = TRAINING_ROWS) -> list[float]:
 def _ratio(run: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a run, summed over its steps; padding has no class and no weight."""
     weights = F.split(F.lit(",".join(f"{x:.4f}" for x in table)), ",").cast("array<double>")
-    place = lambda i: F.instr(F.lit(CLASSES), F.substring(run, i, F.lit(1)))
 
-    def step(acc: Column, i: Column) -> Column:
-        a, b = place(i), place(i + 1)
-        return acc + F.when((a > 0) & (b > 0), F.get(weights, (a - 1) * len(CLASSES) + b - 1)).otherwise(0.0)
+    def weight(a: Column, b: Column) -> Column:
+        a, b = F.instr(F.lit(CLASSES), a), F.instr(F.lit(CLASSES), b)
+        return F.when((a > 0) & (b > 0), F.get(weights, (a - 1) * len(CLASSES) + b - 1)).otherwise(0.0)
+
+    return F.aggregate(_neighbours(run, weight), F.lit(0.0), lambda total, w: total + w)
+
+
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span; runs do not overlap each other.
+
+    In order of their starts, base spans first, a run overlaps a span before it when one of those
+    ends behind its start, or the next span when that starts before its end. So the state is the
+    furthest end so far and the run that waits for the next span.
+    """
+    part = lambda spans, kind: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
+    rows = F.sort_array(F.concat(part(base, 0), part(runs, 1)))
+    nobody = F.lit(None).cast(_SPAN)
+    none, waiting = F.array().cast(_SPANS), lambda state: F.array(state["run"])
+
+    def step(state: Column, row: Column) -> Column:
+        own = F.struct(row["start"].alias("start"), row["end"].alias("end"))
+        run = F.when((row["kind"] == 1) & (state["far"] <= row["start"]), own).otherwise(nobody)
+        far = F.when(row["kind"] == 0, F.greatest(state["far"], row["end"])).otherwise(state["far"])
+        return F.struct(far.alias("far"), run.alias("run"))
+
+    def emit(state: Column, row: Column) -> Column:
+        gone = state["run"].isNull() | ((row["kind"] == 0) & (row["start"] < state["run"]["end"]))
+        return F.when(gone, none).otherwise(waiting(state))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0), step)
+    start = F.struct(F.lit(0).alias("far"), nobody.alias("run"))
+    found = _fold(rows, start, step, emit, _SPAN, lambda state: F.when(state["run"].isNull(), none).otherwise(waiting(state)))
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), found).otherwise(runs)
 
 
 def _with_spans(documents: DataFrame, text: str, table: list[float]) -> tuple[DataFrame, dict[str, str]]:
@@ -130,8 +197,8 @@ def _with_spans(documents: DataFrame, text: str, table: list[float]) -> tuple[Da
     out = documents.withColumns({names[k]: c for k, c in base_spans(whole).items()})
     base = F.concat(*(F.col(names[k]) for k in KINDS[:3]))
     runs = _spans(whole, RUN, whole.rlike(RUN), lambda match, value: _ratio(match, table) > LOG_ODDS)
-    apart = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return out.withColumn(names["markov"], apart), names
+    out = out.withColumn(names["markov"], runs)
+    return out.withColumn(names["markov"], _apart(F.col(names["markov"]), base)), names
 
 
 def _listed(names: dict[str, str], kinds: tuple[str, ...]) -> Column:
@@ -169,16 +236,19 @@ def redact(documents: DataFrame, text: str = "text") -> DataFrame:
     found, names = _with_spans(documents, text, train(rows))
     kinds = F.array(*map(F.lit, KINDS))
     source = F.col(f"`{text}`").cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
+    def emit(at: Column, s: Column) -> Column:
         # overlapping spans share one replacement
-        before = F.substring(source, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         mark = F.concat(F.lit("["), F.get(kinds, s["rank"]), F.lit("]"))
-        added = F.when(s["start"] >= acc["at"], F.concat(acc["out"], before, mark)).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), added.alias("out"))
+        piece = F.struct(at.alias("from"), s["start"].alias("to"), mark.alias("mark"))
+        return F.when(s["start"] >= at, F.array(piece)).otherwise(F.array().cast(f"array<{_PIECE}>"))
 
     spans = _listed(names, KINDS)
-    end = lambda acc: F.concat(acc["out"], F.substring(source, acc["at"] + 1, F.length(source)))
-    clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(source)
+    # what follows the last mark ends behind any text
+    rest = lambda at: F.array(F.struct(at.alias("from"), F.lit(2**31 - 1).alias("to"), F.lit("").alias("mark")))
+    pieces = _fold(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]), emit, _PIECE, rest)
+    # the text is cut into characters once, and each piece is a slice of them
+    piece = lambda c: lambda p: F.concat(F.array_join(F.slice(c, p["from"] + 1, p["to"] - p["from"]), ""), p["mark"])
+    written = _let(F.split(source, ""), lambda c: F.array_join(F.transform(pieces, piece(c)), ""))
+    clean = F.when(F.size(spans) > 0, written).otherwise(source)
     return found.withColumn(text, clean).drop(*names.values())
