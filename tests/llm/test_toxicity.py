@@ -42,6 +42,17 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark, labelled):
     assert {r.doc_id: r.score for r in toxicity.score(more, flipped).collect()} == one
 
 
+def test_a_hot_repeated_id_leaves_the_model_trained(spark, labelled, monkeypatch):
+    from pyspark.sql import functions as F
+
+    documents, labels = labelled
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 500)
+    hot = labels.filter("doc_id = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50_000)))).drop("copy")
+    found = toxicity.score(documents.union(documents.filter("doc_id = 1")), labels.union(hot)).collect()
+    held = [r for r in found if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 5 == 0) for r in held) / len(held) > 0.97
+
+
 def test_odd_rows(odd, labelled, spark, nothing):
     documents, rows = odd
     found = toxicity.score(documents, labelled[1]).collect()

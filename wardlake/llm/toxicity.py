@@ -22,6 +22,8 @@ GRAMS = (3, 4, 5, 6)
 #: Bounds of what the classifier is fitted on: labelled rows, slots kept, tasks that count.
 TRAINING_ROWS, KEPT_SLOTS, COUNTING_TASKS = 20_000, 4_096, 8
 PENALTY = 1.0
+#: Bytes of text whose grams are held at once: 4 grams a byte, in several arrays of 8 bytes each.
+GRAM_BYTES = 1 << 18
 
 
 @dataclass
@@ -93,7 +95,7 @@ def _counts(sample: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, counts = np.zeros(2, np.int64), np.zeros((2, SLOTS), np.int32)
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, size=GRAM_BYTES):
             labels = (batch.column("label").to_numpy() > 0).astype(np.int64)
             totals += np.bincount(labels, minlength=2)
             doc, slot = _pairs(texts, None, SLOTS)
@@ -180,7 +182,7 @@ def _sample_features(sample: DataFrame, index: np.ndarray) -> tuple[np.ndarray,
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
         return [pa.array([feature[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())]
 
-    found = extend(sample, [T.StructField("features", T.BinaryType())], compute).select("label", "features")
+    found = extend(sample, [T.StructField("features", T.BinaryType())], compute, size=GRAM_BYTES).select("label", "features")
     kept = found.toArrow()
     labels = (kept.column("label").to_numpy() > 0).astype(np.float64)
     rows = [np.frombuffer(x, np.uint16).astype(np.int64) for x in kept.column("features").to_pylist()]
@@ -201,7 +203,7 @@ def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataF
         z = model.bias + np.bincount(doc, model.weights[feature], len(texts))
         return [pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))), pa.float64())]
 
-    return extend(documents, [T.StructField(name, T.DoubleType())], compute)
+    return extend(documents, [T.StructField(name, T.DoubleType())], compute, size=GRAM_BYTES)
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
