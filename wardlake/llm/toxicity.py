@@ -24,6 +24,8 @@ TRAINING_ROWS, KEPT_SLOTS, COUNTING_TASKS = 20_000, 4_096, 8
 PENALTY = 1.0
 #: Bytes of text whose grams are held at once: 4 grams a byte, in several arrays of 8 bytes each.
 GRAM_BYTES = 1 << 18
+#: Documents whose features the driver turns into wide numbers at once.
+DOCUMENTS_TOGETHER = 1_000
 
 
 @dataclass
@@ -113,13 +115,21 @@ def _counts(sample: DataFrame) -> np.ndarray:
 def _descend(doc: np.ndarray, feature: np.ndarray, scale: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Coefficients and bias of the penalised logistic regression, by L-BFGS with step halving."""
     n, k = len(labels), len(scale)
+    # documents together: the pairs come by document, so each part is a stretch of them
+    starts = np.arange(0, n, DOCUMENTS_TOGETHER)
+    cuts = np.searchsorted(doc, [*starts, n])
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
-        z = x[-1] + np.bincount(doc, (scale * x[:-1])[feature], n)
-        error = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels
-        value = np.logaddexp(0, z).sum() - z @ labels + PENALTY / 2 * x[:-1] @ x[:-1]
-        gradient = np.append(scale * np.bincount(feature, error[doc], k) + PENALTY * x[:-1], error.sum())
-        return value, gradient
+        weights, value, slope, error_sum = scale * x[:-1], PENALTY / 2 * x[:-1] @ x[:-1], np.zeros(k), 0.0
+        for first, begin, end in zip(starts, cuts, cuts[1:]):
+            own, mine = doc[begin:end] - first, feature[begin:end]
+            some = labels[first : first + DOCUMENTS_TOGETHER]
+            z = x[-1] + np.bincount(own, weights[mine], len(some))
+            error = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - some
+            value += np.logaddexp(0, z).sum() - z @ some
+            slope += np.bincount(mine, error[own], k)
+            error_sum += error.sum()
+        return value, np.append(scale * slope + PENALTY * x[:-1], error_sum)
 
     x, steps = np.zeros(k + 1), []
     value, gradient = loss(x)
@@ -185,8 +195,8 @@ def _sample_features(sample: DataFrame, index: np.ndarray) -> tuple[np.ndarray,
     found = extend(sample, [T.StructField("features", T.BinaryType())], compute, size=GRAM_BYTES).select("label", "features")
     kept = found.toArrow()
     labels = (kept.column("label").to_numpy() > 0).astype(np.float64)
-    rows = [np.frombuffer(x, np.uint16).astype(np.int64) for x in kept.column("features").to_pylist()]
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    rows = [np.frombuffer(x, np.uint16) for x in kept.column("features").to_pylist()]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     return doc, np.concatenate(rows), labels
 
 
