@@ -18,8 +18,8 @@ WORD = rb"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once; bounds the working arrays of a task.
 CHUNK_BYTES = 1 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -141,7 +141,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not texts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     data, at = joined(texts)
-    space = _SPACE[data]
+    space = SPACE[data]
     before = np.concatenate([[True], space[:-1]])
     starts = np.flatnonzero(~space & before)
     ends = np.flatnonzero(space & ~before)

@@ -6,6 +6,9 @@ import string
 import struct
 
 import numpy as np
+import pyarrow as pa
+
+from wardlake.llm.common import SPACE, joined
 
 #: Words remembered by one worker in each of two generations; bounds its memory.
 REMEMBERED_WORDS = 200_000
@@ -16,6 +19,12 @@ WORDS_TOGETHER, STRINGS_AT_ONCE = 64, 32
 #: A digit, which the pre-tokenizer sets apart from all neighbours, stands between such words.
 BORDER = "\u00b2"
 
+#: Bytes before a mark that is set apart, and such marks.
+_SMALL, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
+_SMALL[list(string.ascii_lowercase.encode() + string.digits.encode())] = True
+_MARKS_CUT = "".join(c for c in string.punctuation if c != "'")
+_MARKS[list(_MARKS_CUT.encode())] = True
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -56,8 +65,24 @@ class WordEncoder:
         self.mark = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)") if apart and self.lowers else None
         model = self.tokenizer.model
         self.direct = lambda word: [t.id for t in model.tokenize(word)]
+        form = "<%dH" if self.kind.itemsize == 2 else "<%dI"
+        self.packed = [struct.Struct(form % n).pack for n in range(64)]
+        #: How a byte-level model writes the bytes 0x80 to 0xC3: the printable ones as themselves.
+        hidden = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
+        shown = lambda w: w.encode().decode("latin-1").translate(self.shown)
         samples = [string.ascii_lowercase[i : i + n] * m for i in range(26) for n in (1, 3, 9) for m in (1, 2)]
         self.plain = all(ids(w) == self.direct(w) for w in samples)
+        #: Letters beyond ASCII that reach the model as their bytes, alone and among others.
+        more = [c for c in map(chr, range(0xDF, 0x100)) if all(ids(w) == self.direct(shown(w)) for w in (c, c + c, "a" + c, c + "a", "na" + c + "xe", c + "t" + c))]
+        accents = b"|\xc3[" + b"".join(re.escape(c.encode()[1:]) for c in more) + b"]" if more else b""
+        #: Second bytes of those letters, and whether every mark is set apart from what is before it.
+        self.tails = np.zeros(256, bool)
+        begin = {a: ids(a) for a in [*ends, *more]}
+        follow = {m + z: ids(m + z) for m in _MARKS_CUT for z in ("", "a", "'s")}
+        self.cut_marks = self.mark is not None and all(ids(a + m) == begin[a] + follow[m] for a in begin for m in follow)
+        self.tails[[c.encode()[1] for c in more]] = True
+        self.letters = re.compile(b"(?:[a-z]" + accents + b")+")
 
     def _words(self, text: bytes) -> list[bytes]:
         """Words of a text, and the names of the special tokens between them."""
@@ -79,11 +104,14 @@ class WordEncoder:
     def _encode_words(self, words: list[bytes]) -> None:
         """Put the ids of new words among the known ones."""
         if self.plain:
-            form = "<%dH" if self.kind.itemsize == 2 else "<%dI"
-            for word in [w for w in words if w.isalpha() and w.islower()]:
-                ids = self.direct(word.decode())
-                self.known[word] = struct.pack(form % len(ids), *ids)
-            words = [w for w in words if w not in self.known]
+            rest, plain, direct, packed, known = [], self.letters.fullmatch, self.direct, self.packed, self.known
+            for word in words:
+                if plain(word):
+                    ids = direct(word.decode() if word.isascii() else word.decode("latin-1").translate(self.shown))
+                    known[word] = packed[len(ids)](*ids) if len(ids) < len(packed) else np.array(ids, self.kind).tobytes()
+                else:
+                    rest.append(word)
+            words = rest
         single = [w for w in words if self.border is None or BORDER.encode() in w]
         if len(single) < len(words):
             rest = [w for w in words if BORDER.encode() not in w]
@@ -105,18 +133,53 @@ class WordEncoder:
                     self.known[word] = packed[begin:end]
                     begin = end + self.kind.itemsize
 
+    def _apart(self, text: bytes, small: bytes) -> bool:
+        """Whether a text holds special tokens, or letters that lowering bytes would get wrong."""
+        if self.cut and b"<" in text and (self.cut.search(text) or self.cut.search(small)):
+            return True
+        return self.lowers and (b"\xcc" in text or b"\xcd" in text)
+
+    def _distinct_words(self, texts: list[bytes]) -> tuple[list[bytes], pa.Array, np.ndarray]:
+        """Distinct words of all texts, the number of each word in order, and the texts' bounds among them.
+
+        The words lie next to one another once white space is left out. Where the tokenizer sets
+        marks apart from the letter before, words end there, too.
+        """
+        data, at = joined(texts)
+        space = SPACE[data]
+        solid = ~space
+        begins = solid.copy()
+        begins[1:] &= space[:-1]
+        if self.cut_marks:
+            before = _SMALL[data[:-1]]
+            before[1:] |= (data[:-2] == 0xC3) & self.tails[data[1:-1]]
+            begins[1:] |= before & _MARKS[data[1:]]
+        starts = np.flatnonzero(begins)
+        letters = data[solid]
+        offsets = np.append(np.cumsum(solid)[starts] - 1, len(letters))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+        numbered = words.dictionary_encode()
+        return numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices, np.searchsorted(starts, at)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``kind``."""
-        words = [self._words(t) for t in texts]
-        new = set().union(*words) - self.known.keys()
+        small = [t.lower() for t in texts] if self.lowers else texts
+        odd = {i: self._words(t) for i, t in enumerate(texts) if self._apart(t, small[i])}
+        distinct, numbers, bounds = self._distinct_words([b"" if i in odd else t for i, t in enumerate(small)])
+        words = [*distinct, *set().union(*odd.values()).difference(distinct)] if odd else distinct
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known, self.older = dict(self.special), self.known
-            new = set().union(*words) - self.known.keys()
-        again = new & self.older.keys()
+            new = [w for w in words if w not in self.known]
+        again = [w for w in new if w in self.older]
         for word in again:
             self.known[word] = self.older[word]
-        self._encode_words(list(new - again))
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        self._encode_words([w for w in new if w not in self.known] if again else new)
+        known = self.known.__getitem__
+        taken = pa.array([known(w) for w in distinct], pa.large_binary()).take(numbers)
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+        cuts, ids = ends[bounds].tolist(), memoryview(taken.buffers()[2] or b"")
+        out = [b"".join(map(known, odd[i])) if i in odd else bytes(ids[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
         for word in new:
             if len(word) > REMEMBERED_BYTES:
                 del self.known[word]
