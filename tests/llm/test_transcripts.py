@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -55,3 +56,53 @@ def test_odd_rows(spark, model):
     assert transcripts.parse(raw.filter("part > 9"), model).count() == 0
     empty = transcripts.train(raw.withColumn("role", F.lit("nobody")))
     assert transcripts.parse(raw, empty).count() > 0
+
+
+def _features(lines):
+    """Features of a segment's lines, written out."""
+    return [
+        (transcripts.marker(x)[0], sum(len(x.strip()) > n for n in (0, 40, 120, 400)), int(x.strip().endswith("?")), int(i == 0 or lines[i - 1].strip() == ""))
+        for i, x in enumerate(lines)
+    ]
+
+
+def _best_paths(model, features):
+    """All state paths of lines with their log probability, the best first."""
+    paths = [((), 0.0)]
+    for seen in features:
+        longer = []
+        for path, score in paths:
+            for state in range(6):
+                step = model.steps[path[-1], state] if path else (0.0 if state % 2 == 0 else -float("inf"))
+                total = score + step + sum(table[state, value] for table, value in zip(model.features, seen))
+                if total > -float("inf"):
+                    longer.append(((*path, state), total))
+        paths = longer
+    return sorted(paths, key=lambda p: -p[1])
+
+
+def test_turns_against_all_paths(spark, model, monkeypatch):
+    monkeypatch.setattr(transcripts, "SEGMENT_PARTS", 2)
+    draw = random.Random(5)
+    some = ["User: why?", "and more of it", "", "Assistant: " + "so " * 30, "no marker here?", "System: be kind", "A: yes", "x" * 130]
+    given = {c: ["\n".join(draw.choices(some, k=draw.randint(1, 2))) for _ in range(draw.randint(1, 4))] for c in range(40)}
+    raw = spark.createDataFrame([(c, i, t) for c, texts in given.items() for i, t in enumerate(texts)], "conv_id long, part long, text string")
+    found = {}
+    for r in transcripts.parse(raw, model).collect():
+        found.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
+    compared = 0
+    for c, texts in given.items():
+        segments = [[x for t in texts[i : i + 2] for x in t.split("\n")] for i in range(0, len(texts), 2)]
+        lines = [x for s in segments for x in s]
+        paths = _best_paths(model, [f for s in segments for f in _features(s)])
+        if len(paths) > 1 and paths[0][1] - paths[1][1] < 1e-9:
+            continue  # either of two equal paths will do
+        turns = []
+        for line, state in zip(lines, paths[0][0]):
+            if state % 2 == 0:
+                turns.append((transcripts.ROLES[state // 2], [transcripts.marker(line)[1]]))
+            else:
+                turns[-1][1].append(line)
+        assert sorted(found[c]) == [(i, role, "\n".join(own).strip()) for i, (role, own) in enumerate(turns)], c
+        compared += 1
+    assert compared >= 35
