@@ -1,6 +1,8 @@
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from wardlake.llm import toxicity
@@ -63,3 +65,40 @@ def test_odd_rows(odd, labelled, spark, nothing):
     assert {r.predicted for r in toxicity.score(documents, unknown).collect()} == {0}
     model = toxicity.fit(*labelled)
     assert toxicity.with_score(documents, model, "score_").columns == [*documents.columns, "score_"]
+
+
+def plain_slots(text):
+    """The slots of a text, gram by gram."""
+    data = b" " + bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in text.lower().encode()) + b"\n"
+    slots = set()
+    for size in toxicity.GRAMS:
+        for i in range(len(data) - size + 1):
+            slots.add((int.from_bytes(data[i : i + size], "little") * (0x9E3779B97F4A7C15 + 2 * size) % 2**64) >> 44)
+    return slots
+
+
+def test_scores_against_plain_recomputation(labelled):
+    documents, labels = labelled
+    texts = {r.doc_id: plain_slots(r.text) for r in documents.collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    n = [sum(v == k for v in known.values()) for k in (0, 1)]
+    counts = {}
+    for i, label in known.items():
+        for slot in texts[i]:
+            counts.setdefault(slot, [0, 0])[label] += 1
+    ratio = {s: math.log((t + 1) / (n[1] + 2)) - math.log((c + 1) / (n[0] + 2)) for s, (c, t) in counts.items()}
+    kept = sorted(ratio, key=lambda s: (-abs(ratio[s]) / math.sqrt(1 / (counts[s][1] + 1) + 1 / (counts[s][0] + 1)), s))[: toxicity.KEPT_SLOTS]
+
+    def rows(ids):
+        return np.array([[ratio[s] * (s in texts[i]) for s in kept] + [1.0] for i in ids])
+
+    x, y = rows(known), np.array(list(known.values()))
+    penalty, w = np.append(np.full(len(kept), toxicity.PENALTY), 0.0), np.zeros(len(kept) + 1)
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        slope = x.T @ (p - y) + penalty * w
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(penalty), slope)
+    expected = dict(zip(texts, 1 / (1 + np.exp(-(rows(texts) @ w)))))
+    found = {r.doc_id: r.score for r in toxicity.score(documents, labels).collect()}
+    assert found.keys() == expected.keys()
+    assert max(abs(found[i] - expected[i]) for i in found) < 0.02

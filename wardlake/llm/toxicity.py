@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlake.llm.common import chunks, extend, hashed_sample, joined, stash
+from wardlake.llm.common import Scratch, chunks, extend, hashed_sample, joined
 
 SLOTS = 1 << 20
 GRAMS = (3, 4, 5, 6)
@@ -26,6 +26,8 @@ PENALTY = 1.0
 GRAM_BYTES = 1 << 18
 #: Documents whose features the driver turns into wide numbers at once.
 DOCUMENTS_TOGETHER = 1_000
+#: Slots a task hands on in one batch.
+SLOTS_TOGETHER = 1 << 16
 
 
 @dataclass
@@ -92,8 +94,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, rows: int = TRAININ
     return found.select("label", "text")
 
 
-def _counts(sample: DataFrame) -> np.ndarray:
-    """Documents per class and, per class, documents with each slot."""
+def _counts(sample: DataFrame) -> DataFrame:
+    """``slot, clean, toxic``: documents of each class that have the slot; slot -1 counts the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, counts = np.zeros(2, np.int64), np.zeros((2, SLOTS), np.int32)
@@ -101,33 +103,47 @@ def _counts(sample: DataFrame) -> np.ndarray:
             labels = (batch.column("label").to_numpy() > 0).astype(np.int64)
             totals += np.bincount(labels, minlength=2)
             doc, slot = _pairs(texts, None, SLOTS)
-            cells = labels[doc] * SLOTS + slot
-            counts += np.bincount(cells, minlength=2 * SLOTS).reshape(2, SLOTS).astype(np.int32)
-        yield pa.RecordBatch.from_pylist([{"totals": totals.tobytes(), "counts": counts.tobytes()}])
+            for label in (0, 1):
+                counts[label] += np.bincount(slot[labels[doc] == label], minlength=SLOTS).astype(np.int32)
+        slots = np.flatnonzero(counts.any(axis=0))
+        columns = [np.append(slots, -1), *(np.append(counts[k, slots], totals[k]) for k in (0, 1))]
+        whole = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["slot", "clean", "toxic"])
+        for at in range(0, whole.num_rows, SLOTS_TOGETHER):
+            yield whole.slice(at, SLOTS_TOGETHER)
 
-    out = np.zeros((2, SLOTS + 1), np.int64)
-    for row in sample.repartition(COUNTING_TASKS).mapInArrow(run, "totals binary, counts binary").collect():
-        out[:, 0] += np.frombuffer(row.totals, np.int64)
-        out[:, 1:] += np.frombuffer(row.counts, np.int32).reshape(2, SLOTS)
-    return out
+    counted = sample.repartition(COUNTING_TASKS).mapInArrow(run, "slot long, clean long, toxic long")
+    return counted.groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def _descend(doc: np.ndarray, feature: np.ndarray, scale: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+def _telling(counted: DataFrame, n_clean: int, n_toxic: int) -> DataFrame:
+    """``slot, ratio`` of the slots whose log-count ratio is furthest from chance; ties by slot."""
+    clean, toxic = F.col("clean"), F.col("toxic")
+    ratio = F.log((toxic + 1) / (n_toxic + 2)) - F.log((clean + 1) / (n_clean + 2))
+    found = counted.filter("slot >= 0").select("slot", ratio.alias("ratio"), F.sqrt(1 / (toxic + 1) + 1 / (clean + 1)).alias("noise"))
+    return found.orderBy((F.abs("ratio") / F.col("noise")).desc(), "slot").limit(KEPT_SLOTS).select("slot", "ratio")
+
+
+@dataclass
+class Part:
+    """Some documents of the sample: features of each one after another, how many each has, labels."""
+
+    features: np.ndarray
+    sizes: np.ndarray
+    labels: np.ndarray
+
+
+def _descend(parts: list[Part], scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Coefficients and bias of the penalised logistic regression, by L-BFGS with step halving."""
-    n, k = len(labels), len(scale)
-    # documents together: the pairs come by document, so each part is a stretch of them
-    starts = np.arange(0, n, DOCUMENTS_TOGETHER)
-    cuts = np.searchsorted(doc, [*starts, n])
+    k = len(scale)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         weights, value, slope, error_sum = scale * x[:-1], PENALTY / 2 * x[:-1] @ x[:-1], np.zeros(k), 0.0
-        for first, begin, end in zip(starts, cuts, cuts[1:]):
-            own, mine = doc[begin:end] - first, feature[begin:end]
-            some = labels[first : first + DOCUMENTS_TOGETHER]
-            z = x[-1] + np.bincount(own, weights[mine], len(some))
-            error = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - some
-            value += np.logaddexp(0, z).sum() - z @ some
-            slope += np.bincount(mine, error[own], k)
+        for part in parts:
+            own = np.repeat(np.arange(len(part.sizes)), part.sizes)
+            z = x[-1] + np.bincount(own, weights[part.features], len(part.sizes))
+            error = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - part.labels
+            value += np.logaddexp(0, z).sum() - z @ part.labels
+            slope += np.bincount(part.features, error[own], k)
             error_sum += error.sum()
         return value, np.append(scale * slope + PENALTY * x[:-1], error_sum)
 
@@ -165,26 +181,28 @@ def _descend(doc: np.ndarray, feature: np.ndarray, scale: np.ndarray, labels: np
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """Fit on a bounded sample of labelled rows.
 
-    The driver gets two counters per slot from a fixed number of tasks and the kept features of the
-    sample. Without a labelled row of both classes the score is the smoothed share of toxic rows.
+    Slots are counted, compared and chosen in Spark. The driver gets the chosen ones, at most
+    ``KEPT_SLOTS``, and which of them each document of the sample has. Without a labelled row of
+    both classes the score is the smoothed share of toxic rows.
     """
-    sample = stash(training_sample(documents, labels, rows), "labelled")
-    counted = _counts(sample)
-    (n_clean, n_toxic), (clean, toxic) = counted[:, 0], counted[:, 1:]
-    share = np.log((n_toxic + 1) / (n_clean + 1))
+    scratch = Scratch(documents.sparkSession, "labelled")
+    sample = scratch.keep(training_sample(documents, labels, rows), "sample")
+    counted = scratch.keep(_counts(sample), "slots")
+    totals = counted.filter("slot = -1").head()
+    n_clean, n_toxic = (totals.clean, totals.toxic) if totals else (0, 0)
     if not n_clean or not n_toxic:
+        share = np.log((n_toxic + 1) / (n_clean + 1))
         return Model(np.full(SLOTS, -1, np.int16), np.zeros(KEPT_SLOTS), float(share))
-    ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((clean + 1) / (n_clean + 2))
-    surprise = np.abs(ratio) / np.sqrt(1 / (toxic + 1) + 1 / (clean + 1))
-    kept = np.argsort(-surprise, kind="stable")[:KEPT_SLOTS]
+    kept = _telling(counted, n_clean, n_toxic).collect()
     index = np.full(SLOTS, -1, np.int16)
-    index[kept] = np.arange(len(kept))
-    pairs = _sample_features(sample, index)
-    weights, bias = _descend(*pairs[:2], ratio[kept], pairs[2])
-    return Model(index, ratio[kept] * weights, bias)
+    index[[r.slot for r in kept]] = np.arange(len(kept))
+    ratio = np.array([r.ratio for r in kept])
+    weights, bias = _descend(_sample_features(sample, index), ratio)
+    return Model(index, ratio * weights, bias)
 
 
-def _sample_features(sample: DataFrame, index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sample_features(sample: DataFrame, index: np.ndarray) -> list[Part]:
+    """The features of the sample, ``DOCUMENTS_TOGETHER`` documents in a part, as Arrow delivers them."""
     shared = sample.sparkSession.sparkContext.broadcast(index)
 
     def compute(texts: list[bytes]) -> list[pa.Array]:
@@ -193,11 +211,12 @@ def _sample_features(sample: DataFrame, index: np.ndarray) -> tuple[np.ndarray,
         return [pa.array([feature[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())]
 
     found = extend(sample, [T.StructField("features", T.BinaryType())], compute, size=GRAM_BYTES).select("label", "features")
-    kept = found.toArrow()
-    labels = (kept.column("label").to_numpy() > 0).astype(np.float64)
-    rows = [np.frombuffer(x, np.uint16) for x in kept.column("features").to_pylist()]
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    return doc, np.concatenate(rows), labels
+    parts = []
+    for batch in found.toArrow().to_batches(max_chunksize=DOCUMENTS_TOGETHER):
+        ends = np.frombuffer(batch.column("features").buffers()[1], np.int32)[batch.column("features").offset :][: len(batch) + 1]
+        features = np.frombuffer(batch.column("features").buffers()[2] or b"", np.uint16)[ends[0] // 2 : ends[-1] // 2]
+        parts.append(Part(features, np.diff(ends) // 2, (batch.column("label").to_numpy() > 0).astype(np.float64)))
+    return parts
 
 
 def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
