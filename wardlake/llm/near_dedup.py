@@ -3,8 +3,10 @@
 A document's k-mers are runs of five words, labelled by occurrence. Each of several hash functions
 samples the smallest labelled k-mers and keeps them in text order, so a sketch matches only when
 the same k-mers come in the same order. Documents that share a sketch are first compared with a few
-of them, drawn at random per sketch, which joins most of every group. Where members of a group are
-still in different classes, all of them are compared with one another. What a cheap estimate leaves
+of them, which joins most of every group. These representatives come first in random orders that
+all sketches have in common, so groups of much the same documents choose the same ones and a pair
+found by many sketches is one pair. Where members of a group are still in different classes, all of
+them are compared with one another. What a cheap estimate leaves
 is verified on the texts: the k-mer sequences are aligned and similar when their common subsequence
 is at least 0.8 of all k-mers.
 """
@@ -31,7 +33,7 @@ SKETCHES, SAMPLED = 32, 6
 SHORT, FEW = 80, 3
 #: Of 32 single minima a pair at the threshold shares 25.6 on average; 15 is over four deviations less.
 SHARED_MINIMA = 15
-#: Representatives drawn per sketch, with whom all members are compared first.
+#: Representatives of a sketch, with whom all members are compared first.
 LEADERS = 6
 #: Members, and k-mers of them, that are compared with as many others in one task.
 BLOCK, BLOCK_GRAMS = 2048, 1 << 20
@@ -302,7 +304,8 @@ def classes(documents: DataFrame) -> DataFrame:
 
     sketches = alone.select("row", F.explode("bands").alias("band"))
     # the whole group has been compared when all but one of it are representatives
-    drawn = [F.min_by("row", F.xxhash64("row", "band", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
+    # orders that do not depend on the sketch: the same documents lead in all sketches they share
+    drawn = [F.min_by("row", F.xxhash64("row", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
     leaders = sketches.groupBy("band").agg(*drawn, F.count("*").alias("n")).filter("n > 1")
     leaders = scratch.keep(leaders.select("band", F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS)))).alias("leaders"), "n"), "leaders")
     pairs = sketches.join(leaders.drop("n"), "band").select(F.col("row").alias("member"), F.explode("leaders").alias("leader")).filter("member != leader")
