@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from wardlake import fs
 from wardlake.operators.images import accepted_images, classify_images
 from wardlake.plans.pipeline import sync_images
 from wardlake.plans.store import ClinicalStore
@@ -130,3 +131,35 @@ def test_a_second_sync_opens_only_what_changed(spark, folder, tmp_path):
     assert {r["object_key"].split("_", 1)[1] for r in written.collect()} == {"ok.png", "{a,b}[1]*?.png"}
     contents = {r["object_key"]: bytes(r["content"]) for r in store.blob_contents().collect()}
     assert contents["HOSP-000001/HOSP-000001_ok.png"] == PNG_SIGNATURE + b"other" and len(contents) == 4
+
+
+@pytest.fixture
+def two_objects(spark):
+    return spark.createDataFrame([("b1", "k/a", bytearray(b"1")), ("b2", "k/a", bytearray(b"22"))], "bucket string, object_key string, content binary")
+
+
+def test_a_cluster_exports_below_its_shared_folder_only(spark, two_objects, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    for named in (f"{tmp_path}/shared", f"file://{tmp_path}/shared/"):
+        monkeypatch.setattr(fs, "checkpoint_folder", lambda spark: named)
+        out = fs.work_dir(spark, "export")
+        assert export_blobs(two_objects, out).count() == 2
+        assert [r["length"] for r in read_images(spark, f"{out}/b2/k").collect()] == [2]
+        for elsewhere in ("own", "shared2", "shared/../own"):
+            with pytest.raises(ValueError, match="share no local folder"):
+                export_blobs(two_objects, f"{tmp_path}/{elsewhere}")
+    assert [p.name for p in tmp_path.iterdir()] == ["shared"]
+
+
+def test_export_through_the_mount_point_of_a_view(spark, two_objects, tmp_path):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.exports.link./shared", f"file://{tmp_path}")
+    assert export_blobs(two_objects, "viewfs://exports/shared/new/out").count() == 2
+    assert [(tmp_path / "new" / "out" / b / "k" / "a").read_bytes() for b in ("b1", "b2")] == [b"1", b"22"]
+
+
+def test_an_executor_that_does_not_see_the_target_fails(spark, two_objects, tmp_path):
+    exported = export_blobs(two_objects, str(tmp_path / "out"))
+    (tmp_path / "out").rename(tmp_path / "elsewhere")
+    with pytest.raises(Exception, match="does not see the target"):
+        exported.count()
+    assert not (tmp_path / "out").exists()

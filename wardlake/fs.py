@@ -66,6 +66,38 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+def resolved(spark: SparkSession, path: str) -> str:
+    """Where a path really lies, behind the mount points of a view; its last steps need not exist."""
+    p, fs = _handle(spark, path)
+    p, rest = fs.makeQualified(p), ""
+    while not fs.exists(p) and p.getParent() is not None:
+        p, rest = p.getParent(), f"/{p.getName()}{rest}"
+    return fs.resolvePath(p).toString().rstrip("/") + rest
+
+
+def local_path(path: str) -> str | None:
+    """The plain path of one on this machine's own file system, else None."""
+    return os.path.normpath("/" + path[len("file:") :].lstrip("/")) if path.startswith("file:") else None
+
+
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def all_reach(spark: SparkSession, path: str) -> bool:
+    """True unless executors of a cluster may see another folder of this name than the driver.
+
+    Those of a cluster share no local folder but the one that ``spark.checkpoint.dir`` names and
+    what lies below it.
+    """
+    place = local_path(resolved(spark, path))
+    if place is None or spark.sparkContext.master.startswith("local"):
+        return True
+    named = checkpoint_folder(spark)
+    shared = local_path(resolved(spark, named)) if named else None
+    return shared is not None and os.path.commonpath([shared, place]) == shared
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     p, fs = _handle(spark, path)
     fs.mkdirs(p)
@@ -140,7 +172,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. A temporary folder of this
     machine is taken only by a local session that names none, as in tests.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = checkpoint_folder(spark)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -40,21 +40,29 @@ def _named(files: DataFrame) -> DataFrame:
 def export_blobs(blobs: DataFrame, target: str) -> DataFrame:
     """Write each object's bytes to ``target/<bucket>/<object_key>``; one result row per object.
 
-    ``target`` is a folder all executors can reach. A key whose path would leave its bucket's
-    folder fails the job. A retried task writes the same bytes to the same names, each through a
-    draft and a rename, so no reader sees half a file.
+    ``target`` is a folder all executors can reach; on a cluster a local one has to lie below the
+    shared folder that ``spark.checkpoint.dir`` names. It is made here, and a task that does not
+    see it fails. A key whose path would leave its bucket's folder fails the job. A retried task
+    writes the same bytes to the same names, each through a draft and a rename, so no reader sees
+    half a file.
     """
-    root = fs.qualified(blobs.sparkSession, target).rstrip("/")
-    if root.startswith("file:") and not blobs.sparkSession.sparkContext.master.startswith("local"):
-        raise ValueError("executors of a cluster do not share a local folder")
+    spark = blobs.sparkSession
+    if not fs.all_reach(spark, target):
+        raise ValueError("executors of a cluster share no local folder but that of spark.checkpoint.dir")
+    fs.make_dirs(spark, target)
+    # Arrow knows the file systems, not the mount points of a view on them
+    root = fs.resolved(spark, target).rstrip("/")
+    local = fs.local_path(root)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
         from pyarrow import fs as arrow_fs
 
-        if root.startswith("file:"):
-            system, base = arrow_fs.LocalFileSystem(), "/" + root[len("file:") :].lstrip("/")
+        if local is not None:
+            system, base = arrow_fs.LocalFileSystem(), local
+            if system.get_file_info(base).type != arrow_fs.FileType.Directory:
+                raise FileNotFoundError(f"this executor does not see the target: {base}")
         else:
             system, base = arrow_fs.FileSystem.from_uri(root)
         for batch in batches:
