@@ -31,3 +31,10 @@ def cluster(spark, tmp_path, monkeypatch):
 def test_exported_objects(spark, cluster):
     got = {(r["bucket"], r["object_key"], r["length"]) for r in QUERIES["exported_objects"](spark, cluster).collect()}
     assert got == {(f"{b}host{k % 2}", f"en/{k}.html", 8) for b in ("", "copy-") for k in range(4)}
+
+
+def test_image_ingest(spark, cluster):
+    got = {(r["minio_object_key"], r["length"], r["patient_external_id"]) for r in QUERIES["image_ingest"](spark, cluster).collect()}
+    # of six files the one with a broken header is not stored, and only four patients are known
+    keys = {k: f"HOSP-{k:06d}/HOSP-{k:06d}_xray{k}.png" for k in (1, 2, 3, 5, 6)}
+    assert got == {(key, 8 + len(key.split("/")[1]), f"HOSP-{k:06d}" if k < 3 else None) for k, key in keys.items()}
