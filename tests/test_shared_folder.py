@@ -35,6 +35,12 @@ def test_exported_objects(spark, cluster):
 
 def test_image_ingest(spark, cluster):
     got = {(r["minio_object_key"], r["length"], r["patient_external_id"]) for r in QUERIES["image_ingest"](spark, cluster).collect()}
-    # of six files the one with a broken header is not stored, and only four patients are known
+    # the fourth file has a broken header, the third patient no name, and others are unknown
     keys = {k: f"HOSP-{k:06d}/HOSP-{k:06d}_xray{k}.png" for k in (1, 2, 3, 5, 6)}
     assert got == {(key, 8 + len(key.split("/")[1]), f"HOSP-{k:06d}" if k < 3 else None) for k, key in keys.items()}
+
+
+def test_second_load(spark, cluster):
+    got = {r["item"]: r["total"] for r in QUERIES["second_load"](spark, cluster).collect()}
+    # of the three valid patients one has only an image with a broken header
+    assert got == {"first call: uploaded": 5, "second call: already there": 5, "written": 5, "attached": 2, "patients": 3, "runs": 1}
