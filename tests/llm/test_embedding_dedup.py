@@ -70,3 +70,21 @@ def test_query_on_table(spark):
     rows = [(r.vec_id, r.embedding) for r in table(spark, "/root/testdata/sf0.01", "embeddings").collect()]
     found = sorted((r.vec_id, r.n_links, r.component_id) for r in op9_small_world(spark, "/root/testdata/sf0.01").collect())
     assert found == expected(rows)
+
+
+def test_links_of_a_node_lead_to_distinct_others():
+    x = np.random.default_rng(6).normal(size=(300, 8)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for nodes, links in small_world.build(x):
+        for at, row in enumerate(links):
+            there = row[row >= 0].tolist()
+            assert len(there) == len(set(there)) and at not in there
+
+
+def test_a_wide_beam_sees_every_node_once():
+    x = np.random.default_rng(7).normal(size=(900, 4)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    queries = np.concatenate([x[:300], -x[:20]])  # more than walk together
+    ids, cosines = small_world.search(x, small_world.build(x), queries, 900)
+    assert (np.sort(ids, axis=1) == np.arange(900)).all()
+    assert np.allclose(cosines, np.take_along_axis(queries @ x.T, ids, axis=1), atol=1e-6)

@@ -11,8 +11,10 @@ import numpy as np
 from wardlake.llm.common import mix
 
 LINKS = 16
-_EXPANDED = 8
-_BLOCK = 1024
+#: Nodes of a beam expanded at a time: so many, or this share of a wide beam.
+_EXPANDED, _SHARE = 8, 8
+#: Rows compared at once while a graph is built, and queries that walk through it together.
+_BLOCK, _TOGETHER = 1024, 256
 
 
 def _nearest(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +50,7 @@ def _diverse(vectors: np.ndarray, ids: np.ndarray, cosines: np.ndarray, wanted:
 
 
 def _level(vectors: np.ndarray, links: int) -> np.ndarray:
-    """Links of every node among ``vectors``: nearest, diverse and reverse ones; -1 fills up."""
+    """Links of every node among ``vectors``: nearest, diverse and reverse ones, each once; -1 fills up."""
     n = len(vectors)
     if n < 2:
         return np.full((n, 1), -1, np.int32)
@@ -63,7 +65,10 @@ def _level(vectors: np.ndarray, links: int) -> np.ndarray:
     reverse = np.full((n, links), -1, np.int32)
     few = rank < links
     reverse[target[few], rank[few]] = source[few]
-    return np.concatenate([forward, reverse], axis=1)
+    out = np.sort(np.concatenate([forward, reverse], axis=1), axis=1)
+    out[:, :-1][out[:, :-1] == out[:, 1:]] = -1
+    out = np.sort(out, axis=1)[:, ::-1]
+    return np.ascontiguousarray(out[:, : max(1, int((out >= 0).sum(axis=1).max()))])
 
 
 def build(vectors: np.ndarray, links: int = LINKS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -84,8 +89,8 @@ def search(vectors: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], que
     """The ``beam`` best nodes found for each query with their cosines, in no order; -1 fills up."""
     beam = min(beam, len(vectors))
     ids, cosines = np.full((len(queries), beam), -1, np.int32), np.full((len(queries), beam), -2, np.float32)
-    for at in range(0, len(queries), _BLOCK):
-        some = queries[at : at + _BLOCK]
+    for at in range(0, len(queries), _TOGETHER):
+        some = queries[at : at + _TOGETHER]
         ids[at : at + len(some)], cosines[at : at + len(some)] = _search_block(vectors, levels, some, beam)
     return ids, cosines
 
@@ -112,49 +117,56 @@ def _descend(vectors: np.ndarray, levels: list, queries: np.ndarray) -> np.ndarr
 
 
 def _search_block(vectors: np.ndarray, levels: list, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    n, q, links = len(vectors), len(queries), levels[0][1]
+    n, q = len(vectors), len(queries)
+    # a missing link leads to a node after the last, which is never new and has no links
+    links = np.pad(levels[0][1], ((0, 1), (0, 0)), constant_values=-1)
+    links[links < 0] = n
     start = _descend(vectors, levels, queries)
-    ids, cosines = np.full((q, beam), -1, np.int32), np.full((q, beam), -2, np.float32)
-    done = np.ones((q, beam), bool)
+    out_ids, out_cosines = np.full((q, beam), -1, np.int32), np.full((q, beam), -2, np.float32)
+    ids, cosines, done = out_ids.copy(), out_cosines.copy(), np.ones((q, beam), bool)
     ids[:, 0], cosines[:, 0], done[:, 0] = start, np.einsum("qd,qd->q", queries, vectors[start]), False
-    seen = np.zeros((q, n), bool)
-    seen[np.arange(q), start] = True
-    width = min(_EXPANDED, beam)
+    fresh = np.ones((q, n + 1), bool)
+    fresh[np.arange(q), start], fresh[:, n] = False, False
+    fresh = fresh.ravel()
+    width = min(max(_EXPANDED, beam // _SHARE), beam)
     live = np.arange(q)
-    while len(live):
-        open_value = np.where(done[live], -3, cosines[live])
+    while True:
+        open_value = np.where(done, np.float32(-3), cosines)
+        busy = (open_value > -3).any(axis=1)
+        if not busy.all():
+            out_ids[live[~busy]], out_cosines[live[~busy]] = ids[~busy], cosines[~busy]
+            live, ids, cosines, done, open_value = (x[busy] for x in (live, ids, cosines, done, open_value))
+        if not len(live):
+            return out_ids, out_cosines
         pick = np.argpartition(-open_value, width - 1, axis=1)[:, :width]
         good = np.take_along_axis(open_value, pick, axis=1) > -3
-        busy = good.any(axis=1)
-        live, pick, good = live[busy], pick[busy], good[busy]
-        if not len(live):
-            break
-        rows = np.repeat(live, width).reshape(len(live), width)
-        done[rows, pick] = True
-        near = np.where(good[:, :, None], links[np.maximum(ids[rows, pick], 0)], -1).reshape(len(live), -1)
-        row, column = np.nonzero(near >= 0)
-        node = near[row, column]
-        fresh = ~seen[live[row], node]
-        row, node = row[fresh], node[fresh]
-        # the same node may be reached over several links at once
-        flat = np.unique(row.astype(np.int64) * n + node)
-        row, node = flat // n, (flat % n).astype(np.int32)
-        seen[live[row], node] = True
+        expanded = np.where(good, np.take_along_axis(ids, pick, axis=1), n)
+        np.put_along_axis(done, pick, True, axis=1)
+        rows, reached = [], []
+        # one node's links differ, so what they reach first is new once
+        for j in range(width):
+            near = links[expanded[:, j]]
+            place = live[:, None] * (n + 1) + near
+            row, column = np.nonzero(fresh[place])
+            fresh[place[row, column]] = False
+            rows.append(row)
+            reached.append(near[row, column])
+        row, node = np.concatenate(rows), np.concatenate(reached)
         value = np.einsum("kd,kd->k", queries[live[row]], vectors[node])
-        better = value > cosines[live[row]].min(axis=1) if len(row) else np.zeros(0, bool)
-        row, node, value = row[better], node[better], value[better]
-        if not len(row):
+        better = np.flatnonzero(value > cosines.min(axis=1)[row])
+        if not len(better):
             continue
+        better = better[np.argsort(row[better], kind="stable")]
+        row, node, value = row[better], node[better], value[better]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         size = int(rank.max()) + 1
         more_ids, more_value = np.full((len(live), size), -1, np.int32), np.full((len(live), size), -2, np.float32)
         more_ids[row, rank], more_value[row, rank] = node, value
-        all_ids = np.concatenate([ids[live], more_ids], axis=1)
-        all_value = np.concatenate([cosines[live], more_value], axis=1)
-        all_done = np.concatenate([done[live], more_ids < 0], axis=1)
+        all_ids = np.concatenate([ids, more_ids], axis=1)
+        all_value = np.concatenate([cosines, more_value], axis=1)
+        all_done = np.concatenate([done, more_ids < 0], axis=1)
         keep = np.argpartition(-all_value, beam - 1, axis=1)[:, :beam]
-        ids[live], cosines[live], done[live] = (np.take_along_axis(x, keep, axis=1) for x in (all_ids, all_value, all_done))
-    return ids, cosines
+        ids, cosines, done = (np.take_along_axis(x, keep, axis=1) for x in (all_ids, all_value, all_done))
 
 
 def within(vectors: np.ndarray, levels: list, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
