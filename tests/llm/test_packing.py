@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from wardlake.llm import packing
+from wardlake.llm import common, packing
 from wardlake.llm.queries import WORD_BPE
 
 
@@ -65,3 +66,20 @@ def test_neighbours_on_the_curve_are_alike(corpus):
 
 def test_empty_table(nothing):
     assert packing.pack(nothing, WORD_BPE, 2).count() == 0
+
+
+def test_workers_give_freed_memory_back_while_and_after_they_read(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(len(seen)))
+    monkeypatch.setattr(common, "GIVEN_BACK_BYTES", 10)
+    seen = []
+    for _, texts in common.chunks(iter([pa.RecordBatch.from_pydict({"text": ["aaaa", None, "bbbb", "cccccc", ""]})] * 2), size=4):
+        seen += texts
+    assert seen == [b"aaaa", b"", b"bbbb", b"cccccc", b""] * 2
+    assert given == [4, 9, 10]
+
+
+def test_giving_memory_back_keeps_what_is_in_use():
+    kept = pa.array([b"x" * 1000] * 1000)
+    common.give_back()
+    assert kept.to_pylist() == [b"x" * 1000] * 1000

@@ -1,5 +1,6 @@
 """Small helpers the operators share: written intermediate tables, text batches, vectorised hashing."""
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -17,6 +18,8 @@ from wardlake.fs import work_dir
 WORD = rb"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once; bounds the working arrays of a task.
 CHUNK_BYTES = 1 << 20
+#: Bytes of text after which a worker gives back what it has freed.
+GIVEN_BACK_BYTES = 1 << 23
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -83,8 +86,20 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers stay for later stages and would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES):
-    """Yield ``(batch slice, its texts as bytes)`` of up to ``size`` bytes, or of one longer text."""
+    """Yield ``(batch slice, its texts as bytes)`` of up to ``size`` bytes, or of one longer text.
+
+    The worker's freed memory is given back every few chunks and once all have been worked on.
+    """
+    held = 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
@@ -93,7 +108,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CH
             to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
             part = batch.slice(at, to - at)
             yield part, byte_texts(part.column(text))
-            at = to
+            held, at = held + int(ends[to - 1]) - before, to
+            if held >= GIVEN_BACK_BYTES:
+                give_back()
+                held = 0
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
