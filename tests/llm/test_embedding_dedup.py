@@ -88,3 +88,65 @@ def test_a_wide_beam_sees_every_node_once():
     ids, cosines = small_world.search(x, small_world.build(x), queries, 900)
     assert (np.sort(ids, axis=1) == np.arange(900)).all()
     assert np.allclose(cosines, np.take_along_axis(queries @ x.T, ids, axis=1), atol=1e-6)
+
+
+def test_shards_are_not_shuffled_and_links_not_listed(spark, monkeypatch):
+    """Two shards meet without an exchange, and no table grows with the square of a group."""
+    rng = np.random.default_rng(11)
+    n, keep, plans, counts = 600, embedding_dedup.Scratch.keep, {}, {}
+
+    def spied(self, df, name, **more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        kept = keep(self, df, name, **more)
+        counts[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(embedding_dedup.Scratch, "keep", spied)
+    monkeypatch.setattr(embedding_dedup, "AUDITED", 3)
+    centre = rng.normal(size=8)
+    rows = [(k, (centre + rng.normal(size=8) * 0.02).tolist(), 0, 0, "x") for k in range(n)]
+    check(spark, rows)
+    meetings = [plan for plan in plans.values() if "links" in plan and "nodes" in plan and "Scan parquet" in plan]
+    assert meetings and all("Exchange" not in plan for plan in meetings)
+    shards = embedding_dedup.LEAST_SHARDS
+    assert max(counts.values()) <= n * (2 * shards + 3)
+
+
+def test_vectors_of_single_and_double_precision_and_copies(spark):
+    rng = np.random.default_rng(12)
+    vectors = [v for v in rng.normal(size=(40, 5)).astype(np.float32).tolist() for _ in range(3)]
+    vectors += [(np.array(v) * 1.01 + 0.01).tolist() for v in vectors[:30]]
+    rows = [(k, v) for k, v in enumerate(np.array(vectors, np.float32).tolist())]
+    found = [
+        sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.similar_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).collect())
+        for kind in ("float", "double")
+    ]
+    assert found[0] == found[1] == expected(rows)
+
+
+def test_pairs_found_from_one_side_count_for_both():
+    rng = np.random.default_rng(13)
+    exact = rng.normal(size=(30, 4))
+    rows = []
+    for k, part in enumerate((exact[:13], exact[13:])):
+        levels = small_world.build((part / np.linalg.norm(part, axis=1, keepdims=True)).astype(np.float32))
+        rows.append({"size": 4, "shard": k, "ids": list(range(13 * k, 13 * k + len(part))), "copies": [1 + i % 3 for i in range(len(part))], "flat": part.tobytes()}
+                    | {"nodes": [x.astype(np.int32).tobytes() for x, _ in levels], "links": [x.astype(np.int32).tobytes() for _, x in levels]})
+    unit = exact / np.linalg.norm(exact, axis=1, keepdims=True)
+    near, copies = unit @ unit.T >= 0.7, np.array([*rows[0]["copies"], *rows[1]["copies"]])
+    np.fill_diagonal(near, False)
+    one, other = (embedding_dedup._Shard(r) for r in rows)
+    counted, linked, shown = np.zeros(30, int), [], []
+    for a, b, same in ((one, one, True), (one, other, False), (other, other, True)):
+        for batch in embedding_dedup._met(a, b, same, 0.7, 16, np.array([2, 20])):
+            for kind, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == embedding_dedup._COPIES:
+                    counted[x] += y
+                (linked if kind == embedding_dedup._LINK else shown if kind == embedding_dedup._AUDITED else []).append((x, y))
+    assert (counted == near @ copies).all()
+    assert sorted(shown) == sorted((a, b) for a in range(30) for b in range(a + 1, 30) if near[a, b] and {a, b} & {2, 20})
+    label = np.arange(30)
+    embedding_dedup._connect(label, *np.array(linked).T)
+    truth = np.arange(30)
+    embedding_dedup._connect(truth, *np.nonzero(near))
+    assert (label == truth).all()

@@ -6,6 +6,8 @@ diverse near ones and to those that chose it. A search walks greedily down the l
 keeps a beam of the best nodes, expanding several of every query's beam at a time.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from wardlake.llm.common import mix
@@ -15,6 +17,8 @@ LINKS = 16
 _EXPANDED, _SHARE = 8, 8
 #: Rows compared at once while a graph is built, and queries that walk through it together.
 _BLOCK, _TOGETHER = 1024, 256
+#: Places of beams that one part of a search holds, unless fewer queries than walk together have more.
+_CELLS = 1 << 18
 
 
 def _nearest(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,20 +173,28 @@ def _search_block(vectors: np.ndarray, levels: list, queries: np.ndarray, beam:
         ids, cosines, done = (np.take_along_axis(x, keep, axis=1) for x in (all_ids, all_value, all_done))
 
 
-def within(vectors: np.ndarray, levels: list, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) with a cosine of at least ``least`` that the search finds.
+def within_parts(vectors: np.ndarray, levels: list, queries: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, node) with a cosine of at least ``least`` that the search finds, some queries at a time.
 
     The beam of a query is widened while a quarter of it lies within the bound, up to all nodes, so
-    that no group of near vectors is cut off by the beam.
+    that no group of near vectors is cut off by the beam. Fewer queries go together as it widens.
     """
-    found_q, found_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     live = np.arange(len(queries))
     while len(live):
-        ids, cosines = search(vectors, levels, queries[live], beam)
-        hit = (cosines >= least) & (ids >= 0)
-        full = (hit.sum(axis=1) * 4 >= hit.shape[1]) & (hit.shape[1] < len(vectors))
-        row, column = np.nonzero(hit & ~full[:, None])
-        found_q.append(live[row])
-        found_n.append(ids[row, column].astype(np.int64))
-        live, beam = live[full], 4 * beam
-    return np.concatenate(found_q), np.concatenate(found_n)
+        again, together = [], max(_TOGETHER, _CELLS // beam)
+        for at in range(0, len(live), together):
+            some = live[at : at + together]
+            ids, cosines = search(vectors, levels, queries[some], beam)
+            hit = (cosines >= least) & (ids >= 0)
+            full = (hit.sum(axis=1) * 4 >= hit.shape[1]) & (hit.shape[1] < len(vectors))
+            row, column = np.nonzero(hit & ~full[:, None])
+            yield some[row], ids[row, column].astype(np.int64)
+            again.append(some[full])
+        live, beam = np.concatenate(again), 4 * beam
+
+
+def within(vectors: np.ndarray, levels: list, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``within_parts`` at once."""
+    nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    q, n = zip(nothing, *within_parts(vectors, levels, queries, least, beam))
+    return np.concatenate(q), np.concatenate(n)
