@@ -6,8 +6,9 @@ from wardlake.operators.images import accepted_images, classify_images
 from wardlake.plans.pipeline import sync_images
 from wardlake.plans.store import ClinicalStore
 from wardlake.schemas import IMAGES_BUCKET, PNG_SIGNATURE
+from wardlake.sources import images as images_module
 from wardlake.sources.generate import placeholder_png
-from wardlake.sources.images import export_blobs, read_images
+from wardlake.sources.images import export_blobs, read_images, read_these
 
 FILES = {
     "HOSP-000001_ok.png": (placeholder_png(), "ok"),
@@ -163,3 +164,52 @@ def test_an_executor_that_does_not_see_the_target_fails(spark, two_objects, tmp_
     with pytest.raises(Exception, match="does not see the target"):
         exported.count()
     assert not (tmp_path / "out").exists()
+
+
+def rows_of(images):
+    return sorted((r["path"], r["name"], r["length"], r["modified"], bytes(r["content"])) for r in images.collect())
+
+
+def test_a_folder_is_listed_as_spark_lists_it(spark, tmp_path, monkeypatch):
+    import os
+
+    path = tmp_path / "odd names %20"
+    path.mkdir()
+    for name in ("a b+c%41.png", "ñ.png", "x{1}*[2]?.png", "_hidden.png", "_key=1.png", ".hid", ".a.png.crc", "_metadata", "b._COPYING_", "empty"):
+        (path / name).write_bytes(b"" if name == "empty" else name.encode())
+    os.utime(path / "ñ.png", ns=(1_700_000_000_123_456_789, 1_600_000_000_987_654_321))
+    (path / "sub").mkdir()
+    (path / "sub" / "deep.png").write_bytes(b"deep")
+    (path / "link.png").symlink_to(path / "ñ.png")
+    (path / "gone.png").symlink_to(path / "nowhere")
+    (path / "folder.png").symlink_to(path / "sub")
+    found = read_images(spark, f"{path}/")
+    some = found.filter("name like 'ñ%' or name like 'x%'").drop("content")
+    mine = rows_of(found), rows_of(read_these(spark, str(path), some)), read_these(spark, str(path), some.limit(0))
+    monkeypatch.setattr(fs, "all_reach", lambda spark, path: False)
+    found = read_images(spark, f"{path}/")
+    some = found.filter("name like 'ñ%' or name like 'x%'").drop("content")
+    assert mine == (rows_of(found), rows_of(read_these(spark, str(path), some)), read_these(spark, str(path), some.limit(0)))
+    assert len(mine[0]) == 5 and len(mine[1]) == 2 and mine[2] is None
+
+
+def test_neither_driver_nor_tasks_grow_with_each_file(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"HOSP-{k:06d}_x.png").write_bytes(PNG_SIGNATURE + str(k).encode())
+    with fs.settings(spark, {"spark.sql.files.maxPartitionBytes": "16m"}):
+        images = read_images(spark, str(tmp_path))
+        assert len(images.inputFiles()) == 1 and images.rdd.getNumPartitions() == 1
+        assert images.filter(F.length("content") == F.col("length")).count() == 300
+
+
+def test_bytes_are_read_once_and_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(images_module, "BYTES_TOGETHER", 25)
+    monkeypatch.setattr(images_module, "FILES_TOGETHER", 7)
+    contents = {f"HOSP-{k:06d}_x.png": PNG_SIGNATURE + b"x" * k for k in range(40)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    accepted = accepted_images(read_images(spark, str(tmp_path)))
+    assert {r["name"]: bytes(r["content"]) for r in accepted.collect()} == contents
+    assert accepted.select("object_key", "content")._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert len(accepted.inputFiles()) == 6
+    assert "ArrowEvalPython" not in read_images(spark, str(tmp_path)).drop("content")._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,6 @@ import logging
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
-from itertools import islice
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,10 +181,6 @@ def _run_together(
         fs.remove(spark, landing)
 
 
-#: Paths that one read of changed images names.
-PATHS_AT_ONCE = 5_000
-
-
 def sync_images(store: ClinicalStore, images_dir: str, bucket: str = S.IMAGES_BUCKET) -> tuple[DataFrame, dict[str, int]]:
     """Store every acceptable image that is new or has changed; records of all of them and a tally.
 
@@ -195,15 +190,12 @@ def sync_images(store: ClinicalStore, images_dir: str, bucket: str = S.IMAGES_BU
     exists for an image that did not get there.
     """
     spark, before = store.spark, store.pinned()
-    listing = keyed_names(read_images(spark, images_dir).drop("content"))
+    images = read_images(spark, images_dir)
+    listing = keyed_names(images.drop("content"))
     stored = before.source_times(bucket)
-    if before.blob_log().isEmpty():
-        fresh = [read_images(spark, images_dir)]
-    else:
-        changed = changed_files(listing, stored).select("path").toLocalIterator()
-        fresh = [read_these(spark, [r["path"] for r in some]) for some in iter(lambda: list(islice(changed, PATHS_AT_ONCE)), [])]
-    if fresh:
-        files = accepted_images(reduce(DataFrame.unionByName, fresh))
+    fresh = images if before.blob_log().isEmpty() else read_these(spark, images_dir, changed_files(listing, stored))
+    if fresh is not None:
+        files = accepted_images(fresh)
         store.put_objects(files.select(F.lit(bucket).alias("bucket"), "object_key", "content", F.col("modified").alias("source_time")), IMAGE_TYPE)
     there = store.blobs().filter(F.col("bucket") == bucket).join(listing.select("object_key"), "object_key", "left_semi")
     records = image_records(there, utc_now())
