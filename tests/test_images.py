@@ -213,3 +213,20 @@ def test_bytes_are_read_once_and_in_parts(spark, tmp_path, monkeypatch):
     assert accepted.select("object_key", "content")._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert len(accepted.inputFiles()) == 6
     assert "ArrowEvalPython" not in read_images(spark, str(tmp_path)).drop("content")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_images_take_few_tasks_in_every_call(spark, tmp_path):
+    folder, store = tmp_path / "files", ClinicalStore(spark, str(tmp_path / "store"))
+    folder.mkdir()
+    for k in range(200):
+        (folder / f"HOSP-{k:06d}_x.png").write_bytes(PNG_SIGNATURE)
+    with fs.settings(spark, {"spark.sql.files.maxPartitionBytes": "16m"}):
+        assert sync_images(store, str(folder))[1] == {"uploaded": 200, "already there": 0}
+        for k in range(100, 300):
+            (folder / f"HOSP-{k:06d}_x.png").write_bytes(PNG_SIGNATURE + b"new")
+        assert sync_images(store, str(folder))[1] == {"uploaded": 100, "already there": 200}
+        assert sync_images(store, str(folder))[1] == {"uploaded": 0, "already there": 300}
+    # a task writes one file
+    assert [len(store._files("blobs", load)) for load in store._state()["blobs"]] == [1, 1]
+    contents = {r["object_key"].split("/")[1]: bytes(r["content"]) for r in store.blob_contents().collect()}
+    assert contents == {p.name: p.read_bytes() for p in folder.iterdir() if p.suffix == ".png"}
